@@ -12,8 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from carelake.checks import rules
 from carelake.plans import admissions, audit, facilities, finance, oracle, staffing
 from carelake.sources.roles import DRIVER_AS_OF, Hospital, from_driver_tables
+from carelake.sources.roles_sql import DRIVER_AS_OF_SQL, with_roles
 
 Plan = Callable[[Hospital], DataFrame]
 
@@ -42,6 +44,13 @@ PLANS: dict[str, tuple[Plan, str | None]] = {
     "a20_revenue_cube": (finance.revenue_cube, oracle.Q6_CUBE),
     "a20_revenue_grouping_sets": (finance.revenue_grouping_sets, oracle.Q6_SETS),
     "s07_headcount_refresh": (facilities.refresh_headcount, oracle.HEADCOUNT),
+    "d01_d09_rule_counts": (lambda h: rules.rule_counts(h, DRIVER_AS_OF),
+                            with_roles(rules.rule_counts_sql(DRIVER_AS_OF_SQL))),
+    "d08_specialty_count_violations": (rules.specialty_count_violations, with_roles(f"""
+SELECT d.doctor_id, CAST(COUNT(ds.doctor_id) AS BIGINT) AS specialty_count
+FROM doctor d LEFT JOIN doctorspecialty ds ON ds.doctor_id = d.doctor_id
+GROUP BY d.doctor_id
+HAVING COUNT(ds.doctor_id) = 0 OR COUNT(ds.doctor_id) > {rules.MAX_SPECIALTIES}""")),
 }
 
 
