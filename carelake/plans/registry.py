@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from carelake.checks import rules
 from carelake.plans import admissions, audit, facilities, finance, oracle, staffing
+from carelake.streaming import bed_status
 from carelake.sources.roles import DRIVER_AS_OF, Hospital, from_driver_tables
 from carelake.sources.roles_sql import DRIVER_AS_OF_SQL, with_roles
 
@@ -44,6 +45,8 @@ PLANS: dict[str, tuple[Plan, str | None]] = {
     "a20_revenue_cube": (finance.revenue_cube, oracle.Q6_CUBE),
     "a20_revenue_grouping_sets": (finance.revenue_grouping_sets, oracle.Q6_SETS),
     "s07_headcount_refresh": (facilities.refresh_headcount, oracle.HEADCOUNT),
+    "t1_bed_status_batch": (bed_status.bed_status_batch, oracle.BED_STATUS),
+    "t2_bed_status_stream": (bed_status.bed_status_stream, oracle.BED_STATUS),
     "d01_d09_rule_counts": (lambda h: rules.rule_counts(h, DRIVER_AS_OF),
                             with_roles(rules.rule_counts_sql(DRIVER_AS_OF_SQL))),
     "d08_specialty_count_violations": (rules.specialty_count_violations, with_roles(f"""
