@@ -34,6 +34,14 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
     return cond
 
 
+def _bucket_of(bounds: Column, o: Column) -> Column:
+    """Number of distinct bounds strictly below ``o`` (monotone in ``o``).
+
+    Written without a lambda so ``bounds`` may be a scalar subquery.
+    """
+    return F.array_position(F.sort_array(F.array_union(bounds, F.array(o))), o) - 1
+
+
 def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False,
                 n_buckets: int = 64, accuracy: int = 10000, few_groups: bool = True) -> DataFrame:
     """Distinct ``(by..., value)`` with ``n``, ``before`` and ``distinct_before``.
@@ -43,25 +51,28 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
     states that the number of ``by`` groups is dimension-sized (departments,
     admission types): the per-group bucket tables, at most groups x
     ``n_buckets`` rows, are then broadcast; otherwise AQE picks the join.
+    With no ``by`` the bounds are one uncorrelated scalar subquery.
     """
     by = list(by)
-    global_rank = not by
-    if global_rank:
-        df, by = df.withColumn("_g", F.lit(0)), ["_g"]
     small = F.broadcast if few_groups else (lambda d: d)
     vals = (df.filter(F.col(value).isNotNull())
             .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
     sign = -1.0 if descending else 1.0
     keyed = vals.withColumn("_o", F.col(value).cast("double") * F.lit(sign))
     fractions = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = keyed.groupBy(*by).agg(F.percentile_approx("_o", fractions, accuracy).alias("_bounds"))
-    bounds = small(bounds)
-    keyed = keyed.join(bounds, _null_safe_on(keyed, bounds, by), "inner").select(keyed["*"], bounds["_bounds"])
-    bucketed = keyed.withColumn(
-        "_bucket", F.size(F.filter(F.col("_bounds"), lambda b: b < F.col("_o")))).drop("_bounds")
+    sketch = F.percentile_approx("_o", fractions, accuracy)
+    if n_buckets <= 1:
+        bucketed = keyed.withColumn("_bucket", F.lit(0))
+    elif by:
+        bounds = small(keyed.groupBy(*by).agg(sketch.alias("_bounds")))
+        keyed = keyed.join(bounds, _null_safe_on(keyed, bounds, by), "inner").select(keyed["*"], bounds["_bounds"])
+        bucketed = keyed.withColumn("_bucket", _bucket_of(F.col("_bounds"), F.col("_o"))).drop("_bounds")
+    else:
+        bucketed = keyed.withColumn("_bucket", _bucket_of(keyed.select(sketch).scalar(), F.col("_o")))
 
     totals = bucketed.groupBy(*by, "_bucket").agg(
         F.sum("_n").alias("_bn"), F.count(F.lit(1)).alias("_bd"))
+    # groups x buckets rows: a small table, so an unpartitioned window is fine here
     w_off = (Window.partitionBy(*by).orderBy("_bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = small(totals.select(
@@ -75,12 +86,11 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
     order = F.col(value).desc() if descending else F.col(value).asc()
     w_in = Window.partitionBy(*by, "_bucket").orderBy(order)
     w_prev = w_in.rowsBetween(Window.unboundedPreceding, -1)
-    out = joined.select(
+    return joined.select(
         *by, value,
         F.col("_n").alias("n"),
         (F.col("_off_n") + F.coalesce(F.sum("_n").over(w_prev), F.lit(0))).alias("before"),
         (F.col("_off_d") + F.row_number().over(w_in) - 1).alias("distinct_before"))
-    return out.drop("_g") if global_rank else out
 
 
 def rank_table(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = True,
@@ -123,12 +133,12 @@ def percentile_cont(df: DataFrame, value: str, by: Sequence[str],
     per group is held in one task beyond those few values.
     """
     by = list(by)
-    global_pct = not by
-    if global_pct:
-        df, by = df.withColumn("_g", F.lit(0)), ["_g"]
     r = value_ranks(df, value, by, descending=False, n_buckets=n_buckets)
-    totals = F.broadcast(r.groupBy(*by).agg(F.sum("n").alias("_total")))
-    r = r.join(totals, _null_safe_on(r, totals, by), "inner").select(r["*"], totals["_total"])
+    if by:
+        totals = F.broadcast(r.groupBy(*by).agg(F.sum("n").alias("_total")))
+        r = r.join(totals, _null_safe_on(r, totals, by), "inner").select(r["*"], totals["_total"])
+    else:
+        r = r.withColumn("_total", r.select(F.sum("n")).scalar())
     v = F.col(value).cast("double")
     aggs = []
     for name, p in fractions.items():
@@ -139,8 +149,6 @@ def percentile_cont(df: DataFrame, value: str, by: Sequence[str],
                  F.max(F.when(covers(hi), v)).alias(f"_hi_{name}"),
                  F.max(pos - lo).alias(f"_fr_{name}")]
     picked = r.groupBy(*by).agg(*aggs)
-    if global_pct:
-        by = []
     return picked.select(*by, *[
         (F.col(f"_lo_{n}") + F.col(f"_fr_{n}") * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))).alias(n)
         for n in fractions])
