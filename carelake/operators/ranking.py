@@ -42,8 +42,12 @@ def _bucket_of(bounds: Column, o: Column) -> Column:
     return F.array_position(F.sort_array(F.array_union(bounds, F.array(o))), o) - 1
 
 
+DEFAULT_BUCKETS = 32
+
+
 def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False,
-                n_buckets: int = 64, accuracy: int = 10000, few_groups: bool = True) -> DataFrame:
+                n_buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
+                few_groups: bool = True) -> DataFrame:
     """Distinct ``(by..., value)`` with ``n``, ``before`` and ``distinct_before``.
 
     ``value`` must be numeric; NULL values are left out.  ``by`` columns may
@@ -52,8 +56,15 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
     admission types): the per-group bucket tables, at most groups x
     ``n_buckets`` rows, are then broadcast; otherwise AQE picks the join.
     With no ``by`` the bounds are one uncorrelated scalar subquery.
+
+    ``n_buckets`` sets the parallelism of the final window: each (group,
+    bucket) holds about distinct-values / n_buckets rows, so raise it with
+    the data (32 keeps ~30k rows per task at a million distinct values).
+    The sketch only has to separate buckets, so its accuracy is a small
+    multiple of ``n_buckets``.
     """
     by = list(by)
+    accuracy = accuracy or max(100, 20 * n_buckets)
     small = F.broadcast if few_groups else (lambda d: d)
     vals = (df.filter(F.col(value).isNotNull())
             .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
@@ -95,7 +106,7 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
 
 def rank_table(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = True,
                rank: str | None = None, dense_rank: str | None = None,
-               n_buckets: int = 64) -> DataFrame:
+               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """One row per distinct ``(by, value)`` with the requested RANK / DENSE_RANK columns."""
     by = list(by)
     r = value_ranks(df, value, by, descending, n_buckets)
@@ -109,7 +120,7 @@ def rank_table(df: DataFrame, value: str, by: Sequence[str] = (), descending: bo
 
 def with_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = True,
                rank: str | None = None, dense_rank: str | None = None,
-               n_buckets: int = 64) -> DataFrame:
+               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add RANK / DENSE_RANK columns (ordered by ``value``, per ``by``) to every row.
 
     The rank table has one row per distinct ``(by, value)``, so the join back
@@ -124,7 +135,7 @@ def with_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bo
 
 
 def percentile_cont(df: DataFrame, value: str, by: Sequence[str],
-                    fractions: dict[str, float], n_buckets: int = 64) -> DataFrame:
+                    fractions: dict[str, float], n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Exact ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group, as DOUBLE.
 
     The value distribution is reduced to distinct values with counts and

@@ -109,10 +109,19 @@ def cost_stay_percentiles(h: Hospital) -> DataFrame:
         (F.sum("total_cost").cast("double") / F.count("total_cost")).alias("_avg"),
         F.stddev_samp(F.col("total_cost").cast("double")).alias("_sd"),
         F.avg("length_of_stay").alias("_avg_los"))
-    cost = percentile_cont(m, "total_cost", ["admission_type"],
-                           {"_p25": 0.25, "_p50": 0.50, "_p75": 0.75, "_p90": 0.90})
-    stay = percentile_cont(m, "length_of_stay", ["admission_type"], {"_los50": 0.5})
-    j = stats.join(cost, "admission_type", "left").join(stay, "admission_type", "left")
+    # Both distributions in one pass: stack (type, metric, value) and rank per (type, metric).
+    long = m.select("admission_type", F.explode(F.array(
+        F.struct(F.lit("cost").alias("metric"), F.col("total_cost").cast("double").alias("v")),
+        F.struct(F.lit("los").alias("metric"), F.col("length_of_stay").cast("double").alias("v")))).alias("_m"))
+    long = long.select("admission_type", "_m.metric", "_m.v")
+    pc = percentile_cont(long, "v", ["admission_type", "metric"],
+                         {"_p25": 0.25, "_p50": 0.50, "_p75": 0.75, "_p90": 0.90})
+    pick = lambda metric, c: F.max(F.when(F.col("metric") == metric, F.col(c)))
+    wide = pc.groupBy("admission_type").agg(
+        pick("cost", "_p25").alias("_p25"), pick("cost", "_p50").alias("_p50"),
+        pick("cost", "_p75").alias("_p75"), pick("cost", "_p90").alias("_p90"),
+        pick("los", "_p50").alias("_los50"))
+    j = stats.join(wide, "admission_type", "left")
     return j.select(
         "admission_type", "total_admissions",
         round_half(F.col("_avg"), 2).alias("avg_cost"),

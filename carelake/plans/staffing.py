@@ -28,9 +28,16 @@ def salary_ranking(h: Hospital) -> DataFrame:
     a window holding a whole department, or all doctors, in one task.
     """
     docs = doctors_with_staff(h, "full_name", "dept_name", "salary")
-    in_dept = rank_table(docs, "salary", by=["dept_name"], descending=True,
-                         dense_rank="salary_rank_in_dept")
-    overall = rank_table(docs, "salary", by=[], descending=True, rank="overall_salary_rank")
+    # One ranking pass for both scopes: each doctor appears once per scope
+    # (scope 0 = own department, scope 1 = everyone, with a NULL department key).
+    scoped = docs.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("scope"), F.col("dept_name").alias("grp"), F.col("salary").alias("salary")),
+        F.struct(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("grp"),
+                 F.col("salary").alias("salary")))).alias("_s")).select("_s.*")
+    ranks = rank_table(scoped, "salary", by=["scope", "grp"], descending=True, rank="_rank", dense_rank="_dense")
+    in_dept = ranks.filter(F.col("scope") == 0).select(
+        F.col("grp").alias("dept_name"), "salary", F.col("_dense").alias("salary_rank_in_dept"))
+    overall = ranks.filter(F.col("scope") == 1).select("salary", F.col("_rank").alias("overall_salary_rank"))
     # Department means: one row per department (dimension-sized), broadcast.
     dept = F.broadcast(docs.groupBy("dept_name").agg(
         (F.sum("salary").cast("double") / F.count("salary")).alias("_avg")))
