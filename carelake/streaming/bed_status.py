@@ -27,9 +27,11 @@ the batch answer.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -37,6 +39,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from carelake.session import staging_path
 from carelake.sources.roles import Hospital
 
+# The two pandas functions below run in Python workers.  Pickle this module
+# by value so they travel with the task: executors need no copy of the
+# package (pandas is all they import).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CHANGE_SCHEMA = ("event_id long, event_ts timestamp_ntz, op string, admission_id long, "
                  "bed_id long, old_bed_id long, discharge_date date")
 EFFECT_SCHEMA = "bed_id long, status string, ts long, event_id long, step int"
