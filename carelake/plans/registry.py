@@ -61,11 +61,26 @@ def register_extra(name: str, plan: Plan, sql: str | None) -> None:
     PLANS[name] = (plan, sql)
 
 
+_HOSPITALS: dict[tuple[int, str], Hospital] = {}
+
+
+def hospital(spark: SparkSession, sf_dir: str) -> Hospital:
+    """One lazily built Hospital per (session, data folder), shared by all queries.
+
+    DataFrames are immutable plans, so sharing them only saves driver-side
+    work: schema reads, key-space counts and analysis of the role tables.
+    """
+    key = (id(spark), sf_dir)
+    if key not in _HOSPITALS:
+        _HOSPITALS[key] = from_driver_tables(spark, sf_dir)
+    return _HOSPITALS[key]
+
+
 def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     plan = PLANS[name][0]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plan(from_driver_tables(spark, sf_dir))
+        return plan(hospital(spark, sf_dir))
 
     run.__name__ = name
     return run
