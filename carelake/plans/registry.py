@@ -41,6 +41,8 @@ PLANS: dict[str, tuple[Plan, str | None]] = {
     "q18_activity_feed": (lambda h: audit.activity_feed(h, DRIVER_AS_OF), oracle.Q18),
     "q19_trend_forecast": (lambda h: admissions.trend_forecast(h, DRIVER_AS_OF), oracle.Q19),
     "q20_department_dashboard": (facilities.department_dashboard, oracle.Q20),
+    "w11_daily_occupancy_calendar_window": (lambda h: admissions.daily_occupancy(h, calendar_days=True),
+                                            oracle.Q3_CALENDAR),
     "a08_bed_census": (lambda h: admissions.bed_census(h, DRIVER_AS_OF), oracle.CENSUS),
     "a20_revenue_cube": (finance.revenue_cube, oracle.Q6_CUBE),
     "a20_revenue_grouping_sets": (finance.revenue_grouping_sets, oracle.Q6_SETS),

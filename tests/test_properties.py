@@ -82,3 +82,12 @@ def test_readmission_boundaries(spark):
            for r in admissions.readmission_cohorts(h).collect()}
     assert got == {"Readmitted within 7 days": (2, 2), "Readmitted within 14 days": (2, 2),
                    "Readmitted within 30 days": (2, 2), "No readmission within 30 days": (2, 2)}
+
+
+@needs_data
+def test_approximate_percentiles_are_close_to_exact(h):
+    exact = {r["admission_type"]: r for r in admissions.cost_stay_percentiles(h).collect()}
+    approx = {r["admission_type"]: r for r in admissions.cost_stay_percentiles(h, exact=False).collect()}
+    for t in exact:
+        for c in ("cost_25th_percentile", "cost_median", "cost_75th_percentile", "cost_90th_percentile"):
+            assert approx[t][c] == pytest.approx(exact[t][c], rel=0.05)
