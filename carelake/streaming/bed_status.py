@@ -47,6 +47,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHANGE_SCHEMA = ("event_id long, event_ts timestamp_ntz, op string, admission_id long, "
                  "bed_id long, old_bed_id long, discharge_date date")
 EFFECT_SCHEMA = "bed_id long, status string, ts long, event_id long, step int"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def admission_change_log(h: Hospital, transfer_every: int = 7) -> DataFrame:
@@ -152,6 +153,9 @@ def run_bed_status_stream(spark: SparkSession, source_path: str, files_per_trigg
     """
     out = staging_path(spark, "bed-status-updates")
     ckpt = staging_path(spark, "bed-status-ckpt")
+    # One state row per bed: keep it in RocksDB (disk-backed, incremental
+    # checkpoints) rather than executor memory.  Read when the query starts.
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     changes = (spark.readStream.schema(CHANGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
                .parquet(source_path))
     effects = change_effects(changes).mapInPandas(_latest_per_bed, EFFECT_SCHEMA)
