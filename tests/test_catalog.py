@@ -35,3 +35,19 @@ def test_time_filter_is_pushed_to_the_scan(landed):
     plan = audit.activity_feed(stored, DRIVER_AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(admission_date" in plan
     assert "GreaterThanOrEqual(payment_date" in plan
+
+
+def test_bucketed_admission_bill_join_needs_no_shuffle(spark):
+    from carelake.plans import admissions
+    derived = from_driver_tables(spark, SF)
+    path = land(derived, buckets=4, database="carelake_bucketed_test")
+    stored = from_parquet_tables(spark, path, database="carelake_bucketed_test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the sort-merge path
+    try:
+        df = admissions.patient_admission_pivot(stored)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(admission_id" not in plan
+        a, b = admissions.patient_admission_pivot(derived), df
+        assert _rows(a.columns, [tuple(r) for r in a.collect()]) == _rows(b.columns, [tuple(r) for r in b.collect()])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
