@@ -17,36 +17,28 @@ Batch (``fold_bed_status``): explode records into effects, ``max_by`` per
 bed (partial aggregation map-side, so a hot bed is pre-reduced), left join
 onto Bed.
 
-Stream (``run_bed_status_stream``): change files -> per-partition
-pre-reduction (``mapInPandas``, at most one effect per bed per partition)
--> ``applyInPandasWithState`` keyed by bed, whose state is the last
-applied order and status.  A late record with an older order than the
-state is ignored, so any split or arrival order of a complete log ends in
-the batch answer.
+Stream (``run_bed_status_stream``): change files -> the same effects ->
+a built-in stateful streaming aggregation per bed keeping
+``max(struct(ts, event_id, step, status))``.  The state per bed is that
+one struct (RocksDB state store); partial aggregation pre-reduces each
+micro-batch map-side, so a hot bed costs one row per task.  A late record
+with an older order than the state cannot win the max, so any split or
+arrival order of a complete log ends in the batch answer.  Changed beds
+are written per micro-batch by ``foreachBatch`` into a folder named after
+the batch id (overwritten on retry, hence idempotent).  No Python runs in
+the tasks.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from carelake.session import staging_path
 from carelake.sources.roles import Hospital
 
-# The two pandas functions below run in Python workers.  Pickle this module
-# by value so they travel with the task: executors need no copy of the
-# package (pandas is all they import).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 CHANGE_SCHEMA = ("event_id long, event_ts timestamp_ntz, op string, admission_id long, "
                  "bed_id long, old_bed_id long, discharge_date date")
-EFFECT_SCHEMA = "bed_id long, status string, ts long, event_id long, step int"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -109,34 +101,6 @@ def bed_status_batch(h: Hospital) -> DataFrame:
 
 # ---------------------------------------------------------------- stream
 
-def _latest_per_bed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per-partition pre-reduction: keep each bed's latest effect only."""
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        pdf = pdf.sort_values(["bed_id", "ts", "event_id", "step"])
-        yield pdf.drop_duplicates("bed_id", keep="last")
-
-
-def _apply_in_order(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Keyed by bed: apply the newest effect if it is newer than the state."""
-    best = None
-    for pdf in pdfs:
-        row = pdf.sort_values(["ts", "event_id", "step"]).iloc[-1]
-        cand = (int(row.ts), int(row.event_id), int(row.step), str(row.status))
-        if best is None or cand[:3] > best[:3]:
-            best = cand
-    if best is None:
-        return
-    if state.exists:
-        ts, eid, step, _ = state.get
-        if (ts, eid, step) >= best[:3]:
-            return  # late or duplicate record: an equal or newer effect is applied
-    state.update(best)
-    yield pd.DataFrame({"bed_id": [key[0]], "status": [best[3]], "ts": [best[0]],
-                        "event_id": [best[1]], "step": [best[2]]})
-
-
 def stage_change_log(spark: SparkSession, changes: DataFrame, n_files: int = 8) -> str:
     """Write the change log as a landing folder of parquet files (the stream's source)."""
     path = staging_path(spark, "bed-changes")
@@ -147,7 +111,7 @@ def stage_change_log(spark: SparkSession, changes: DataFrame, n_files: int = 8)
 def run_bed_status_stream(spark: SparkSession, source_path: str, files_per_trigger: int = 2) -> str:
     """O-T2: run the stateful stream over ``source_path`` until caught up.
 
-    Returns the folder of emitted status updates (append-only).  State and
+    Returns the folder of emitted status updates (one sub-folder per micro-batch).  State and
     progress live under the shared checkpoint folder, so a restarted job
     resumes from its last committed micro-batch.
     """
@@ -158,19 +122,22 @@ def run_bed_status_stream(spark: SparkSession, source_path: str, files_per_trigg
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     changes = (spark.readStream.schema(CHANGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
                .parquet(source_path))
-    effects = change_effects(changes).mapInPandas(_latest_per_bed, EFFECT_SCHEMA)
-    updates = effects.groupBy("bed_id").applyInPandasWithState(
-        _apply_in_order, EFFECT_SCHEMA, "ts long, event_id long, step int, status string",
-        "append", GroupStateTimeout.NoTimeout)
-    q = (updates.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
+    latest = (change_effects(changes).groupBy("bed_id")
+              .agg(F.max(F.struct("ts", "event_id", "step", "status")).alias("s"))
+              .select("bed_id", "s.ts", "s.event_id", "s.step", "s.status"))
+
+    def write_batch(updates: DataFrame, batch_id: int) -> None:
+        updates.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = (latest.writeStream.outputMode("update").foreachBatch(write_batch)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return out
 
 
 def current_status(spark: SparkSession, bed: DataFrame, updates_path: str) -> DataFrame:
     """Beds joined with the newest emitted update (stored status when none)."""
-    upd = spark.read.schema(EFFECT_SCHEMA).parquet(updates_path)
+    upd = spark.read.parquet(updates_path)
     latest = upd.groupBy("bed_id").agg(F.max_by("status", F.struct("ts", "event_id", "step")).alias("_status"))
     return (bed.select("bed_id", "ward_id", "bed_status").join(latest, "bed_id", "left")
             .select("bed_id", "ward_id", F.coalesce("_status", "bed_status").alias("bed_status")))
