@@ -28,7 +28,8 @@ D = Decimal
 d = dt.date.fromisoformat
 ts = dt.datetime.fromisoformat
 
-# The sample rows of the workload's schema script.
+# The sample rows of the workload's schema script (contact
+# addresses and e-mail domains neutralised; no query result depends on them).
 SAMPLE: dict[str, list[dict]] = {
     "department": [
         dict(dept_name="General", operating_hours="10:00 AM - 8:00 PM", staff_headcount=0),
@@ -52,17 +53,17 @@ SAMPLE: dict[str, list[dict]] = {
              comfort_level="Standard", bed_cost=D("75.00"), bed_status="Available"),
     ],
     "staff": [
-        dict(full_name="Dr. Sarah Johnson", email="sarah.johnson@csh.com.au", mobile="0412345678",
-             address="123 Medical St, Sydney NSW 2000", salary=D("180000.00"), dept_name="General",
+        dict(full_name="Dr. Sarah Johnson", email="sarah.johnson@staff.example", mobile="0412345678",
+             address="123 Medical St, Example City", salary=D("180000.00"), dept_name="General",
              staff_type="Doctor"),
-        dict(full_name="Nurse Emily Chen", email="emily.chen@csh.com.au", mobile="0423456789",
-             address="456 Care Ave, Sydney NSW 2000", salary=D("85000.00"), dept_name="Emergency Department",
+        dict(full_name="Nurse Emily Chen", email="emily.chen@staff.example", mobile="0423456789",
+             address="456 Care Ave, Example City", salary=D("85000.00"), dept_name="Emergency Department",
              staff_type="Nurse"),
-        dict(full_name="Dr. Michael Wong", email="michael.wong@csh.com.au", mobile="0434567890",
-             address="789 Health Rd, Sydney NSW 2000", salary=D("195000.00"), dept_name="Pediatrics",
+        dict(full_name="Dr. Michael Wong", email="michael.wong@staff.example", mobile="0434567890",
+             address="789 Health Rd, Example City", salary=D("195000.00"), dept_name="Pediatrics",
              staff_type="Doctor"),
-        dict(full_name="Nurse Lisa Brown", email="lisa.brown@csh.com.au", mobile="0445678901",
-             address="321 Nurse Lane, Sydney NSW 2000", salary=D("88000.00"), dept_name="Pediatrics",
+        dict(full_name="Nurse Lisa Brown", email="lisa.brown@staff.example", mobile="0445678901",
+             address="321 Nurse Lane, Example City", salary=D("88000.00"), dept_name="Pediatrics",
              staff_type="Nurse"),
     ],
     "doctor": [
@@ -99,15 +100,15 @@ SAMPLE: dict[str, list[dict]] = {
         dict(nurse_id=4, wwcc_clearance=True, wwcc_expiry_date=d("2026-12-31")),
     ],
     "patient": [
-        dict(full_name="John Smith", email="john.smith@email.com", address="10 Patient St, Sydney NSW 2000",
+        dict(full_name="John Smith", email="john.smith@email.com", address="10 Patient St, Example City",
              date_of_birth=d("1985-03-15"), mobile="0456789012", emergency_contact_name="Jane Smith",
              emergency_contact_phone="0467890123", insurance_number="INS123456", blood_type="O+",
              allergies="Penicillin"),
-        dict(full_name="Emma Wilson", email="emma.wilson@email.com", address="20 Family Ave, Sydney NSW 2000",
+        dict(full_name="Emma Wilson", email="emma.wilson@email.com", address="20 Family Ave, Example City",
              date_of_birth=d("1990-07-22"), mobile="0478901234", emergency_contact_name="Robert Wilson",
              emergency_contact_phone="0489012345", insurance_number="INS789012", blood_type="A+",
              allergies="None"),
-        dict(full_name="Oliver Taylor", email="oliver.taylor@email.com", address="30 Child Rd, Sydney NSW 2000",
+        dict(full_name="Oliver Taylor", email="oliver.taylor@email.com", address="30 Child Rd, Example City",
              date_of_birth=d("2015-11-10"), mobile="0490123456", emergency_contact_name="Sophie Taylor",
              emergency_contact_phone="0401234567", insurance_number="INS345678", blood_type="B+",
              allergies="Latex, Peanuts"),

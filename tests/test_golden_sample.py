@@ -92,7 +92,7 @@ def test_q10_profiles(sample):
         {"name": "Cardiology", "proficiency": "Advanced", "is_primary": False}]
     assert (got["Dr. Michael Wong"]["active_patients"], got["Dr. Michael Wong"]["total_patients_treated"]) == (1, 1)
     assert (got["Dr. Sarah Johnson"]["active_patients"], got["Dr. Sarah Johnson"]["total_patients_treated"]) == (0, 2)
-    assert got["Dr. Sarah Johnson"]["contact"] == {"email": "sarah.johnson@csh.com.au", "mobile": "0412345678"}
+    assert got["Dr. Sarah Johnson"]["contact"] == {"email": "sarah.johnson@staff.example", "mobile": "0412345678"}
 
 
 def test_q11_patient_summary(sample):
