@@ -126,6 +126,14 @@ def rules(as_of) -> list[Rule]:
     return out
 
 
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union pairwise (log depth): a left-deep chain re-checks the growing plan on every call."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 def _meta(r: Rule):
     return (F.lit(r.rule_id).alias("rule_id"), F.lit(r.family).alias("family"),
             F.lit(r.table).alias("table_name"), F.lit(r.column).alias("column_name"))
@@ -173,7 +181,7 @@ def rule_counts(h: Hospital, as_of) -> DataFrame:
         elif r.family == "cardinality":
             parts.append(specialty_count_violations(h).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
                          .select(*_meta(r), "violations"))
-    return reduce(DataFrame.unionByName, parts).orderBy("rule_id")
+    return _union_all(parts).orderBy("rule_id")
 
 
 def rule_counts_sql(as_of_sql_date: str) -> str:
