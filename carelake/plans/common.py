@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from carelake.sources.roles import Hospital
 
 
-def doctors_with_staff(h: Hospital, *cols: str) -> DataFrame:
-    """``Doctor JOIN Staff ON doctor_id = staff_id`` keeping ``doctor_id`` plus ``cols``."""
+def doctors_with_staff(h: Hospital, *cols: str, doctor_cols: tuple[str, ...] = ()) -> DataFrame:
+    """``Doctor JOIN Staff ON doctor_id = staff_id`` keeping ``doctor_id``, ``doctor_cols`` and staff ``cols``."""
     staff = h.staff.select("staff_id", *cols)
-    return h.doctor.select("doctor_id").join(staff, F.col("doctor_id") == F.col("staff_id")).drop("staff_id")
+    return (h.doctor.select("doctor_id", *doctor_cols)
+            .join(staff, F.col("doctor_id") == F.col("staff_id")).drop("staff_id"))
 
 
 def attended_admissions(h: Hospital, *cols: str) -> DataFrame:

@@ -137,8 +137,8 @@ def doctor_profiles(h: Hospital) -> DataFrame:
         F.count(F.when(F.col("discharge_date").isNull(), F.col("admission_id"))).alias("_open"))
     counts = pairs.groupBy("doctor_id").agg(
         F.sum("_open").alias("active_patients"), F.count(F.lit(1)).alias("total_patients_treated"))
-    base = (doctors_with_staff(h, "full_name", "dept_name", "salary", "email", "mobile")
-            .join(h.doctor.select("doctor_id", "medical_license_number"), "doctor_id")
+    base = (doctors_with_staff(h, "full_name", "dept_name", "salary", "email", "mobile",
+                               doctor_cols=("medical_license_number",))
             .join(spec, "doctor_id", "left").join(counts, "doctor_id", "left"))
     profile = json_object(
         specialties=F.coalesce(F.transform("_specs", entry), empty),
