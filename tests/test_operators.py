@@ -112,3 +112,26 @@ def test_left_join_split_nulls_keeps_all_rows(spark):
     right = spark.createDataFrame([(10, "a"), (30, "c")], "rk long, name string")
     got = sorted((r.id, r.name) for r in left_join_split_nulls(left, right, "k", "rk").collect())
     assert got == [(1, "a"), (2, None), (3, "c"), (4, None)]
+
+
+def test_ranks_on_generated_skewed_inputs(spark):
+    """Hypothesis-generated inputs: hot values, NULL groups, negative and repeated values."""
+    from hypothesis import given, settings, strategies as st
+
+    row = st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.just(7), st.integers(-50, 50)))
+
+    @settings(max_examples=12, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=120), st.sampled_from([2, 5, 16]), st.booleans())
+    def check(rows, buckets, descending):
+        df = spark.createDataFrame(rows, "g string, v long")
+        pdf = pd.DataFrame(rows, columns=["g", "v"])
+        got = {(r.g, r.v): (r.rk, r.drk)
+               for r in rank_table(df, "v", ["g"], descending, "rk", "drk", buckets).collect()}
+        for g, part in pdf.groupby(pdf["g"].fillna("__null__")):
+            key = None if g == "__null__" else g
+            rk = part["v"].rank(method="min", ascending=not descending)
+            drk = part["v"].rank(method="dense", ascending=not descending)
+            for v, a, b in zip(part["v"], rk, drk):
+                assert got[(key, v)] == (int(a), int(b))
+
+    check()
