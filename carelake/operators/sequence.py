@@ -29,12 +29,14 @@ def first_after(anchors: DataFrame, events: DataFrame, key: str, anchor_t: str,
     width = int(horizon_seconds)
     a_sec = F.unix_timestamp(F.col(anchor_t).cast("timestamp_ntz"))
     e_sec = F.unix_timestamp(F.col(event_t).cast("timestamp_ntz"))
+    # A NULL key never equals anything: such anchors get no next event and
+    # such events are never anyone's next event.
     a = anchors.select(
         F.struct(*[F.col(c) for c in anchors.columns]).alias("_anchor"),
         F.col(key).alias("_key"), a_sec.alias("_t"), F.lit(0).alias("_kind"),
         F.floor(a_sec / width).alias("_block"))
     e_block = F.floor(e_sec / width)
-    e = events.select(
+    e = events.filter(F.col(key).isNotNull()).select(
         F.lit(None).cast(a.schema["_anchor"].dataType).alias("_anchor"),
         F.col(key).alias("_key"), e_sec.alias("_t"), F.lit(1).alias("_kind"),
         F.explode(F.array(e_block, e_block - 1)).alias("_block"))
@@ -44,7 +46,7 @@ def first_after(anchors: DataFrame, events: DataFrame, key: str, anchor_t: str,
          .rowsBetween(Window.unboundedPreceding, -1))
     nxt = F.min(F.when(F.col("_kind") == 1, F.col("_t"))).over(w)
     stream = a.unionByName(e).select("_anchor", "_kind", "_t", nxt.alias("_next"))
-    within: Column = F.col("_next") <= F.col("_t") + F.lit(width)
+    within: Column = F.col("_anchor." + key).isNotNull() & (F.col("_next") <= F.col("_t") + F.lit(width))
     return (stream.filter(F.col("_kind") == 0)
             .select("_anchor.*",
                     F.when(within, F.timestamp_seconds(F.col("_next")).cast("timestamp_ntz"))
