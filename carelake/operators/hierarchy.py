@@ -1,10 +1,11 @@
 """Bounded recursive expansion (a depth-capped recursive CTE).
 
-The recursive step of the workload pairs every hierarchy row with every
-other node (``CROSS JOIN ... WHERE name <> parent``).  The node set is a
-dimension table (departments), so it is gathered once as an array by an
-uncorrelated scalar subquery and each row fans out with ``explode``: no
-cross-join operator, one pass per level, ``max_depth`` levels.
+A recursive CTE evaluates its recursive term against the previous level's
+rows (the working set).  Here each level scans the node table as usual
+(distributed) and pairs every node with the previous level's rows, which
+are gathered once per level by an uncorrelated scalar subquery and
+``explode``d.  Only that working set, never the node table, is gathered;
+there is no cross-join operator, one pass per level, ``max_depth`` levels.
 """
 
 from __future__ import annotations
@@ -18,19 +19,19 @@ def expand_levels(nodes: DataFrame, name: str, root_filter: Column, max_depth: i
     """Rows ``(name, root_<name>, level, path)`` for levels 0..max_depth.
 
     Level 0 holds nodes matching ``root_filter``; level k+1 pairs each row of
-    level k with every node whose name differs from that row's name.  Names
-    are the node key, hence distinct, which ``array_except`` relies on.
+    level k with every node whose name differs from that row's name.
     """
-    all_names = nodes.select(F.collect_list(F.col(name))).scalar()
+    root = "root_" + name
     level = nodes.filter(root_filter).select(
-        F.col(name), F.col(name).alias("root_" + name), F.lit(0).alias("level"),
-        F.col(name).alias("path"))
+        F.col(name), F.col(name).alias(root), F.lit(0).alias("level"), F.col(name).alias("path"))
     out = level
     for _ in range(max_depth):
-        level = (level
-                 .select(F.explode(F.array_except(all_names, F.array(F.col(name)))).alias("_child"),
-                         F.col("root_" + name), (F.col("level") + 1).alias("level"), F.col("path"))
-                 .select(F.col("_child").alias(name), F.col("root_" + name), F.col("level"),
-                         F.concat(F.col("path"), F.lit(separator), F.col("_child")).alias("path")))
+        working_set = level.select(F.collect_list(F.struct(
+            F.col(name).alias("parent"), F.col(root).alias("root"), F.col("level").alias("level"),
+            F.col("path").alias("path")))).scalar()
+        level = (nodes.select(F.col(name), F.explode(working_set).alias("_p"))
+                 .filter(F.col(name) != F.col("_p.parent"))
+                 .select(F.col(name), F.col("_p.root").alias(root), (F.col("_p.level") + 1).alias("level"),
+                         F.concat(F.col("_p.path"), F.lit(separator), F.col(name)).alias("path")))
         out = out.unionByName(level)
     return out

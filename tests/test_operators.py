@@ -135,3 +135,17 @@ def test_ranks_on_generated_skewed_inputs(spark):
                 assert got[(key, v)] == (int(a), int(b))
 
     check()
+
+
+def test_expand_levels_matches_recursive_definition(spark):
+    from carelake.operators.hierarchy import expand_levels
+    names = ["a", "b", "c", "d"]
+    nodes = spark.createDataFrame([(n, n == "a") for n in names], "dept_name string, is_root boolean")
+    got = sorted(tuple(r) for r in expand_levels(nodes, "dept_name", F.col("is_root"), max_depth=2).collect())
+    want, level = [], [("a", "a", 0, "a")]
+    for depth in range(3):
+        want += level
+        if depth == 2:
+            break
+        level = [(n, root, lv + 1, f"{path} > {n}") for (parent, root, lv, path) in level for n in names if n != parent]
+    assert got == sorted(want)
