@@ -8,9 +8,11 @@ per rule with its violation count, and on request the violating records.
   length) are SQL predicates, like the CHECK clauses they come from.  All
   row rules of a table are evaluated in **one** aggregate pass over it.  A
   NULL predicate passes, as a CHECK does.
-* unique / primary key: rows whose non-NULL key occurs more than once
-  (grouped count; map-side partial aggregation absorbs a hot key).
-* foreign key: non-NULL references with no target (left-anti join).
+* unique / primary key: rows whose non-NULL key occurs more than once;
+  all such rules share one scan per table and one grouped count (map-side
+  partial aggregation absorbs a hot key).
+* foreign key: non-NULL references with no target; all references are
+  pre-counted per key and checked in one left-anti join.
 * specialty cardinality: doctors with 0 or more than 5 specialties.
 """
 
@@ -152,8 +154,77 @@ def specialty_count_violations(h: Hospital) -> DataFrame:
             .select("doctor_id", n.alias("specialty_count")))
 
 
+def _per_rule(found: DataFrame, rs: list[Rule], value: str) -> DataFrame:
+    """One row per rule (zeros included) from ``(rule_id, value)`` rows, by conditional sums."""
+    wide = found.agg(*[F.coalesce(F.sum(F.when(F.col("rule_id") == r.rule_id, F.col(value))), F.lit(0))
+                       .cast("bigint").alias(f"c{i}") for i, r in enumerate(rs)])
+    return wide.select(F.explode(F.array(*[
+        F.struct(*_meta(r), F.col(f"c{i}").alias("violations")) for i, r in enumerate(rs)])).alias("_r")
+    ).select("_r.*")
+
+
+def _key_text(cols: tuple[str, ...]):
+    """A key as one comparable string (composite keys as a JSON array)."""
+    if len(cols) == 1:
+        return F.col(cols[0]).cast("string")
+    return F.to_json(F.array(*[F.col(c).cast("string") for c in cols]))
+
+
+def _unique_violations(h: Hospital, rs: list[Rule]) -> DataFrame:
+    """All key-uniqueness rules in one pass: one scan per table, one grouped count.
+
+    Each table emits ``(rule_id, key)`` for its non-NULL keys; keys are
+    counted per rule (map-side partial counts absorb a hot key) and rows in
+    groups of more than one are violations.
+    """
+    by_table: dict[str, list[Rule]] = {}
+    for r in rs:
+        by_table.setdefault(r.table, []).append(r)
+    keyed = []
+    for table, trs in by_table.items():
+        entries = [F.when(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in r.key]),
+                          F.struct(F.lit(r.rule_id).alias("rule_id"), _key_text(r.key).alias("k")))
+                   for r in trs]
+        keyed.append(getattr(h, table)
+                     .select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_e"))
+                     .select("_e.rule_id", "_e.k"))
+    counts = _union_all(keyed).groupBy("rule_id", "k").agg(F.count(F.lit(1)).alias("_n"))
+    return _per_rule(counts.filter(F.col("_n") > 1), rs, "_n")
+
+
+def _foreign_key_violations(h: Hospital, rs: list[Rule]) -> DataFrame:
+    """All foreign-key rules in one anti join.
+
+    Child tables emit ``(target, key)`` per non-NULL reference, pre-counted
+    per key so a hot key is one row; targets emit their distinct keys; one
+    left-anti join on ``(target, key)`` leaves the orphans.
+    """
+    by_table: dict[str, list[Rule]] = {}
+    for r in rs:
+        by_table.setdefault(r.table, []).append(r)
+    refs = []
+    for table, trs in by_table.items():
+        entries = [F.when(F.col(r.column).isNotNull(), F.struct(
+            F.lit(r.rule_id).alias("rule_id"), F.lit(".".join(r.ref)).alias("target"),
+            F.col(r.column).cast("string").alias("k"))) for r in trs]
+        refs.append(getattr(h, table)
+                    .select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_e"))
+                    .select("_e.rule_id", "_e.target", "_e.k"))
+    child = _union_all(refs).groupBy("rule_id", "target", "k").agg(F.count(F.lit(1)).alias("_n"))
+    targets = _union_all([
+        getattr(h, t).select(F.lit(f"{t}.{c}").alias("target"), F.col(c).cast("string").alias("k"))
+        for t, c in sorted({r.ref for r in rs})]).distinct()
+    orphans = child.join(targets, ["target", "k"], "left_anti")
+    return _per_rule(orphans, rs, "_n")
+
+
 def rule_counts(h: Hospital, as_of) -> DataFrame:
-    """``(rule_id, family, table_name, column_name, violations)``, one row per rule."""
+    """``(rule_id, family, table_name, column_name, violations)``, one row per rule.
+
+    Row rules: one aggregate pass per table.  Uniqueness rules: one pass in
+    total.  Foreign keys: one anti join in total.  Specialty cardinality: one
+    grouped count.
+    """
     rs = rules(as_of)
     parts: list[DataFrame] = []
     by_table: dict[str, list[Rule]] = {}
@@ -165,20 +236,10 @@ def rule_counts(h: Hospital, as_of) -> DataFrame:
         parts.append(wide.select(F.explode(F.array(*[
             F.struct(*_meta(r), F.col(f"c{i}").cast("bigint").alias("violations"))
             for i, r in enumerate(trs)])).alias("_r")).select("_r.*"))
+    parts.append(_unique_violations(h, [r for r in rs if r.family == "unique"]))
+    parts.append(_foreign_key_violations(h, [r for r in rs if r.family == "foreign_key"]))
     for r in rs:
-        if r.family == "unique":
-            t = getattr(h, r.table)
-            keyed = t.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in r.key]))
-            dup = keyed.groupBy(*r.key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-            parts.append(dup.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations"))
-                         .select(*_meta(r), "violations"))
-        elif r.family == "foreign_key":
-            t, (ref_t, ref_c) = getattr(h, r.table), r.ref
-            target = getattr(h, ref_t).select(F.col(ref_c).alias("_ref"))
-            orphans = t.filter(F.col(r.column).isNotNull()).join(target, F.col(r.column) == F.col("_ref"), "left_anti")
-            parts.append(orphans.agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
-                         .select(*_meta(r), "violations"))
-        elif r.family == "cardinality":
+        if r.family == "cardinality":
             parts.append(specialty_count_violations(h).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
                          .select(*_meta(r), "violations"))
     return _union_all(parts).orderBy("rule_id")
