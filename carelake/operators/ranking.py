@@ -135,7 +135,8 @@ def with_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bo
 
 
 def percentile_cont(df: DataFrame, value: str, by: Sequence[str],
-                    fractions: dict[str, float], n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    fractions: dict[str, float], n_buckets: int = DEFAULT_BUCKETS,
+                    few_groups: bool = True) -> DataFrame:
     """Exact ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group, as DOUBLE.
 
     The value distribution is reduced to distinct values with counts and
@@ -144,9 +145,10 @@ def percentile_cont(df: DataFrame, value: str, by: Sequence[str],
     per group is held in one task beyond those few values.
     """
     by = list(by)
-    r = value_ranks(df, value, by, descending=False, n_buckets=n_buckets)
+    r = value_ranks(df, value, by, descending=False, n_buckets=n_buckets, few_groups=few_groups)
     if by:
-        totals = F.broadcast(r.groupBy(*by).agg(F.sum("n").alias("_total")))
+        totals = r.groupBy(*by).agg(F.sum("n").alias("_total"))
+        totals = F.broadcast(totals) if few_groups else totals
         r = r.join(totals, _null_safe_on(r, totals, by), "inner").select(r["*"], totals["_total"])
     else:
         r = r.withColumn("_total", r.select(F.sum("n")).scalar())
