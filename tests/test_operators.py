@@ -149,3 +149,11 @@ def test_expand_levels_matches_recursive_definition(spark):
             break
         level = [(n, root, lv + 1, f"{path} > {n}") for (parent, root, lv, path) in level for n in names if n != parent]
     assert got == sorted(want)
+
+
+def test_value_ranks_without_broadcast_hints_agrees(spark):
+    df = spark.createDataFrame(_skewed_values(), "id long, g string, v long")
+    hinted = sorted(map(tuple, value_ranks(df, "v", ["g"], n_buckets=8).collect()), key=lambda t: (t[0] or "", t[1]))
+    planned = sorted(map(tuple, value_ranks(df, "v", ["g"], n_buckets=8, few_groups=False).collect()),
+                     key=lambda t: (t[0] or "", t[1]))
+    assert hinted == planned
