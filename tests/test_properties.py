@@ -91,3 +91,21 @@ def test_approximate_percentiles_are_close_to_exact(h):
     for t in exact:
         for c in ("cost_25th_percentile", "cost_median", "cost_75th_percentile", "cost_90th_percentile"):
             assert approx[t][c] == pytest.approx(exact[t][c], rel=0.05)
+
+
+def test_dashboard_utilisation_thresholds(spark):
+    """Occupancy 95 / 80 / 60 / 50 / 90 % -> HIGH / OPTIMAL / MODERATE / LOW / OPTIMAL (bounds are strict)."""
+    from decimal import Decimal
+    occupied = {"A": 19, "B": 16, "C": 12, "D": 10, "E": 18}    # out of 20 beds each
+    depts = [dict(dept_name=d, operating_hours="24 Hours") for d in occupied]
+    wards = [dict(ward_id=i + 1, ward_name=f"W{d}", dept_name=d, ward_type="General", bed_capacity=20)
+             for i, d in enumerate(occupied)]
+    beds = [dict(ward_id=i + 1, bed_length=Decimal("2.00"), bed_width=Decimal("1.00"),
+                 mattress_thickness=Decimal("16.00"), bed_cost=Decimal("10.00"),
+                 bed_status="Occupied" if k < n else "Available")
+            for i, (d, n) in enumerate(occupied.items()) for k in range(20)]
+    h = hospital_from_rows(spark, {"department": depts, "ward": wards, "bed": beds}, apply_bed_trigger=False)
+    got = {r["dept_name"]: (r["occupancy_rate"], r["utilization_status"])
+           for r in facilities.department_dashboard(h).collect()}
+    assert got == {"A": (95.0, "HIGH UTILIZATION"), "B": (80.0, "OPTIMAL"), "C": (60.0, "MODERATE"),
+                   "D": (50.0, "LOW UTILIZATION"), "E": (90.0, "OPTIMAL")}
