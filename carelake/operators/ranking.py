@@ -48,7 +48,7 @@ DEFAULT_BUCKETS = 32
 def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False,
                 n_buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
                 few_groups: bool = True) -> DataFrame:
-    """Distinct ``(by..., value)`` with ``n``, ``before`` and ``distinct_before``.
+    """Distinct ``(by..., value)`` with ``n``, ``before``, ``distinct_before`` and ``group_n``.
 
     ``value`` must be numeric; NULL values are left out.  ``by`` columns may
     be NULL (a NULL group is one group, like PARTITION BY).  ``few_groups``
@@ -89,11 +89,12 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
     offsets = small(totals.select(
         *by, "_bucket",
         F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_off_n"),
-        F.coalesce(F.sum("_bd").over(w_off), F.lit(0)).alias("_off_d")))
+        F.coalesce(F.sum("_bd").over(w_off), F.lit(0)).alias("_off_d"),
+        F.sum("_bn").over(Window.partitionBy(*by)).alias("_group_n")))  # same window stage
 
     cond = _null_safe_on(bucketed, offsets, by + ["_bucket"])
     joined = bucketed.join(offsets, cond, "inner").select(
-        bucketed["*"], offsets["_off_n"], offsets["_off_d"])
+        bucketed["*"], offsets["_off_n"], offsets["_off_d"], offsets["_group_n"])
     order = F.col(value).desc() if descending else F.col(value).asc()
     w_in = Window.partitionBy(*by, "_bucket").orderBy(order)
     w_prev = w_in.rowsBetween(Window.unboundedPreceding, -1)
@@ -101,7 +102,8 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
         *by, value,
         F.col("_n").alias("n"),
         (F.col("_off_n") + F.coalesce(F.sum("_n").over(w_prev), F.lit(0))).alias("before"),
-        (F.col("_off_d") + F.row_number().over(w_in) - 1).alias("distinct_before"))
+        (F.col("_off_d") + F.row_number().over(w_in) - 1).alias("distinct_before"),
+        F.col("_group_n").alias("group_n"))
 
 
 def rank_table(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = True,
@@ -145,13 +147,8 @@ def percentile_cont(df: DataFrame, value: str, by: Sequence[str],
     per group is held in one task beyond those few values.
     """
     by = list(by)
-    r = value_ranks(df, value, by, descending=False, n_buckets=n_buckets, few_groups=few_groups)
-    if by:
-        totals = r.groupBy(*by).agg(F.sum("n").alias("_total"))
-        totals = F.broadcast(totals) if few_groups else totals
-        r = r.join(totals, _null_safe_on(r, totals, by), "inner").select(r["*"], totals["_total"])
-    else:
-        r = r.withColumn("_total", r.select(F.sum("n")).scalar())
+    r = (value_ranks(df, value, by, descending=False, n_buckets=n_buckets, few_groups=few_groups)
+         .withColumnRenamed("group_n", "_total"))
     v = F.col(value).cast("double")
     aggs = []
     for name, p in fractions.items():
