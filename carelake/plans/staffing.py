@@ -41,10 +41,12 @@ def salary_ranking(h: Hospital) -> DataFrame:
     # Department means: one row per department (dimension-sized), broadcast.
     dept = F.broadcast(docs.groupBy("dept_name").agg(
         (F.sum("salary").cast("double") / F.count("salary")).alias("_avg")))
-    ranked = (docs.join(in_dept, (docs["dept_name"].eqNullSafe(in_dept["dept_name"]))
-                        & (docs["salary"] == in_dept["salary"]))
-              .select(docs["*"], in_dept["salary_rank_in_dept"])
-              .join(overall, "salary"))
+    # Both rank tables hold one row per distinct value: combine them first,
+    # so the doctor rows are joined once.
+    both = in_dept.join(overall, "salary")
+    ranked = (docs.join(both, (docs["dept_name"].eqNullSafe(both["dept_name"]))
+                        & (docs["salary"] == both["salary"]))
+              .select(docs["*"], both["salary_rank_in_dept"], both["overall_salary_rank"]))
     out = ranked.join(dept, ranked["dept_name"].eqNullSafe(dept["dept_name"])).select(
         F.col("full_name").alias("doctor_name"), ranked["dept_name"],
         F.col("salary").cast("double").alias("salary"),
