@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from carelake.functions.dates import as_of_lit, day_of, days_between
 from carelake.functions.json import json_object, to_json_text
 from carelake.functions.numeric import pct, round_half, safe_div
-from carelake.operators.ranking import rank_table
+from carelake.operators.ranking import value_ranks
 from carelake.plans.common import attended_admissions, doctors_with_staff, specialty_counts
 from carelake.sources.roles import Hospital
 
@@ -24,8 +24,11 @@ from carelake.sources.roles import Hospital
 def salary_ranking(h: Hospital) -> DataFrame:
     """Q1: doctors' salary rank within department (dense) and overall, vs department mean.
 
-    Both ranks come from ``with_ranks`` (distinct-value prefix sums) instead of
-    a window holding a whole department, or all doctors, in one task.
+    Both ranks come from one ``value_ranks`` pass (distinct-value prefix sums)
+    instead of a window holding a whole department, or all doctors, in one
+    task.  The department mean is read off the same distinct-value table
+    (sum of salary x multiplicity over the department's count), and all
+    per-value results are combined before the doctor rows are joined once.
     """
     docs = doctors_with_staff(h, "full_name", "dept_name", "salary")
     # One ranking pass for both scopes: each doctor appears once per scope
@@ -34,21 +37,21 @@ def salary_ranking(h: Hospital) -> DataFrame:
         F.struct(F.lit(0).alias("scope"), F.col("dept_name").alias("grp"), F.col("salary").alias("salary")),
         F.struct(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("grp"),
                  F.col("salary").alias("salary")))).alias("_s")).select("_s.*")
-    ranks = rank_table(scoped, "salary", by=["scope", "grp"], descending=True, rank="_rank", dense_rank="_dense")
-    in_dept = ranks.filter(F.col("scope") == 0).select(
-        F.col("grp").alias("dept_name"), "salary", F.col("_dense").alias("salary_rank_in_dept"))
-    overall = ranks.filter(F.col("scope") == 1).select("salary", F.col("_rank").alias("overall_salary_rank"))
-    # Department means: one row per department (dimension-sized), broadcast.
-    dept = F.broadcast(docs.groupBy("dept_name").agg(
-        (F.sum("salary").cast("double") / F.count("salary")).alias("_avg")))
-    # Both rank tables hold one row per distinct value: combine them first,
-    # so the doctor rows are joined once.
+    vr = value_ranks(scoped, "salary", by=["scope", "grp"], descending=True)
+    per_dept = vr.filter(F.col("scope") == 0)
+    dept_mean = per_dept.groupBy(F.col("grp").alias("_g")).agg(
+        (F.sum(F.col("salary") * F.col("n")).cast("double") / F.sum("n")).alias("_avg"))
+    in_dept = per_dept.join(dept_mean, F.col("grp").eqNullSafe(F.col("_g"))).select(
+        F.col("grp").alias("dept_name"), "salary",
+        (F.col("distinct_before") + 1).cast("bigint").alias("salary_rank_in_dept"), "_avg")
+    overall = vr.filter(F.col("scope") == 1).select(
+        "salary", (F.col("before") + 1).cast("bigint").alias("overall_salary_rank"))
     both = in_dept.join(overall, "salary")
     ranked = (docs.join(both, (docs["dept_name"].eqNullSafe(both["dept_name"]))
                         & (docs["salary"] == both["salary"]))
-              .select(docs["*"], both["salary_rank_in_dept"], both["overall_salary_rank"]))
-    out = ranked.join(dept, ranked["dept_name"].eqNullSafe(dept["dept_name"])).select(
-        F.col("full_name").alias("doctor_name"), ranked["dept_name"],
+              .select(docs["*"], both["salary_rank_in_dept"], both["overall_salary_rank"], both["_avg"]))
+    out = ranked.select(
+        F.col("full_name").alias("doctor_name"), "dept_name",
         F.col("salary").cast("double").alias("salary"),
         "salary_rank_in_dept", "overall_salary_rank",
         round_half(F.col("_avg"), 2).alias("dept_avg_salary"),
