@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelake.functions.dates import as_of_lit, day_of, days_between, month_start
 from carelake.functions.json import iso_timestamp, json_object, to_json_text
 from carelake.functions.numeric import pct, round_half, safe_div
-from carelake.operators.joins import left_join_split_nulls
+from carelake.operators.joins import left_join_salted_nulls
 from carelake.plans.common import attended_admissions, bills, doctors_with_staff
 from carelake.sources.roles import Hospital
 
@@ -80,15 +80,15 @@ def revenue_grouping_sets(h: Hospital) -> DataFrame:
 def patient_summary(h: Hospital, as_of) -> DataFrame:
     """Q11: every patient with admission types, doctors seen, charges and a JSON history.
 
-    Admissions with no doctor skip the doctor join (``left_join_split_nulls``)
-    rather than piling into one shuffle partition.  Lists are per patient and
-    bounded by that patient's history.  A patient without admissions has NULL
+    Admissions with no doctor are spread over shuffle partitions by a salt
+    (``left_join_salted_nulls``) rather than piling into one, in a single
+    pass.  Lists are per patient and bounded by that patient's history.  A patient without admissions has NULL
     types, doctors and history (aggregates over no rows), 0 visits and charges.
     """
     names = doctors_with_staff(h, "full_name").withColumnRenamed("full_name", "doctor")
     a = h.admission.select("admission_id", "patient_id", "admission_type", "admission_date",
                            "discharge_date", "primary_diagnosis", "doctor_id")
-    a = left_join_split_nulls(a, names.withColumnRenamed("doctor_id", "_doc_id"), "doctor_id", "_doc_id")
+    a = left_join_salted_nulls(a, names.withColumnRenamed("doctor_id", "_doc_id"), "doctor_id", "_doc_id")
     a = a.join(bills(h, "total_cost", "insurance_covered_amount", "remaining_balance"), "admission_id", "left")
     stay = days_between(F.coalesce(F.col("discharge_date"), as_of_lit(as_of)), day_of(F.col("admission_date")))
     item = F.struct(

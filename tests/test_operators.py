@@ -157,3 +157,13 @@ def test_value_ranks_without_broadcast_hints_agrees(spark):
     planned = sorted(map(tuple, value_ranks(df, "v", ["g"], n_buckets=8, few_groups=False).collect()),
                      key=lambda t: (t[0] or "", t[1]))
     assert hinted == planned
+
+
+def test_left_join_salted_nulls_keeps_all_rows_once(spark):
+    from carelake.operators.joins import left_join_salted_nulls
+    rows = [(i, None if i % 3 == 0 else i % 4) for i in range(60)]
+    left = spark.createDataFrame(rows, "id long, k long")
+    right = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "rk long, name string")
+    got = sorted((r.id, r.name) for r in left_join_salted_nulls(left, right, "k", "rk", buckets=8).collect())
+    names = {0: "a", 1: "b", 2: "c"}
+    assert got == sorted((i, names.get(k) if k is not None else None) for i, k in rows)
