@@ -6,10 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import chat, decontam, packing, simhash, sql
+from carelake.llm import arc, chat, decontam, packing, simhash, sql, winnow
 from carelake.llm.common import staged, table
 
 
+def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprint_neighbours(table(spark, sf_dir, "documents"), k=32, window=64)
+
+
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.archive_pages(table(spark, sf_dir, "pages")).withColumnRenamed("key", "page_id")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontam.digest(found)
@@ -34,7 +42,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_decontaminate, op5_simhash, op8_pack, op10_chat)}
+    return {f.__name__: f for f in (op1_winnow, op2_arc_to_warc, op4_decontaminate, op5_simhash, op8_pack, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
