@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import arc, chat, decontam, packing, simhash, sql, winnow
+from carelake.llm import arc, chat, decontam, extract, ordinal, packing, simhash, sql, winnow
 from carelake.llm.common import staged, table
 
 
@@ -18,6 +18,12 @@ def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc.archive_pages(table(spark, sf_dir, "pages")).withColumnRenamed("key", "page_id")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ordinal.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), least=0.8)
+    return found.select(F.col("c0").alias("doc_id"), F.col("r_expected_grade").alias("expected_grade"),
+                        F.col("r_tail_probability").alias("tail_probability"), "keep")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontam.digest(found)
@@ -28,6 +34,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                                   capacity=4096, end_id=1)
@@ -42,7 +52,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_winnow, op2_arc_to_warc, op4_decontaminate, op5_simhash, op8_pack, op10_chat)}
+    return {f.__name__: f for f in (op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op8_pack, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
