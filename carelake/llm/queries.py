@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import arc, chat, decontam, extract, ordinal, packing, simhash, sql, winnow
+from carelake.llm import arc, chat, decontam, extract, licenses, ordinal, packing, simhash, sql, winnow
 from carelake.llm.common import staged, table
 
 
@@ -43,6 +43,11 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   capacity=4096, end_id=1)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.per_document(licenses.scan(docs, licenses.fit(docs), least=0.6, similarity=0.8))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
@@ -52,7 +57,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op8_pack, op10_chat)}
+    return {f.__name__: f for f in (op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op8_pack, op9_licenses, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
