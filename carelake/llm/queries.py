@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import arc, chat, decontam, extract, licenses, ordinal, packing, simhash, sql, winnow
+from carelake.llm import arc, chat, decontam, extract, licenses, ordinal, packing, simhash, sql, substring, winnow
 from carelake.llm.common import staged, table
 
 
@@ -38,6 +38,12 @@ def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), window=20).select(
+        F.col("c0").alias("doc_id"), F.col("r_n_words").alias("n_words"), F.col("r_n_removed").alias("n_removed"),
+        F.sha2("r_kept", 256).alias("kept_sha256"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                                   capacity=4096, end_id=1)
@@ -57,7 +63,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op8_pack, op9_licenses, op10_chat)}
+    return {f.__name__: f for f in (op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op7_substring, op8_pack, op9_licenses, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
