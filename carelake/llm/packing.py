@@ -24,6 +24,8 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from collections import defaultdict
 from collections.abc import Sequence
@@ -46,29 +48,64 @@ SLOTS = T.StructType([T.StructField(n, T.LongType()) for n in
 class WordCache:
     """Token ids of whole texts, word by word.
 
-    The tokenizer never joins what white space separates, so ids of a text are the ids
-    of its space- and newline-separated words in order; frequent words are kept.
+    The tokenizer never joins what white space separates, nor letters and a closing mark,
+    and lower-cases: the ids of a text are those of its space- and newline-separated words
+    in order, and ``Word,`` has those of ``word`` and ``,``.  What words give is kept.
+    New words are encoded together, with a special token between them.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    MARKS = frozenset(".,;:!?")
 
+    def __init__(self, path: str, most: int = 800_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok, self.most, self.known = Tokenizer.from_file(path), most, {"": b""}
+        self.special = next((t.content for t in self.tok.get_added_tokens_decoder().values() if t.special), None)
+        self.mark = self.tok.token_to_id(self.special) if self.special else None
+
+    @classmethod
+    def of_worker(cls, path: str) -> WordCache:
+        """The cache of this Python worker, which Spark lets run many tasks."""
+        kept = sys.modules.setdefault("carelake_worker_caches", types.ModuleType("carelake_worker_caches"))
+        if path not in kept.__dict__:
+            kept.__dict__[path] = cls(path)
+        return kept.__dict__[path]
+
+    def encode(self, words: list[str]) -> None:
+        plain = [w for w in words if self.special and "<" not in w]
+        for i in range(0, len(plain), 2000):
+            part = plain[i:i + 2000]
+            ids = np.asarray(self.tok.encode(self.special.join(part), add_special_tokens=False).ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            data = ids.tobytes()
+            for w, start, end in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                self.known[w] = data[4 * start:4 * end]
+        for w in words:
+            if w not in self.known:
+                self.known[w] = np.asarray(self.tok.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 20_000):
-            part = words[i:i + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+        known, forms, new = self.known, {}, {}
+        for w in words:
+            core, tail = (w[:-1], w[-1]) if w[-1] in self.MARKS else (w, "")
+            if core.isalpha() and max(core) <= "\u00ff":  # where lower case is one letter for one
+                core = core.lower()
+            else:
+                core, tail = w, ""
+            forms[w] = core, tail
+            new.update((x, None) for x in (core, tail) if x not in known)
+        self.encode(list(new))
+        for w, (core, tail) in forms.items():
+            known[w] = known[core] + known[tail]
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         words = text.replace("\n", " ").split(" ")
         new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if len(self.known) + len(new) > self.most:
-            self.known = {"": b""}
-            new = [w for w in dict.fromkeys(words) if w]
-        self.learn(new)
+        if new:
+            if len(self.known) + len(new) > self.most:
+                self.known = {"": b""}
+                new = [w for w in dict.fromkeys(words) if w]
+            self.learn(new)
         return b"".join(map(self.known.__getitem__, words))
 
 
@@ -78,7 +115,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id:
     end, width = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
 
     def start():
-        cache = WordCache(tokenizer)
+        cache = WordCache.of_worker(tokenizer)
 
         def cut(texts: list):
             out = []
@@ -144,7 +181,7 @@ def plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple], int]:
     return slots, total
 
 
-def numbered(pieces: DataFrame, rows_per_salt: int = 200_000) -> DataFrame:
+def numbered(pieces: DataFrame, rows_per_salt: int = 2000) -> DataFrame:
     """``pieces`` with a gapless number from 0 within each length."""
     salts = max(1, -(-pieces.count() // rows_per_salt))
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
