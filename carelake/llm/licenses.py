@@ -124,7 +124,7 @@ def paragraphs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """rid, doc_id, n_paragraphs, paragraph, line; the last line of each row is a null that stands for it."""
     lines = F.split(F.coalesce(col(text).cast("string"), F.lit("")), "\n")
     src = docs.select(F.monotonically_increasing_id().alias("rid"), col(doc_id).alias("doc_id"), lines.alias("lines"))
-    filled = F.size(F.filter("lines", lambda x: F.length(F.trim(x)) > 0)).cast("long")
+    filled = F.size(F.filter("lines", lambda x: x.rlike(r"\S"))).cast("long")
     return src.select("rid", "doc_id", filled.alias("n_paragraphs"), F.posexplode(
         F.concat("lines", F.array(F.lit(None).cast("string")))).alias("paragraph", "line"))
 
