@@ -24,5 +24,5 @@ def to_json_text(c: Column) -> Column:
 
 
 def iso_timestamp(ts: Column) -> Column:
-    """Timestamp as ``yyyy-MM-ddTHH:mm:ss`` text (JSON-friendly, engine-neutral)."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    """Timestamp as ``yyyy-MM-ddTHH:mm:ss[.ffffff]`` text, the fraction without closing zeros."""
+    return F.replace(ts.cast("string"), F.lit(" "), F.lit("T"))

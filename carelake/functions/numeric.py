@@ -31,5 +31,5 @@ def pct(part: Column, whole: Column, digits: int = 2) -> Column:
 
 
 def money(x: Column) -> Column:
-    """Monetary output column: exact decimal input, DOUBLE out with 2 decimals."""
-    return round_half(x, 2)
+    """Monetary output column: exact, with 2 decimals."""
+    return x.cast("decimal(38,2)")

@@ -1,11 +1,9 @@
-"""Bounded recursive expansion (a depth-capped recursive CTE).
+"""Bounded recursive expansion along a parent key.
 
 A recursive CTE evaluates its recursive term against the previous level's
-rows (the working set).  Here each level scans the node table as usual
-(distributed) and pairs every node with the previous level's rows, which
-are gathered once per level by an uncorrelated scalar subquery and
-``explode``d.  Only that working set, never the node table, is gathered;
-there is no cross-join operator, one pass per level, ``max_depth`` levels.
+rows.  Here a node carries a key and the key of its parent, and each level is
+an equi-join of the node table with the level before: ``max_depth`` joins,
+whose output is the rows of the next level and nothing else.
 """
 
 from __future__ import annotations
@@ -14,24 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def expand_levels(nodes: DataFrame, name: str, root_filter: Column, max_depth: int = 1,
-                  separator: str = " > ") -> DataFrame:
+def expand_levels(nodes: DataFrame, name: str, key: Column, parent: Column, root_filter: Column,
+                  max_depth: int = 1, separator: str = " > ") -> DataFrame:
     """Rows ``(name, root_<name>, level, path)`` for levels 0..max_depth.
 
-    Level 0 holds nodes matching ``root_filter``; level k+1 pairs each row of
-    level k with every node whose name differs from that row's name.
+    Level 0 holds nodes matching ``root_filter``; level k+1 holds the nodes whose
+    ``parent`` equals the ``key`` of a row of level k, itself left out.
     """
     root = "root_" + name
-    level = nodes.filter(root_filter).select(
-        F.col(name), F.col(name).alias(root), F.lit(0).alias("level"), F.col(name).alias("path"))
+    src = nodes.select(F.col(name), key.alias("_key"), parent.alias("_parent"), root_filter.alias("_is_root"))
+    level = src.filter("_is_root").select(
+        F.col(name), F.col(name).alias(root), F.lit(0).alias("level"), F.col(name).alias("path"), "_key")
     out = level
     for _ in range(max_depth):
-        working_set = level.select(F.collect_list(F.struct(
-            F.col(name).alias("parent"), F.col(root).alias("root"), F.col("level").alias("level"),
-            F.col("path").alias("path")))).scalar()
-        level = (nodes.select(F.col(name), F.explode(working_set).alias("_p"))
-                 .filter(F.col(name) != F.col("_p.parent"))
-                 .select(F.col(name), F.col("_p.root").alias(root), (F.col("_p.level") + 1).alias("level"),
-                         F.concat(F.col("_p.path"), F.lit(separator), F.col(name)).alias("path")))
+        above = level.select(F.col(name).alias("_above"), root, "level", "path", F.col("_key").alias("_above_key"))
+        level = (src.join(above, F.col("_parent") == F.col("_above_key"))
+                 .filter(F.col(name) != F.col("_above"))
+                 .select(F.col(name), root, (F.col("level") + 1).alias("level"),
+                         F.concat(F.col("path"), F.lit(separator), F.col(name)).alias("path"), "_key"))
         out = out.unionByName(level)
-    return out
+    return out.drop("_key")

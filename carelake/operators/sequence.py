@@ -24,21 +24,22 @@ def first_after(anchors: DataFrame, events: DataFrame, key: str, anchor_t: str,
                 horizon_seconds: int) -> DataFrame:
     """Anchors plus ``next_t``: earliest event time in ``(anchor_t, anchor_t + horizon]`` or NULL.
 
-    ``anchor_t`` / ``event_t`` are timestamp columns; anchors keep all their columns.
+    ``anchor_t`` / ``event_t`` are timestamp columns, compared to the microsecond;
+    anchors keep all their columns.
     """
-    width = int(horizon_seconds)
-    a_sec = F.unix_timestamp(F.col(anchor_t).cast("timestamp_ntz"))
-    e_sec = F.unix_timestamp(F.col(event_t).cast("timestamp_ntz"))
+    width = int(horizon_seconds) * 1_000_000
+    a_us = F.unix_micros(F.col(anchor_t).cast("timestamp"))
+    e_us = F.unix_micros(F.col(event_t).cast("timestamp"))
     # A NULL key never equals anything: such anchors get no next event and
     # such events are never anyone's next event.
     a = anchors.select(
         F.struct(*[F.col(c) for c in anchors.columns]).alias("_anchor"),
-        F.col(key).alias("_key"), a_sec.alias("_t"), F.lit(0).alias("_kind"),
-        F.floor(a_sec / width).alias("_block"))
-    e_block = F.floor(e_sec / width)
+        F.col(key).alias("_key"), a_us.alias("_t"), F.lit(0).alias("_kind"),
+        F.floor(a_us / width).alias("_block"))
+    e_block = F.floor(e_us / width)
     e = events.filter(F.col(key).isNotNull()).select(
         F.lit(None).cast(a.schema["_anchor"].dataType).alias("_anchor"),
-        F.col(key).alias("_key"), e_sec.alias("_t"), F.lit(1).alias("_kind"),
+        F.col(key).alias("_key"), e_us.alias("_t"), F.lit(1).alias("_kind"),
         F.explode(F.array(e_block, e_block - 1)).alias("_block"))
     # Same-time events sort after the anchor, so "strictly later" holds.
     w = (Window.partitionBy("_key", "_block")
@@ -49,5 +50,5 @@ def first_after(anchors: DataFrame, events: DataFrame, key: str, anchor_t: str,
     within: Column = F.col("_anchor." + key).isNotNull() & (F.col("_next") <= F.col("_t") + F.lit(width))
     return (stream.filter(F.col("_kind") == 0)
             .select("_anchor.*",
-                    F.when(within, F.timestamp_seconds(F.col("_next")).cast("timestamp_ntz"))
+                    F.when(within, F.timestamp_micros(F.col("_next")).cast("timestamp_ntz"))
                     .alias("next_t")))

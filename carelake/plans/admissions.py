@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.dates import (as_of_lit, day_of, days_between, epoch_seconds,
                                       midnight, month_start)
-from carelake.functions.numeric import pct, round_half, safe_div
+from carelake.functions.numeric import money, pct, round_half, safe_div
 from carelake.operators.census import daily_census
 from carelake.operators.ranking import percentile_cont
 from carelake.operators.sequence import first_after
@@ -32,8 +32,7 @@ def monthly_admissions(h: Hospital) -> DataFrame:
         "month", "admissions_this_month",
         F.sum("admissions_this_month").over(w.rowsBetween(Window.unboundedPreceding, 0))
         .cast("bigint").alias("cumulative_admissions"),
-        round_half(F.avg("admissions_this_month").over(w.rowsBetween(-2, 0)), 6)
-        .alias("three_month_moving_avg")).orderBy("month")
+        F.avg("admissions_this_month").over(w.rowsBetween(-2, 0)).alias("three_month_moving_avg")).orderBy("month")
 
 
 def daily_occupancy(h: Hospital, calendar_days: bool = False) -> DataFrame:
@@ -76,8 +75,8 @@ def patient_admission_pivot(h: Hospital) -> DataFrame:
     per = per.filter(F.col("total_admissions") > 1)
     out = h.patient.select("patient_id", "full_name").join(per, "patient_id").select(
         "patient_id", "full_name", "emergency_admissions", "planned_admissions", "total_admissions",
-        F.col("_ec").cast("double").alias("emergency_costs"),
-        F.col("_pc").cast("double").alias("planned_costs"),
+        money(F.col("_ec")).alias("emergency_costs"),
+        money(F.col("_pc")).alias("planned_costs"),
         round_half(safe_div(F.col("_los"), F.col("_n_los")), 1).alias("avg_length_of_stay_days"))
     return out.orderBy(F.col("total_admissions").desc())
 

@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.functions.dates import day_of, days_between
-from carelake.functions.numeric import pct, round_half, safe_div
+from carelake.functions.numeric import money, pct, round_half, safe_div
 from carelake.operators.hierarchy import expand_levels
 from carelake.plans.common import attended_admissions, bills
 from carelake.sources.roles import Hospital
 
 
 def department_hierarchy(h: Hospital, max_depth: int = 1) -> DataFrame:
-    """Q5: departments under the 24-hour department, depth-capped recursion."""
-    out = expand_levels(h.department, "dept_name", F.col("operating_hours") == "24 Hours", max_depth)
+    """Q5: departments under the 24-hour department, depth-capped recursion.
+
+    Every department reports to the departments that keep 24 hours, so the parent
+    key is the hours those keep.
+    """
+    hours = F.col("operating_hours")
+    out = expand_levels(h.department, "dept_name", hours, F.lit("24 Hours"), hours == "24 Hours", max_depth)
     return out.select("dept_name", F.col("root_dept_name").alias("root_dept"),
                       F.col("level").cast("int").alias("level"), "path")
 
@@ -56,7 +61,7 @@ def ward_utilisation(h: Hospital) -> DataFrame:
         round_half(safe_div(F.coalesce("current_admissions", F.lit(0)), n_staff), 2)
         .alias("patients_per_staff_member"),
         round_half(safe_div(F.col("_cm"), F.col("_m")), 2).alias("avg_bed_cost"),
-        (F.col("_cm") * F.greatest(n_staff, F.lit(1))).cast("double").alias("total_bed_inventory_value"),
+        money(F.col("_cm") * F.greatest(n_staff, F.lit(1))).alias("total_bed_inventory_value"),
         ratio.alias("_ratio"))
     # One row per ward: the unpartitioned window sees at most the ward count.
     pr = F.percent_rank().over(Window.orderBy(F.col("_ratio").asc_nulls_last()))
@@ -105,7 +110,7 @@ def department_dashboard(h: Hospital) -> DataFrame:
         z("_act").alias("active_admissions"),
         round_half(safe_div(z("_act"), z("doctors")), 2).alias("patients_per_doctor"),
         round_half(safe_div(z("_act"), z("nurses")), 2).alias("patients_per_nurse"),
-        rev.cast("double").alias("total_revenue"),
+        money(rev).alias("total_revenue"),
         round_half(safe_div(rev, z("_adm")), 2).alias("revenue_per_admission"),
         round_half(F.coalesce(safe_div(F.col("_los"), F.col("_nlos")), F.lit(0.0)), 1).alias("avg_length_of_stay"),
         F.when(occ > 90, F.lit("HIGH UTILIZATION")).when(occ > 70, F.lit("OPTIMAL"))

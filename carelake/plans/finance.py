@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.dates import as_of_lit, day_of, days_between, month_start
 from carelake.functions.json import iso_timestamp, json_object, to_json_text
-from carelake.functions.numeric import pct, round_half, safe_div
+from carelake.functions.numeric import money, pct, round_half, safe_div
 from carelake.operators.joins import left_join_salted_nulls
 from carelake.plans.common import attended_admissions, bills, doctors_with_staff
 from carelake.sources.roles import Hospital
@@ -37,7 +37,7 @@ def _revenue_cube(grouped) -> DataFrame:
         F.coalesce(F.col("admission_type"), F.lit("ALL TYPES")).alias("admission_type"),
         F.col("_n").cast("bigint").alias("total_admissions"),
         round_half(safe_div(F.col("_s"), F.col("_c")), 2).alias("avg_cost"),
-        F.col("_s").cast("double").alias("total_revenue"),
+        money(F.col("_s")).alias("total_revenue"),
         "dept_grouping_level", "type_grouping_level")
 
 
@@ -72,7 +72,7 @@ def revenue_grouping_sets(h: Hospital) -> DataFrame:
         F.coalesce(F.col("admission_type"), F.lit("ALL TYPES")).alias("admission_type"),
         F.col("_n").cast("bigint").alias("total_admissions"),
         round_half(safe_div(F.col("_s"), F.col("_c")), 2).alias("avg_cost"),
-        F.col("_s").cast("double").alias("total_revenue"),
+        money(F.col("_s")).alias("total_revenue"),
         "dept_grouping_level", "type_grouping_level")
     return out.orderBy("dept_grouping_level", "type_grouping_level", "department", "admission_type")
 
@@ -109,9 +109,9 @@ def patient_summary(h: Hospital, as_of) -> DataFrame:
         F.when(F.size("admission_types") > 0, F.col("admission_types")).alias("admission_types"),
         F.when(F.size("_docs") > 0, F.array_join("_docs", ", ")).alias("doctors_seen"),
         F.coalesce("total_visits", F.lit(0)).cast("bigint").alias("total_visits"),
-        F.coalesce(F.col("_tc").cast("double"), F.lit(0.0)).alias("lifetime_charges"),
-        F.coalesce(F.col("_ic").cast("double"), F.lit(0.0)).alias("insurance_paid"),
-        F.coalesce(F.col("_rb").cast("double"), F.lit(0.0)).alias("patient_owes"),
+        money(F.coalesce(F.col("_tc"), F.lit(0))).alias("lifetime_charges"),
+        money(F.coalesce(F.col("_ic"), F.lit(0))).alias("insurance_paid"),
+        money(F.coalesce(F.col("_rb"), F.lit(0))).alias("patient_owes"),
         F.when(F.size("_hist") > 0, to_json_text(F.transform("_hist", lambda x: x["_v"])))
         .alias("admission_history"))
     return out.orderBy(F.col("total_visits").desc(), "full_name")
@@ -146,14 +146,14 @@ def monthly_revenue(h: Hospital) -> DataFrame:
     prev = F.lag("_billed").over(w)
     out = s.select(
         "billing_month", "dept_name", F.col("bills_issued").cast("bigint").alias("bills_issued"),
-        F.col("_billed").cast("double").alias("total_billed"),
-        F.col("_ins").cast("double").alias("insurance_collected"),
-        F.col("_owed").cast("double").alias("patient_owed"),
-        F.col("_recv").cast("double").alias("payments_received"),
-        (F.col("_owed") - F.col("_recv")).cast("double").alias("outstanding_balance"),
+        money(F.col("_billed")).alias("total_billed"),
+        money(F.col("_ins")).alias("insurance_collected"),
+        money(F.col("_owed")).alias("patient_owed"),
+        money(F.col("_recv")).alias("payments_received"),
+        money(F.col("_owed") - F.col("_recv")).alias("outstanding_balance"),
         pct(F.col("_recv"), F.col("_owed")).alias("collection_rate_pct"),
         round_half(safe_div(F.col("_billed"), F.col("bills_issued")), 2).alias("avg_bill_amount"),
-        prev.cast("double").alias("previous_month_revenue"),
-        (F.col("_billed") - prev).cast("double").alias("month_over_month_change"),
+        money(prev).alias("previous_month_revenue"),
+        money(F.col("_billed") - prev).alias("month_over_month_change"),
         pct(F.col("_billed") - prev, prev).alias("mom_growth_pct"))
     return out.orderBy(F.col("billing_month").desc(), F.col("dept_name").asc_nulls_last())

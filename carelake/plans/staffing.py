@@ -52,10 +52,10 @@ def salary_ranking(h: Hospital) -> DataFrame:
               .select(docs["*"], both["salary_rank_in_dept"], both["overall_salary_rank"], both["_avg"]))
     out = ranked.select(
         F.col("full_name").alias("doctor_name"), "dept_name",
-        F.col("salary").cast("double").alias("salary"),
+        "salary",
         "salary_rank_in_dept", "overall_salary_rank",
         round_half(F.col("_avg"), 2).alias("dept_avg_salary"),
-        round_half(F.col("salary").cast("double") - F.col("_avg"), 6).alias("salary_vs_dept_avg"))
+        (F.col("salary").cast("double") - F.col("_avg")).alias("salary_vs_dept_avg"))
     return out.orderBy(F.col("dept_name").asc_nulls_last(), F.col("salary_rank_in_dept").asc())
 
 
@@ -81,7 +81,7 @@ def doctor_department_stats(h: Hospital) -> DataFrame:
         F.sum("total_admissions").alias("dept_total_admissions"))
     out = ds.join(dept, "dept_name").select(
         "doctor_id", "full_name", "dept_name", "specialty_count", "total_admissions",
-        "active_patients", round_half(F.col("_avg_spec"), 6).alias("dept_avg_specialties"),
+        "active_patients", F.col("_avg_spec").alias("dept_avg_specialties"),
         F.col("dept_total_admissions").cast("bigint").alias("dept_total_admissions"),
         pct(F.col("total_admissions"), F.col("dept_total_admissions")).alias("pct_of_dept_admissions"))
     return out.orderBy(F.col("dept_name").asc_nulls_last(), F.col("total_admissions").desc_nulls_first())
@@ -151,7 +151,7 @@ def doctor_profiles(h: Hospital) -> DataFrame:
         total_patients_treated=F.coalesce("total_patients_treated", F.lit(0)).cast("bigint"),
         contact=json_object(email=F.col("email"), mobile=F.col("mobile")))
     out = base.select(F.col("full_name").alias("doctor_name"), "dept_name",
-                      F.col("salary").cast("double").alias("salary"), "medical_license_number",
+                      "salary", "medical_license_number",
                       to_json_text(profile).alias("doctor_profile"))
     return out.orderBy("doctor_name")
 
@@ -185,7 +185,7 @@ def workload_balance(h: Hospital, as_of) -> DataFrame:
     out = j.select(
         "full_name", "dept_name", "current_patients",
         round_half(F.col("_avg"), 2).alias("dept_avg_patients"),
-        round_half(F.col("current_patients") - F.col("_avg"), 6).alias("variance_from_avg"),
+        (F.col("current_patients") - F.col("_avg")).alias("variance_from_avg"),
         F.when(over, F.lit("OVERLOADED")).when(under, F.lit("UNDERUTILIZED"))
         .otherwise(F.lit("NORMAL")).alias("workload_status"),
         "active_patient_days",

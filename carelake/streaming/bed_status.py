@@ -73,7 +73,7 @@ def admission_change_log(h: Hospital, transfer_every: int = 7) -> DataFrame:
 
 def change_effects(changes: DataFrame) -> DataFrame:
     """One row per (record, bed touched): ``bed_id, status, ts, event_id, step``."""
-    ts = F.unix_timestamp(F.col("event_ts"))
+    ts = F.unix_micros(F.col("event_ts").cast("timestamp"))
     main = F.struct(
         F.col("bed_id").alias("bed_id"),
         F.when(F.col("discharge_date").isNull(), F.lit("Occupied")).otherwise(F.lit("Available")).alias("status"),

@@ -41,9 +41,9 @@ def _norm(v):
     if isinstance(v, int):
         return v
     if isinstance(v, dt.datetime):
-        return v.strftime("%Y-%m-%dT%H:%M:%S")
+        return v.strftime("%Y-%m-%dT%H:%M:%S.%f")
     if isinstance(v, dt.date):
-        return v.strftime("%Y-%m-%dT00:00:00")
+        return v.strftime("%Y-%m-%dT00:00:00.000000")
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
