@@ -174,9 +174,9 @@ def fit(docs: DataFrame, ratings: DataFrame, top: int, doc_id: str = "doc_id", t
         F.xxhash64("__id"), "__id").limit(sample_rows)
     picked = docs.select(col(doc_id).alias("id"), col(text).alias("text")).join(
         F.broadcast(chosen), F.col("id") == F.col("__id")).select("id", "text", "__grade")
-    # documents that repeat an id could exceed the bound
-    picked = picked.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(sample_rows)
-    rows = featured(picked, "text", ["__grade"]).collect()
+    # features are bounded, texts are not; documents that repeat an id could exceed the number of rows
+    made = featured(picked.withColumn("th", F.xxhash64("text")), "text", ["__grade", "id", "th"])
+    rows = made.orderBy(F.xxhash64("c1"), "c1", "c2").limit(sample_rows).collect()
     return fit_ordinal([np.frombuffer(r.r_x, np.int32) for r in rows], [r.c0 for r in rows], top, **options)
 
 
