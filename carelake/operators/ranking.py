@@ -42,32 +42,35 @@ def _bucket_of(bounds: Column, o: Column) -> Column:
     return F.array_position(F.sort_array(F.array_union(bounds, F.array(o))), o) - 1
 
 
-DEFAULT_BUCKETS = 32
+def default_buckets(df: DataFrame) -> int:
+    """As many value ranges as the session has shuffle partitions, which are sized for the data."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False,
-                n_buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
-                few_groups: bool = True) -> DataFrame:
+                n_buckets: int | None = None, accuracy: int | None = None,
+                few_groups: bool = False, weight: str | None = None) -> DataFrame:
     """Distinct ``(by..., value)`` with ``n``, ``before``, ``distinct_before`` and ``group_n``.
 
     ``value`` must be numeric; NULL values are left out.  ``by`` columns may
-    be NULL (a NULL group is one group, like PARTITION BY).  ``few_groups``
-    states that the number of ``by`` groups is dimension-sized (departments,
-    admission types): the per-group bucket tables, at most groups x
-    ``n_buckets`` rows, are then broadcast; otherwise AQE picks the join.
+    be NULL (a NULL group is one group, like PARTITION BY).  A row counts
+    ``weight`` times (once by default).  By default AQE picks the joins with
+    the per-group bucket tables (groups x ``n_buckets`` rows); ``few_groups``
+    is the caller's statement that the groups are a fixed handful (a value
+    domain of the schema), and those tables are then broadcast.
     With no ``by`` the bounds are one uncorrelated scalar subquery.
 
     ``n_buckets`` sets the parallelism of the final window: each (group,
-    bucket) holds about distinct-values / n_buckets rows, so raise it with
-    the data (32 keeps ~30k rows per task at a million distinct values).
-    The sketch only has to separate buckets, so its accuracy is a small
-    multiple of ``n_buckets``.
+    bucket) holds about distinct-values / n_buckets rows.  It follows the
+    session's shuffle partitions.  The sketch only has to separate buckets,
+    so its accuracy is a small multiple of ``n_buckets``.
     """
     by = list(by)
+    n_buckets = n_buckets or default_buckets(df)
     accuracy = accuracy or max(100, 20 * n_buckets)
     small = F.broadcast if few_groups else (lambda d: d)
     vals = (df.filter(F.col(value).isNotNull())
-            .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n")))
+            .groupBy(*by, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n")))
     sign = -1.0 if descending else 1.0
     keyed = vals.withColumn("_o", F.col(value).cast("double") * F.lit(sign))
     fractions = [i / n_buckets for i in range(1, n_buckets)]
@@ -108,10 +111,10 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
 
 def rank_table(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = True,
                rank: str | None = None, dense_rank: str | None = None,
-               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               n_buckets: int | None = None, few_groups: bool = False) -> DataFrame:
     """One row per distinct ``(by, value)`` with the requested RANK / DENSE_RANK columns."""
     by = list(by)
-    r = value_ranks(df, value, by, descending, n_buckets)
+    r = value_ranks(df, value, by, descending, n_buckets, few_groups=few_groups)
     out = []
     if rank:
         out.append((r["before"] + 1).cast("bigint").alias(rank))
@@ -120,25 +123,9 @@ def rank_table(df: DataFrame, value: str, by: Sequence[str] = (), descending: bo
     return r.select(*[r[c] for c in by + [value]], *out)
 
 
-def with_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = True,
-               rank: str | None = None, dense_rank: str | None = None,
-               n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add RANK / DENSE_RANK columns (ordered by ``value``, per ``by``) to every row.
-
-    The rank table has one row per distinct ``(by, value)``, so the join back
-    never multiplies rows; a hot value is one skewed join key, which AQE's
-    skew-join handling splits.
-    """
-    by = list(by)
-    r = rank_table(df, value, by, descending, rank, dense_rank, n_buckets)
-    names = [c for c in (rank, dense_rank) if c]
-    joined = df.join(r, _null_safe_on(df, r, by + [value]), "left")
-    return joined.select(df["*"], *[r[c] for c in names])
-
-
 def percentile_cont(df: DataFrame, value: str, by: Sequence[str],
-                    fractions: dict[str, float], n_buckets: int = DEFAULT_BUCKETS,
-                    few_groups: bool = True) -> DataFrame:
+                    fractions: dict[str, float], n_buckets: int | None = None,
+                    few_groups: bool = False, weight: str | None = None) -> DataFrame:
     """Exact ``PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY value)`` per group, as DOUBLE.
 
     The value distribution is reduced to distinct values with counts and
@@ -147,7 +134,8 @@ def percentile_cont(df: DataFrame, value: str, by: Sequence[str],
     per group is held in one task beyond those few values.
     """
     by = list(by)
-    r = (value_ranks(df, value, by, descending=False, n_buckets=n_buckets, few_groups=few_groups)
+    r = (value_ranks(df, value, by, descending=False, n_buckets=n_buckets, few_groups=few_groups,
+                     weight=weight)
          .withColumnRenamed("group_n", "_total"))
     v = F.col(value).cast("double")
     aggs = []

@@ -108,27 +108,44 @@ def cost_stay_percentiles(h: Hospital, exact: bool = True, accuracy: int = 10000
     ``percentile_approx`` sketches (rank error about 1/``accuracy``), the cheap
     large-data variant; the two are never mixed.
     """
-    m = (h.admission.filter(F.col("discharge_date").isNotNull())
-         .select("admission_id", "admission_type",
-                 days_between(F.col("discharge_date"), day_of(F.col("admission_date"))).alias("length_of_stay"))
-         .join(bills(h, "total_cost"), "admission_id", "left"))
-    stats = m.groupBy("admission_type").agg(
-        F.count(F.lit(1)).alias("total_admissions"),
-        (F.sum("total_cost").cast("double") / F.count("total_cost")).alias("_avg"),
-        F.stddev_samp(F.col("total_cost").cast("double")).alias("_sd"),
-        F.avg("length_of_stay").alias("_avg_los"))
-    # Both distributions in one pass: stack (type, metric, value) and rank per (type, metric).
-    long = m.select("admission_type", F.explode(F.array(
-        F.struct(F.lit("cost").alias("metric"), F.col("total_cost").cast("double").alias("v")),
-        F.struct(F.lit("los").alias("metric"), F.col("length_of_stay").cast("double").alias("v")))).alias("_m"))
-    long = long.select("admission_type", "_m.metric", "_m.v")
+    # The largest join runs once: its result is reduced to one row per (type, cost, stay) with
+    # a count, and the statistics and both distributions are read from those rows.
+    rows = (h.admission.filter(F.col("discharge_date").isNotNull())
+            .select("admission_id", "admission_type",
+                    days_between(F.col("discharge_date"), day_of(F.col("admission_date"))).alias("length_of_stay"))
+            .join(bills(h, "total_cost"), "admission_id", "left"))
+    m = rows.groupBy("admission_type", "total_cost", "length_of_stay").agg(F.count(F.lit(1)).alias("_k"))
+    cost = F.col("total_cost").cast("double")
+    long = m.select("admission_type", "_k", F.explode(F.array(
+        F.struct(F.lit("cost").alias("metric"), cost.alias("v"), F.col("total_cost").alias("_c")),
+        F.struct(F.lit("los").alias("metric"), F.col("length_of_stay").cast("double").alias("v"),
+                 F.lit(None).cast("decimal(10,2)").alias("_c")))).alias("_m"))
+    # one row per (type, metric, value): all later steps start from this exchange
+    long = long.groupBy("admission_type", "_m.metric", "_m.v", "_m._c").agg(F.sum("_k").alias("n"))
+    is_cost = F.col("metric") == "cost"
+    stats = long.groupBy("admission_type").agg(
+        F.sum(F.when(is_cost, F.col("n"))).alias("total_admissions"),
+        F.sum(F.when(is_cost, F.col("_c") * F.col("n"))).alias("_s"),
+        F.sum(F.when(is_cost & F.col("v").isNotNull(), F.col("n"))).alias("_n"),
+        F.sum(F.when(~is_cost, F.col("v") * F.col("n"))).alias("_los"))
+    mean = stats.select(F.col("admission_type").alias("_t"), (F.col("_s").cast("double") / F.col("_n")).alias("_avg"))
+    off = F.col("v") - F.col("_avg")
+    spread = (long.filter(is_cost & F.col("v").isNotNull()).join(F.broadcast(mean), F.col("admission_type") == F.col("_t"))
+              .groupBy("admission_type").agg(F.sum(off * off * F.col("n")).alias("_ss")))
+    stats = stats.join(spread, "admission_type", "left").select(
+        "admission_type", "total_admissions", (F.col("_s").cast("double") / F.col("_n")).alias("_avg"),
+        F.sqrt(F.try_divide(F.col("_ss"), F.nullif(F.col("_n") - 1, F.lit(0)))).alias("_sd"),
+        (F.col("_los") / F.col("total_admissions")).alias("_avg_los"))
     fractions = {"_p25": 0.25, "_p50": 0.50, "_p75": 0.75, "_p90": 0.90}
     if exact:
-        pc = percentile_cont(long, "v", ["admission_type", "metric"], fractions)
+        pc = percentile_cont(long, "v", ["admission_type", "metric"], fractions, weight="n", few_groups=True)
     else:
-        approx = F.percentile_approx("v", list(fractions.values()), accuracy)
-        pc = long.groupBy("admission_type", "metric").agg(approx.alias("_ps")).select(
-            "admission_type", "metric", *[F.col("_ps")[i].alias(n) for i, n in enumerate(fractions)])
+        ps = lambda c: F.percentile_approx(c, list(fractions.values()), accuracy)
+        both = rows.groupBy("admission_type").agg(F.array(
+            F.struct(F.lit("cost").alias("metric"), ps(F.col("total_cost").cast("double")).alias("ps")),
+            F.struct(F.lit("los").alias("metric"), ps(F.col("length_of_stay").cast("double")).alias("ps"))).alias("_b"))
+        pc = both.select("admission_type", F.explode("_b").alias("_b")).select(
+            "admission_type", "_b.metric", *[F.col("_b.ps")[i].alias(n) for i, n in enumerate(fractions)])
     pick = lambda metric, c: F.max(F.when(F.col("metric") == metric, F.col(c)))
     wide = pc.groupBy("admission_type").agg(
         pick("cost", "_p25").alias("_p25"), pick("cost", "_p50").alias("_p50"),

@@ -24,6 +24,20 @@ def bills(h: Hospital, *cols: str) -> DataFrame:
     return h.billingstatement.select("admission_id", *cols)
 
 
+SMALL_BYTES = 10 << 20
+
+
+def per_department(h: Hospital, stats: DataFrame) -> DataFrame:
+    """``stats`` (one row per department) as the broadcast side of a join, as long as the
+    Department table, by its files' size, is small; beyond that the planner chooses.
+
+    Without the hint both sides are shuffled on the few department names before the
+    planner learns how small this one is.
+    """
+    size = int(h.department._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(stats) if size <= SMALL_BYTES else stats
+
+
 def specialty_counts(h: Hospital) -> DataFrame:
     """Distinct specialties per doctor."""
     return h.doctorspecialty.groupBy("doctor_id").agg(

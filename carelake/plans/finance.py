@@ -60,20 +60,8 @@ def revenue_cube(h: Hospital) -> DataFrame:
 def revenue_grouping_sets(h: Hospital) -> DataFrame:
     """Q6 variant: GROUPING SETS ((department), (admission type), ())."""
     base = _revenue_by_doctor_type(h)
-    base.createOrReplaceTempView("_revenue_by_doctor_type")
-    g = base.sparkSession.sql("""
-        SELECT dept_name, admission_type, sum(_n) AS _n, sum(_s) AS _s, sum(_c) AS _c,
-               CAST(grouping(dept_name) AS INT) AS dept_grouping_level,
-               CAST(grouping(admission_type) AS INT) AS type_grouping_level
-        FROM _revenue_by_doctor_type
-        GROUP BY GROUPING SETS ((dept_name), (admission_type), ())""")
-    out = g.select(
-        F.coalesce(F.col("dept_name"), F.lit("ALL DEPARTMENTS")).alias("department"),
-        F.coalesce(F.col("admission_type"), F.lit("ALL TYPES")).alias("admission_type"),
-        F.col("_n").cast("bigint").alias("total_admissions"),
-        round_half(safe_div(F.col("_s"), F.col("_c")), 2).alias("avg_cost"),
-        money(F.col("_s")).alias("total_revenue"),
-        "dept_grouping_level", "type_grouping_level")
+    keys = [F.col("dept_name"), F.col("admission_type")]
+    out = _revenue_cube(base.groupingSets([[keys[0]], [keys[1]], []], *keys))
     return out.orderBy("dept_grouping_level", "type_grouping_level", "department", "admission_type")
 
 
@@ -131,17 +119,20 @@ def monthly_revenue(h: Hospital) -> DataFrame:
     inv = (h.invoice.select("invoice_id", "billing_id").join(paid, "invoice_id", "left")
            .groupBy("billing_id").agg(F.sum(F.greatest(F.coalesce("_np", F.lit(0)), F.lit(1))).alias("_m"),
                                       F.sum("_ps").alias("_paid")))
-    adm = attended_admissions(h, "admission_id").join(doctors_with_staff(h, "dept_name"), "doctor_id")
+    # per (doctor, month) first: doctors and departments are joined to those sums
     b = (h.billingstatement.select("billing_id", "admission_id", "discharge_date", "total_cost",
                                    "insurance_covered_amount", "remaining_balance")
-         .join(adm, "admission_id").join(inv, "billing_id", "left")
-         .withColumn("_m", F.coalesce("_m", F.lit(1)).cast("decimal(20,0)")))
-    s = b.groupBy(month_start(F.col("discharge_date")).alias("billing_month"), "dept_name").agg(
+         .join(attended_admissions(h, "admission_id"), "admission_id").join(inv, "billing_id", "left")
+         .withColumn("_m", F.coalesce("_m", F.lit(1)).cast("decimal(10,0)")))
+    names = ("bills_issued", "_billed", "_ins", "_owed", "_recv")
+    per_doc = b.groupBy("doctor_id", month_start(F.col("discharge_date")).alias("billing_month")).agg(
         F.count("billing_id").alias("bills_issued"),
         F.sum(F.col("total_cost") * F.col("_m")).alias("_billed"),
         F.sum(F.col("insurance_covered_amount") * F.col("_m")).alias("_ins"),
         F.sum(F.col("remaining_balance") * F.col("_m")).alias("_owed"),
         F.coalesce(F.sum("_paid"), F.lit(0).cast("decimal(10,2)")).alias("_recv"))
+    s = per_doc.join(doctors_with_staff(h, "dept_name"), "doctor_id").groupBy("billing_month", "dept_name").agg(
+        *[F.sum(c).alias(c) for c in names])
     w = Window.partitionBy("dept_name").orderBy("billing_month")
     prev = F.lag("_billed").over(w)
     out = s.select(

@@ -10,49 +10,56 @@ are joined one-to-one; where the written SUM depends on the multiplication
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.functions.dates import as_of_lit, day_of, days_between
 from carelake.functions.json import json_object, to_json_text
 from carelake.functions.numeric import pct, round_half, safe_div
-from carelake.operators.ranking import value_ranks
-from carelake.plans.common import attended_admissions, doctors_with_staff, specialty_counts
+from carelake.operators.ranking import default_buckets
+from carelake.plans.common import attended_admissions, doctors_with_staff, per_department, specialty_counts
 from carelake.sources.roles import Hospital
 
 
 def salary_ranking(h: Hospital) -> DataFrame:
     """Q1: doctors' salary rank within department (dense) and overall, vs department mean.
 
-    Both ranks come from one ``value_ranks`` pass (distinct-value prefix sums)
-    instead of a window holding a whole department, or all doctors, in one
-    task.  The department mean is read off the same distinct-value table
-    (sum of salary x multiplicity over the department's count), and all
-    per-value results are combined before the doctor rows are joined once.
+    Doctors are counted once per (department, salary).  Those rows are cut into salary
+    ranges by an approximate sketch and dealt by range, so both ranks are running counts
+    inside a range plus what the ranges above hold; no task has a whole department.  The
+    table of ranges has departments x ranges rows and also gives the department means.
+    The doctors are joined once.
     """
     docs = doctors_with_staff(h, "full_name", "dept_name", "salary")
-    # One ranking pass for both scopes: each doctor appears once per scope
-    # (scope 0 = own department, scope 1 = everyone, with a NULL department key).
-    scoped = docs.select(F.explode(F.array(
-        F.struct(F.lit(0).alias("scope"), F.col("dept_name").alias("grp"), F.col("salary").alias("salary")),
-        F.struct(F.lit(1).alias("scope"), F.lit(None).cast("string").alias("grp"),
-                 F.col("salary").alias("salary")))).alias("_s")).select("_s.*")
-    vr = value_ranks(scoped, "salary", by=["scope", "grp"], descending=True)
-    per_dept = vr.filter(F.col("scope") == 0)
-    dept_mean = per_dept.groupBy(F.col("grp").alias("_g")).agg(
-        (F.sum(F.col("salary") * F.col("n")).cast("double") / F.sum("n")).alias("_avg"))
-    in_dept = per_dept.join(dept_mean, F.col("grp").eqNullSafe(F.col("_g"))).select(
-        F.col("grp").alias("dept_name"), "salary",
-        (F.col("distinct_before") + 1).cast("bigint").alias("salary_rank_in_dept"), "_avg")
-    overall = vr.filter(F.col("scope") == 1).select(
-        "salary", (F.col("before") + 1).cast("bigint").alias("overall_salary_rank"))
-    both = in_dept.join(overall, "salary")
-    ranked = (docs.join(both, (docs["dept_name"].eqNullSafe(both["dept_name"]))
-                        & (docs["salary"] == both["salary"]))
-              .select(docs["*"], both["salary_rank_in_dept"], both["overall_salary_rank"], both["_avg"]))
-    out = ranked.select(
-        F.col("full_name").alias("doctor_name"), "dept_name",
-        "salary",
+    values = docs.groupBy("dept_name", "salary").agg(F.count(F.lit(1)).alias("n"))
+    parts = default_buckets(docs)
+    if parts > 1:
+        cuts = values.select(F.percentile_approx(
+            F.col("salary").cast("double"), [i / parts for i in range(1, parts)], 20 * parts)).scalar()
+        pay = F.col("salary").cast("double")
+        part = F.array_position(F.sort_array(F.array_union(cuts, F.array(pay))), pay)
+    else:
+        part = F.lit(1).cast("bigint")
+    dealt = values.withColumn("part", part).repartition("part")
+    totals = dealt.groupBy("part", "dept_name").agg(
+        F.count(F.lit(1)).alias("d"), F.sum("n").alias("n"), F.sum(F.col("salary") * F.col("n")).alias("s"))
+    above = Window.partitionBy("dept_name").orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    dept = Window.partitionBy("dept_name")
+    upto = Window.orderBy(F.desc("part"))  # departments x ranges rows; a range's rows are peers
+    ranges = totals.select(
+        F.col("part").alias("_p"), F.col("dept_name").alias("_d"), F.coalesce(F.sum("d").over(above), F.lit(0)).alias("_above"),
+        (F.sum("n").over(upto) - F.sum("n").over(Window.partitionBy("part"))).alias("_all_above"),
+        (F.sum("s").over(dept).cast("double") / F.sum("n").over(dept)).alias("_avg"))
+    here = Window.partitionBy("part", "dept_name").orderBy(F.desc("salary"))
+    higher = (F.sum("n").over(Window.partitionBy("part").orderBy(F.desc("salary")))
+              - F.sum("n").over(Window.partitionBy("part", "salary")))
+    local = dealt.select("part", "dept_name", "salary", F.row_number().over(here).alias("_r"), higher.alias("_higher"))
+    ranks = local.join(ranges, (F.col("part") == F.col("_p")) & F.col("dept_name").eqNullSafe(F.col("_d"))).select(
+        F.col("dept_name").alias("_dept"), F.col("salary").alias("_salary"), "_avg",
+        (F.col("_above") + F.col("_r")).cast("bigint").alias("salary_rank_in_dept"),
+        (F.col("_all_above") + F.col("_higher") + 1).cast("bigint").alias("overall_salary_rank"))
+    out = docs.join(ranks, F.col("dept_name").eqNullSafe(F.col("_dept")) & (F.col("salary") == F.col("_salary"))).select(
+        F.col("full_name").alias("doctor_name"), "dept_name", "salary",
         "salary_rank_in_dept", "overall_salary_rank",
         round_half(F.col("_avg"), 2).alias("dept_avg_salary"),
         (F.col("salary").cast("double") - F.col("_avg")).alias("salary_vs_dept_avg"))
@@ -79,7 +86,7 @@ def doctor_department_stats(h: Hospital) -> DataFrame:
     dept = ds.filter(F.col("dept_name").isNotNull()).groupBy("dept_name").agg(
         F.avg("specialty_count").alias("_avg_spec"),
         F.sum("total_admissions").alias("dept_total_admissions"))
-    out = ds.join(dept, "dept_name").select(
+    out = ds.join(per_department(h, dept), "dept_name").select(
         "doctor_id", "full_name", "dept_name", "specialty_count", "total_admissions",
         "active_patients", F.col("_avg_spec").alias("dept_avg_specialties"),
         F.col("dept_total_admissions").cast("bigint").alias("dept_total_admissions"),
@@ -108,7 +115,7 @@ def above_department_average(h: Hospital) -> DataFrame:
     dept_avg = (per_doc.join(staff.select("doctor_id", "dept_name"), "doctor_id")
                 .filter(F.col("dept_name").isNotNull())
                 .groupBy("dept_name").agg(F.avg("patient_count").alias("_avg")))
-    out = (main.join(dept_avg, "dept_name")
+    out = (main.join(per_department(h, dept_avg), "dept_name")
            .filter(F.col("patients_treated") > F.col("_avg"))
            .select("full_name", "dept_name", "patients_treated",
                    round_half(F.col("_avg"), 2).alias("dept_avg_patients")))
@@ -179,7 +186,7 @@ def workload_balance(h: Hospital, as_of) -> DataFrame:
                   F.coalesce("specialty_count", F.lit(0)).cast("bigint").alias("specialty_count")))
     bench = dw.filter(F.col("dept_name").isNotNull()).groupBy("dept_name").agg(
         F.avg("current_patients").alias("_avg"), F.stddev_samp("current_patients").alias("_sd"))
-    j = dw.join(bench, "dept_name")
+    j = dw.join(per_department(h, bench), "dept_name")
     over = F.col("current_patients") > F.col("_avg") + F.col("_sd")
     under = F.col("current_patients") < F.col("_avg") - F.col("_sd")
     out = j.select(
