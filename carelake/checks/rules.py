@@ -1,18 +1,19 @@
 """Schema rules as batch validation (O-D1 .. O-D9).
 
 In the workload these are table constraints and triggers that reject a
-write.  Over data already landed they become a validation job: one row
-per rule with its violation count, and on request the violating records.
+write.  Over data already landed they become a validation job:
+``rule_violations`` gives one row per violating record and rule,
+``rule_counts`` one row per rule with the number of them.
 
 * row rules (not null, domain, range, cross-column, time validity, string
   length) are SQL predicates, like the CHECK clauses they come from.  All
-  row rules of a table are evaluated in **one** aggregate pass over it.  A
-  NULL predicate passes, as a CHECK does.
-* unique / primary key: rows whose non-NULL key occurs more than once;
-  all such rules share one scan per table and one grouped count (map-side
-  partial aggregation absorbs a hot key).
-* foreign key: non-NULL references with no target; all references are
-  pre-counted per key and checked in one left-anti join.
+  row rules of a table are evaluated in **one** pass over it.  A NULL
+  predicate passes, as a CHECK does.
+* unique / primary key: rows whose non-NULL key occurs more than once.
+  Keys are counted with map-side partial aggregation; only repeated ones
+  are joined back to their rows.
+* foreign key: non-NULL references with no target, one anti join each on
+  the native key type.
 * specialty cardinality: doctors with 0 or more than 5 specialties.
 """
 
@@ -154,118 +155,68 @@ def specialty_count_violations(h: Hospital) -> DataFrame:
             .select("doctor_id", n.alias("specialty_count")))
 
 
-def _per_rule(found: DataFrame, rs: list[Rule], value: str) -> DataFrame:
-    """One row per rule (zeros included) from ``(rule_id, value)`` rows, by conditional sums."""
-    wide = found.agg(*[F.coalesce(F.sum(F.when(F.col("rule_id") == r.rule_id, F.col(value))), F.lit(0))
-                       .cast("bigint").alias(f"c{i}") for i, r in enumerate(rs)])
-    return wide.select(F.explode(F.array(*[
-        F.struct(*_meta(r), F.col(f"c{i}").alias("violations")) for i, r in enumerate(rs)])).alias("_r")
-    ).select("_r.*")
+def _record_key(table: str):
+    """The primary key of a record as text, parts joined by a bar, NULL as nothing."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in PRIMARY_KEYS[table]])
 
 
-def _key_text(cols: tuple[str, ...]):
-    """A key as one comparable string (composite keys as a JSON array)."""
-    if len(cols) == 1:
-        return F.col(cols[0]).cast("string")
-    return F.to_json(F.array(*[F.col(c).cast("string") for c in cols]))
+def _found(df: DataFrame, r: Rule) -> DataFrame:
+    return df.select(F.lit(r.rule_id).alias("rule_id"), _record_key(r.table).alias("record_key"))
 
 
-def _unique_violations(h: Hospital, rs: list[Rule]) -> DataFrame:
-    """All key-uniqueness rules in one pass: one scan per table, one grouped count.
+def _row_violations(h: Hospital, table: str, rs: list[Rule]) -> DataFrame:
+    """All row rules of one table in one pass."""
+    hits = F.filter(F.array(*[F.when(_violated(r.violation), F.lit(r.rule_id)) for r in rs]), lambda x: x.isNotNull())
+    return getattr(h, table).select(F.explode(hits).alias("rule_id"), _record_key(table).alias("record_key"))
 
-    Each table emits ``(rule_id, key)`` for its non-NULL keys; keys are
-    counted per rule (map-side partial counts absorb a hot key) and rows in
-    groups of more than one are violations.
-    """
-    by_table: dict[str, list[Rule]] = {}
-    for r in rs:
-        by_table.setdefault(r.table, []).append(r)
-    keyed = []
-    for table, trs in by_table.items():
-        entries = [F.when(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in r.key]),
-                          F.struct(F.lit(r.rule_id).alias("rule_id"), _key_text(r.key).alias("k")))
-                   for r in trs]
-        keyed.append(getattr(h, table)
-                     .select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_e"))
-                     .select("_e.rule_id", "_e.k"))
-    counts = _union_all(keyed).groupBy("rule_id", "k").agg(F.count(F.lit(1)).alias("_n"))
-    return _per_rule(counts.filter(F.col("_n") > 1), rs, "_n")
-
-
-def _foreign_key_violations(h: Hospital, rs: list[Rule]) -> DataFrame:
-    """All foreign-key rules in one anti join.
-
-    Child tables emit ``(target, key)`` per non-NULL reference, pre-counted
-    per key so a hot key is one row; targets emit their distinct keys; one
-    left-anti join on ``(target, key)`` leaves the orphans.
-    """
-    by_table: dict[str, list[Rule]] = {}
-    for r in rs:
-        by_table.setdefault(r.table, []).append(r)
-    refs = []
-    for table, trs in by_table.items():
-        entries = [F.when(F.col(r.column).isNotNull(), F.struct(
-            F.lit(r.rule_id).alias("rule_id"), F.lit(".".join(r.ref)).alias("target"),
-            F.col(r.column).cast("string").alias("k"))) for r in trs]
-        refs.append(getattr(h, table)
-                    .select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("_e"))
-                    .select("_e.rule_id", "_e.target", "_e.k"))
-    child = _union_all(refs).groupBy("rule_id", "target", "k").agg(F.count(F.lit(1)).alias("_n"))
-    targets = _union_all([
-        getattr(h, t).select(F.lit(f"{t}.{c}").alias("target"), F.col(c).cast("string").alias("k"))
-        for t, c in sorted({r.ref for r in rs})]).distinct()
-    orphans = child.join(targets, ["target", "k"], "left_anti")
-    return _per_rule(orphans, rs, "_n")
 
+def _unique_violations(h: Hospital, r: Rule) -> DataFrame:
+    df = getattr(h, r.table)
+    keys = list(r.key)
+    filled = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    again = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
+    return _found(filled.join(again, keys, "left_semi"), r)
 
-def rule_counts(h: Hospital, as_of) -> DataFrame:
-    """``(rule_id, family, table_name, column_name, violations)``, one row per rule.
 
-    Row rules: one aggregate pass per table.  Uniqueness rules: one pass in
-    total.  Foreign keys: one anti join in total.  Specialty cardinality: one
-    grouped count.
-    """
-    rs = rules(as_of)
-    parts: list[DataFrame] = []
+def _foreign_key_violations(h: Hospital, r: Rule) -> DataFrame:
+    ref_table, ref_col = r.ref
+    target = getattr(h, ref_table).select(F.col(ref_col).alias("_target"))
+    child = getattr(h, r.table).filter(F.col(r.column).isNotNull())
+    return _found(child.join(target, F.col(r.column) == F.col("_target"), "left_anti"), r)
+
+
+def _violations(h: Hospital, rs: list[Rule]) -> DataFrame:
+    """``(rule_id, record_key)`` of every violating record."""
     by_table: dict[str, list[Rule]] = {}
     for r in rs:
         if r.violation is not None:
             by_table.setdefault(r.table, []).append(r)
-    for table, trs in by_table.items():
-        wide = getattr(h, table).agg(*[F.count_if(_violated(r.violation)).alias(f"c{i}") for i, r in enumerate(trs)])
-        parts.append(wide.select(F.explode(F.array(*[
-            F.struct(*_meta(r), F.col(f"c{i}").cast("bigint").alias("violations"))
-            for i, r in enumerate(trs)])).alias("_r")).select("_r.*"))
-    parts.append(_unique_violations(h, [r for r in rs if r.family == "unique"]))
-    parts.append(_foreign_key_violations(h, [r for r in rs if r.family == "foreign_key"]))
+    parts = [_row_violations(h, table, trs) for table, trs in by_table.items()]
     for r in rs:
-        if r.family == "cardinality":
-            parts.append(specialty_count_violations(h).agg(F.count(F.lit(1)).cast("bigint").alias("violations"))
-                         .select(*_meta(r), "violations"))
-    return _union_all(parts).orderBy("rule_id")
-
-
-def rule_counts_sql(as_of_sql_date: str) -> str:
-    """The same counts as plain SQL over the role tables (for the oracle)."""
-    as_of = as_of_sql_date.replace("DATE ", "").strip("'")
-    parts = []
-    for r in rules(as_of):
-        head = f"SELECT '{r.rule_id}' AS rule_id, '{r.family}' AS family, '{r.table}' AS table_name, " \
-               f"'{r.column}' AS column_name, "
-        if r.violation is not None:
-            parts.append(head + f"CAST(COUNT(*) FILTER (WHERE COALESCE({r.violation}, FALSE)) AS BIGINT) AS violations "
-                                f"FROM {r.table}")
-        elif r.family == "unique":
-            nn = " AND ".join(f"{k} IS NOT NULL" for k in r.key)
-            keys = ", ".join(r.key)
-            parts.append(head + f"CAST(COALESCE((SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM {r.table} WHERE {nn} "
-                                f"GROUP BY {keys} HAVING COUNT(*) > 1) d), 0) AS BIGINT) AS violations")
+        if r.family == "unique":
+            parts.append(_unique_violations(h, r))
         elif r.family == "foreign_key":
-            ref_t, ref_c = r.ref
-            parts.append(head + f"CAST(COUNT(*) AS BIGINT) AS violations FROM {r.table} t WHERE t.{r.column} IS NOT NULL "
-                                f"AND NOT EXISTS (SELECT 1 FROM {ref_t} x WHERE x.{ref_c} = t.{r.column})")
-        else:
-            parts.append(head + f"CAST(COUNT(*) AS BIGINT) AS violations FROM doctor d WHERE "
-                                f"(SELECT COUNT(*) FROM doctorspecialty ds WHERE ds.doctor_id = d.doctor_id) "
-                                f"NOT BETWEEN 1 AND {MAX_SPECIALTIES}")
-    return "\nUNION ALL\n".join(parts)
+            parts.append(_foreign_key_violations(h, r))
+        elif r.family == "cardinality":
+            parts.append(_found(specialty_count_violations(h), r))
+    return _union_all(parts)
+
+
+def _rule_list(h: Hospital, rs: list[Rule]) -> DataFrame:
+    return h.spark.range(1).select(F.explode(F.array(*[F.struct(*_meta(r)) for r in rs])).alias("_r")).select("_r.*")
+
+
+def rule_violations(h: Hospital, as_of) -> DataFrame:
+    """``(rule_id, family, table_name, column_name, record_key)``, one row per violating record and rule."""
+    rs = rules(as_of)
+    return _violations(h, rs).join(F.broadcast(_rule_list(h, rs)), "rule_id").select(
+        "rule_id", "family", "table_name", "column_name", "record_key")
+
+
+def rule_counts(h: Hospital, as_of) -> DataFrame:
+    """``(rule_id, family, table_name, column_name, violations)``, one row per rule, zeros included."""
+    rs = rules(as_of)
+    counts = _violations(h, rs).groupBy("rule_id").agg(F.count(F.lit(1)).alias("_n"))
+    return _rule_list(h, rs).join(F.broadcast(counts), "rule_id", "left").select(
+        "rule_id", "family", "table_name", "column_name",
+        F.coalesce("_n", F.lit(0)).cast("bigint").alias("violations")).orderBy("rule_id")

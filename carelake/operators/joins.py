@@ -6,20 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def left_join_split_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key`` with NULL keys kept out of the shuffle.
-
-    Rows whose key is NULL can never match, yet a shuffle join hashes them
-    all to one partition.  They bypass the join and come back with NULL
-    right-side columns.
-    """
-    matched = left.filter(F.col(left_key).isNotNull()).join(
-        right, F.col(left_key) == right[right_key], "left")
-    right_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    unmatched = left.filter(F.col(left_key).isNull()).select("*", *right_nulls)
-    return matched.unionByName(unmatched)
-
-
 def left_join_salted_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                            buckets: int = 256) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key`` in one pass, NULL keys spread by a salt.
@@ -28,8 +14,7 @@ def left_join_salted_nulls(left: DataFrame, right: DataFrame, left_key: str, rig
     left row with a key, and 1..``buckets`` (a hash of the row, so retries see
     the same value) for left rows whose key is NULL.  Those rows still match
     nothing (NULL never equals), but they hash to ``buckets`` different shuffle
-    partitions instead of one.  Unlike ``left_join_split_nulls`` the left side
-    is read once.
+    partitions instead of one.  The left side is read once.
     """
     salt = F.when(F.col(left_key).isNull(),
                   F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)) + 1).otherwise(F.lit(0))

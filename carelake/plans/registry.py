@@ -12,11 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.checks import rules
+from carelake.checks import rules, rules_sql
 from carelake.plans import admissions, audit, facilities, finance, oracle, staffing
 from carelake.streaming import bed_status
 from carelake.sources.roles import DRIVER_AS_OF, Hospital, from_driver_tables
-from carelake.sources.roles_sql import DRIVER_AS_OF_SQL, with_roles
 
 Plan = Callable[[Hospital], DataFrame]
 
@@ -49,30 +48,22 @@ PLANS: dict[str, tuple[Plan, str | None]] = {
     "s07_headcount_refresh": (facilities.refresh_headcount, oracle.HEADCOUNT),
     "t1_bed_status_batch": (bed_status.bed_status_batch, oracle.BED_STATUS),
     "t2_bed_status_stream": (bed_status.bed_status_stream, oracle.BED_STATUS),
-    "d01_d09_rule_counts": (lambda h: rules.rule_counts(h, DRIVER_AS_OF),
-                            with_roles(rules.rule_counts_sql(DRIVER_AS_OF_SQL))),
-    "d08_specialty_count_violations": (rules.specialty_count_violations, with_roles(f"""
-SELECT d.doctor_id, CAST(COUNT(ds.doctor_id) AS BIGINT) AS specialty_count
-FROM doctor d LEFT JOIN doctorspecialty ds ON ds.doctor_id = d.doctor_id
-GROUP BY d.doctor_id
-HAVING COUNT(ds.doctor_id) = 0 OR COUNT(ds.doctor_id) > {rules.MAX_SPECIALTIES}""")),
+    "d01_d09_rule_counts": (lambda h: rules.rule_counts(h, DRIVER_AS_OF), rules_sql.COUNTS),
+    "d10_rule_violations": (lambda h: rules.rule_violations(h, DRIVER_AS_OF), rules_sql.VIOLATIONS),
+    "d08_specialty_count_violations": (rules.specialty_count_violations, rules_sql.SPECIALTY_COUNTS),
 }
 
 
-def register_extra(name: str, plan: Plan, sql: str | None) -> None:
-    PLANS[name] = (plan, sql)
-
-
-_HOSPITALS: dict[tuple[int, str], Hospital] = {}
+_HOSPITALS: dict[tuple[str, str, str], Hospital] = {}
 
 
 def hospital(spark: SparkSession, sf_dir: str) -> Hospital:
-    """One lazily built Hospital per (session, data folder), shared by all queries.
+    """One lazily built Hospital per (application, session, data folder), shared by all queries.
 
-    DataFrames are immutable plans, so sharing them only saves driver-side
-    work: schema reads, key-space counts and analysis of the role tables.
+    DataFrames are immutable plans, so sharing them only saves driver-side work: schema
+    reads and analysis of the role tables.  No counts are held.
     """
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), sf_dir)
     if key not in _HOSPITALS:
         _HOSPITALS[key] = from_driver_tables(spark, sf_dir)
     return _HOSPITALS[key]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -46,25 +46,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k, v in BASE_CONF.items():
-        if k == "spark.ui.enabled":
-            continue
-        try:
+        if spark.conf.isModifiable(k):  # the others belong to whoever started the session
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged tables.
+    """Shared folder for checkpoints and staged tables, as the cluster names it.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    (a fresh temp folder) when the setting is absent, which happens in
-    local tests.
+    Where ``spark.checkpoint.dir`` is absent, a local session (tests) gets a fresh temp
+    folder; on a cluster that is an error, since its machines share no local folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         path = tempfile.mkdtemp(prefix="carelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
@@ -72,12 +68,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint dir for one job's files."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh folder name below the checkpoint dir for one job's files (Spark's writers create it)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -20,11 +20,16 @@ never to a machine-local path on a cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from carelake.functions.dates import as_of_lit
 
 from carelake.session import staging_path
 from carelake.sources.roles import Hospital
-from carelake.sources.schemas import SCHEMAS
+from carelake.sources.schemas import DATE_DEFAULTS, DEFAULTS, SCHEMAS
 
 CLUSTER_BY = {"admission": "admission_date", "billingstatement": "discharge_date",
               "payment": "payment_date"}
@@ -56,14 +61,38 @@ def land(h: Hospital, path: str | None = None, files_per_table: int | None = Non
     return path
 
 
-def from_parquet_tables(spark: SparkSession, path: str, database: str | None = None) -> Hospital:
-    """A Hospital reading landed tables (explicit schemas, no inference).
+def completed(df: DataFrame, table: str, as_of) -> DataFrame:
+    """``df`` with the columns that its files lack: declared defaults, dates that default to the
+    day of the load (``as_of``), and the generated balance.  A stored value, NULL too, stays."""
+    have = set(df.columns)
+    for (t, c), value in DEFAULTS.items():
+        if t == table and c not in have:
+            df = df.withColumn(c, F.lit(value))
+    for t, c in DATE_DEFAULTS:
+        if t == table and c not in have:
+            df = df.withColumn(c, as_of_lit(as_of))
+    if table == "billingstatement":  # generated: always computed, whatever the files say
+        df = df.withColumn("remaining_balance", (F.col("total_cost") - F.col("insurance_covered_amount"))
+                           .cast("decimal(10,2)"))
+    for f in SCHEMAS[table].fields:
+        if f.name not in df.columns:
+            if not f.nullable:
+                raise ValueError(f"{table}.{f.name} is required and has no default")
+            df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return df
+
 
-    Tables landed as bucketed tables are read through ``database`` so the
-    planner sees their bucketing.
+def from_parquet_tables(spark: SparkSession, path: str, database: str | None = None, as_of=None) -> Hospital:
+    """A Hospital reading landed tables.
+
+    Columns that the files lack are completed (``completed``); ``as_of`` is the day that
+    date defaults take (default: today).  Tables landed as bucketed tables are read
+    through ``database`` so the planner sees their bucketing.
     """
+    day = as_of or dt.date.today()
+
     def builder(name):
         if database and spark.catalog.tableExists(f"{database}.{name}"):
             return lambda h: spark.table(f"{database}.{name}")
-        return lambda h: spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}")
+        return lambda h: completed(spark.read.parquet(f"{path}/{name}"), name, day)
     return Hospital({name: builder(name) for name in SCHEMAS}, spark)

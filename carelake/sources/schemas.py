@@ -111,20 +111,23 @@ DATE_DEFAULTS = (("invoice", "issue_date"), ("payment", "payment_date"))
 # VARCHAR(n) limits of the DDL, checked as string-length rules.
 MAX_LENGTHS: dict[tuple[str, str], int] = {
     ("department", "dept_name"): 100, ("department", "operating_hours"): 100,
-    ("ward", "ward_name"): 100, ("ward", "ward_type"): 20,
+    ("ward", "ward_name"): 100, ("ward", "dept_name"): 100, ("ward", "ward_type"): 20,
     ("bed", "comfort_level"): 50, ("bed", "bed_status"): 20,
     ("staff", "full_name"): 255, ("staff", "email"): 255, ("staff", "mobile"): 20,
-    ("staff", "address"): 255, ("staff", "staff_type"): 20,
+    ("staff", "address"): 255, ("staff", "dept_name"): 100, ("staff", "staff_type"): 20,
     ("doctor", "medical_license_number"): 50, ("doctor", "license_state"): 50,
     ("specialty", "specialty_name"): 100, ("specialty", "specialty_category"): 50,
-    ("patient", "full_name"): 255, ("patient", "email"): 255, ("patient", "mobile"): 20,
-    ("patient", "blood_type"): 5, ("patient", "insurance_number"): 100,
+    ("doctorspecialty", "specialty_name"): 100, ("doctorspecialty", "proficiency_level"): 50,
+    ("patient", "full_name"): 255, ("patient", "email"): 255, ("patient", "address"): 255,
+    ("patient", "mobile"): 20, ("patient", "emergency_contact_name"): 255,
+    ("patient", "emergency_contact_phone"): 20, ("patient", "insurance_number"): 100,
+    ("patient", "blood_type"): 5,
     ("admission", "admission_type"): 20, ("admission", "primary_diagnosis"): 255,
     ("admission", "discharge_disposition"): 50,
-    ("plannedadmission", "reference_number"): 100,
+    ("plannedadmission", "referring_practitioner"): 255, ("plannedadmission", "reference_number"): 100,
     ("emergencyadmission", "patient_condition"): 500, ("emergencyadmission", "severity_level"): 20,
     ("invoice", "payment_status"): 20,
-    ("payment", "payment_method"): 50, ("payment", "card_last_four"): 4,
-    ("payment", "card_type"): 20, ("payment", "transaction_id"): 100,
-    ("payment", "payment_status"): 20,
+    ("payment", "payment_method"): 50, ("payment", "cardholder_name"): 255, ("payment", "card_last_four"): 4,
+    ("payment", "card_type"): 20, ("payment", "payment_processor"): 50, ("payment", "transaction_id"): 100,
+    ("payment", "payment_token"): 255, ("payment", "payment_status"): 20,
 }

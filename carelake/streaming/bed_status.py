@@ -26,11 +26,15 @@ with an older order than the state cannot win the max, so any split or
 arrival order of a complete log ends in the batch answer.  Changed beds
 are written per micro-batch by ``foreachBatch`` into a folder named after
 the batch id (overwritten on retry, hence idempotent).  No Python runs in
-the tasks.
+the tasks.  A job that is stopped and started again with the same output
+and checkpoint folders goes on from its last committed micro-batch.
+Records are ordered to the microsecond.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,25 +105,39 @@ def bed_status_batch(h: Hospital) -> DataFrame:
 
 # ---------------------------------------------------------------- stream
 
-def stage_change_log(spark: SparkSession, changes: DataFrame, n_files: int = 8) -> str:
-    """Write the change log as a landing folder of parquet files (the stream's source)."""
-    path = staging_path(spark, "bed-changes")
-    changes.repartition(n_files).write.mode("overwrite").parquet(path)
+def stage_change_log(spark: SparkSession, changes: DataFrame, path: str | None = None,
+                     records_per_file: int = 1_000_000) -> str:
+    """Write the change log as a landing folder of parquet files (the stream's source).
+
+    Write tasks follow the data: those of ``changes``, whose files are cut at ``records_per_file``.
+    """
+    path = path or staging_path(spark, "bed-changes")
+    changes.write.mode("append").option("maxRecordsPerFile", records_per_file).parquet(path)
     return path
 
 
-def run_bed_status_stream(spark: SparkSession, source_path: str, files_per_trigger: int = 2) -> str:
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """RocksDB as state store for the query that starts inside; the session's setting comes back."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def run_bed_status_stream(spark: SparkSession, source_path: str, out: str | None = None,
+                          checkpoint: str | None = None, files_per_trigger: int = 2) -> str:
     """O-T2: run the stateful stream over ``source_path`` until caught up.
 
-    Returns the folder of emitted status updates (one sub-folder per micro-batch).  State and
-    progress live under the shared checkpoint folder, so a restarted job
-    resumes from its last committed micro-batch.
+    Returns the folder of emitted status updates (one sub-folder per micro-batch).  With the
+    ``out`` and ``checkpoint`` of an earlier run it resumes from that run's last committed
+    micro-batch; by default both are fresh folders below the shared folder.
     """
-    out = staging_path(spark, "bed-status-updates")
-    ckpt = staging_path(spark, "bed-status-ckpt")
-    # One state row per bed: keep it in RocksDB (disk-backed, incremental
-    # checkpoints) rather than executor memory.  Read when the query starts.
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    out = out or staging_path(spark, "bed-status-updates")
+    checkpoint = checkpoint or staging_path(spark, "bed-status-ckpt")
     changes = (spark.readStream.schema(CHANGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
                .parquet(source_path))
     latest = (change_effects(changes).groupBy("bed_id")
@@ -129,9 +147,11 @@ def run_bed_status_stream(spark: SparkSession, source_path: str, files_per_trigg
     def write_batch(updates: DataFrame, batch_id: int) -> None:
         updates.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = (latest.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    # One state row per bed: disk-backed, incremental checkpoints, not executor memory.
+    with rocksdb_state(spark):
+        q = (latest.writeStream.outputMode("update").foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
     return out
 
 

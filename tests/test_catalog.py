@@ -51,3 +51,24 @@ def test_bucketed_admission_bill_join_needs_no_shuffle(spark):
         assert _rows(a.columns, [tuple(r) for r in a.collect()]) == _rows(b.columns, [tuple(r) for r in b.collect()])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_defaults_and_generated_column_at_a_file_load(spark, tmp_path):
+    derived = from_driver_tables(spark, SF)
+    path = str(tmp_path)
+    for name, df in derived.tables().items():
+        lacking = {"bed": ["bed_status"], "invoice": ["issue_date", "payment_status"], "payment": ["payment_date"],
+                   "department": ["staff_headcount"], "billingstatement": ["remaining_balance"],
+                   "nurse": ["wwcc_clearance"], "patient": ["allergies"]}.get(name, [])
+        df.drop(*lacking).limit(5).write.parquet(f"{path}/{name}")
+    stored = from_parquet_tables(spark, path, as_of="2024-05-06")
+    one = lambda t, c: {r[0] for r in getattr(stored, t).select(c).collect()}
+    assert one("bed", "bed_status") == {"Available"} and one("invoice", "payment_status") == {"Unpaid"}
+    assert {str(d) for d in one("invoice", "issue_date") | one("payment", "payment_date")} == {"2024-05-06"}
+    assert one("department", "staff_headcount") == {0} and one("nurse", "wwcc_clearance") == {False}
+    assert one("patient", "allergies") == {None}
+    assert all(r.remaining_balance == r.total_cost - r.insurance_covered_amount
+               for r in stored.billingstatement.collect())
+    derived.staff.drop("full_name").limit(1).write.parquet(f"{path}/broken/staff")
+    with pytest.raises(ValueError, match="staff.full_name"):
+        from_parquet_tables(spark, f"{path}/broken").staff.count()

@@ -205,10 +205,15 @@ def test_rules_find_one_negative_row_per_family(spark):
     bad["doctorspecialty"] = [r for r in bad["doctorspecialty"] if r["doctor_id"] != 3]  # cardinality
     bad["payment"][0]["card_last_four"] = "901234"                        # length
     bad["patient"][0]["full_name"] = None                                 # not null
+    bad["doctor"][0]["license_expiry_date"] = dt.date(2020, 1, 1)         # validity
+    bad["department"].append(dict(bad["department"][3]))                  # primary key
     h = hospital_from_rows(spark, bad, AS_OF)
     got = {r["rule_id"]: r["violations"] for r in rules.rule_counts(h, AS_OF).collect()}
     fired = {k: v for k, v in got.items() if v}
     assert fired == {"unique.staff.email": 2, "domain.staff.staff_type": 1, "range.bed.bed_length": 1,
                      "foreign_key.admission.doctor_id": 1, "cross_column.admission.discharge_date": 1,
                      "cardinality.doctor.specialties": 1, "length.payment.card_last_four": 1,
-                     "not_null.patient.full_name": 1}
+                     "not_null.patient.full_name": 1, "validity.doctor.license": 1, "primary_key.department": 2}
+    found = {(r["rule_id"], r["record_key"]) for r in rules.rule_violations(h, AS_OF).collect()}
+    assert len(found) == 11 and {k for _, k in found if _ == "primary_key.department"} == {"Surgery"}
+    assert ("not_null.patient.full_name", "1") in found and ("foreign_key.admission.doctor_id", "3") in found

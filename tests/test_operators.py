@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.operators.census import daily_census
-from carelake.operators.joins import left_join_split_nulls
 from carelake.operators.ranking import percentile_cont, rank_table, value_ranks
 from carelake.operators.sequence import first_after
 
@@ -107,13 +106,6 @@ def test_daily_census_matches_expansion(spark):
     assert got == want
 
 
-def test_left_join_split_nulls_keeps_all_rows(spark):
-    left = spark.createDataFrame([(1, 10), (2, None), (3, 30), (4, None)], "id long, k long")
-    right = spark.createDataFrame([(10, "a"), (30, "c")], "rk long, name string")
-    got = sorted((r.id, r.name) for r in left_join_split_nulls(left, right, "k", "rk").collect())
-    assert got == [(1, "a"), (2, None), (3, "c"), (4, None)]
-
-
 def test_ranks_on_generated_skewed_inputs(spark):
     """Hypothesis-generated inputs: hot values, NULL groups, negative and repeated values."""
     from hypothesis import given, settings, strategies as st
@@ -137,23 +129,67 @@ def test_ranks_on_generated_skewed_inputs(spark):
     check()
 
 
-def test_expand_levels_matches_recursive_definition(spark):
+def test_expand_levels_on_a_tree_is_linear(spark):
+    """A binary tree of 4 levels: every node once, at its depth, and no collected list in the plan."""
+    from carelake.operators.hierarchy import expand_levels
+    parent = {i: i // 2 for i in range(2, 32)}
+    nodes = spark.createDataFrame([(f"n{i}", f"n{parent[i]}" if i in parent else None) for i in range(1, 32)],
+                                  "dept_name string, above string")
+    got = expand_levels(nodes, "dept_name", F.col("dept_name"), F.col("above"), F.col("dept_name") == "n1", max_depth=3)
+    want = []
+    for i in range(1, 16):
+        chain = [i]
+        while chain[0] in parent:
+            chain.insert(0, parent[chain[0]])
+        want.append((f"n{i}", "n1", len(chain) - 1, " > ".join(f"n{k}" for k in chain)))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Subquery" not in plan
+
+
+def test_expand_levels_shared_parent_key(spark):
+    """Nodes that report to a class of nodes: each root has every other node below it."""
     from carelake.operators.hierarchy import expand_levels
-    names = ["a", "b", "c", "d"]
-    nodes = spark.createDataFrame([(n, n == "a") for n in names], "dept_name string, is_root boolean")
-    got = sorted(tuple(r) for r in expand_levels(nodes, "dept_name", F.col("is_root"), max_depth=2).collect())
-    want, level = [], [("a", "a", 0, "a")]
-    for depth in range(3):
-        want += level
-        if depth == 2:
-            break
-        level = [(n, root, lv + 1, f"{path} > {n}") for (parent, root, lv, path) in level for n in names if n != parent]
-    assert got == sorted(want)
+    nodes = spark.createDataFrame([("a", "24"), ("b", "24"), ("c", "8")], "dept_name string, hours string")
+    got = expand_levels(nodes, "dept_name", F.col("hours"), F.lit("24"), F.col("hours") == "24")
+    assert sorted((r.root_dept_name, r.level, r.dept_name) for r in got.collect()) == [
+        ("a", 0, "a"), ("a", 1, "b"), ("a", 1, "c"), ("b", 0, "b"), ("b", 1, "a"), ("b", 1, "c")]
+
+
+def test_ranking_many_groups_without_a_broadcast(spark):
+    df = spark.range(200_000).select((F.col("id") % 100_000).alias("g"), (F.col("id") * 7 % 1000).alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only a hint could broadcast now
+    try:
+        r = rank_table(df, "v", ["g"], rank="rk")
+        assert "BroadcastExchange" not in r._jdf.queryExecution().executedPlan().toString()
+        assert r.agg(F.count("*"), F.max("rk")).first()[1] <= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_weighted_percentiles_match_repeated_rows(spark):
+    rows = [("x", float(v), n) for v, n in ((1, 3), (2, 1), (5, 4), (9, 2))]
+    wide = spark.createDataFrame([(g, v) for g, v, n in rows for _ in range(n)], "g string, v double")
+    short = spark.createDataFrame(rows, "g string, v double, n long")
+    fr = {"p25": 0.25, "p50": 0.5, "p90": 0.9}
+    assert percentile_cont(short, "v", ["g"], fr, weight="n").collect() == percentile_cont(wide, "v", ["g"], fr).collect()
+
+
+def test_first_after_to_the_microsecond(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    us, day = dt.timedelta(microseconds=1), dt.timedelta(days=30)
+    anchors = spark.createDataFrame([(k, t) for k in range(1, 5)], "k long, t timestamp_ntz")
+    events = spark.createDataFrame([(1, t + dt.timedelta(milliseconds=500)), (2, t + day + us), (3, t + day), (4, t)],
+                                   "k long, e timestamp_ntz")
+    got = {r.k: r.next_t for r in first_after(anchors, events, "k", "t", "e", 30 * 86400).collect()}
+    assert got == {1: t + dt.timedelta(milliseconds=500), 2: None, 3: t + day, 4: None}
 
 
 def test_value_ranks_without_broadcast_hints_agrees(spark):
     df = spark.createDataFrame(_skewed_values(), "id long, g string, v long")
-    hinted = sorted(map(tuple, value_ranks(df, "v", ["g"], n_buckets=8).collect()), key=lambda t: (t[0] or "", t[1]))
+    hinted = sorted(map(tuple, value_ranks(df, "v", ["g"], n_buckets=8, few_groups=True).collect()), key=lambda t: (t[0] or "", t[1]))
     planned = sorted(map(tuple, value_ranks(df, "v", ["g"], n_buckets=8, few_groups=False).collect()),
                      key=lambda t: (t[0] or "", t[1]))
     assert hinted == planned

@@ -10,8 +10,6 @@ from oracle_compare import compare, duck_connect
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
-SLOW = {"d01_d09_rule_counts", "t2_bed_status_stream"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -20,8 +18,6 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    if name in SLOW and not os.environ.get("CARELAKE_SLOW_TESTS"):
-        pytest.skip("slow; set CARELAKE_SLOW_TESTS=1")
     df = entry.queries()[name](spark, SF)
     r = compare(df, con, entry.oracle_sql()[name])
     assert r["values_match"], r

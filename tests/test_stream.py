@@ -1,12 +1,13 @@
 """Bed status: the stream over any split / arrival order equals the batch fold."""
 
 import datetime as dt
+import os
 import tempfile
 
 from pyspark.sql import functions as F
 
 from carelake.streaming.bed_status import (CHANGE_SCHEMA, current_status, fold_bed_status,
-                                           run_bed_status_stream)
+                                           run_bed_status_stream, stage_change_log)
 
 T0 = dt.datetime(2024, 3, 1, 8, 0)
 
@@ -52,3 +53,27 @@ def test_stream_equals_batch_with_late_and_split_input(spark):
     assert got == expected
     # more than one micro-batch really ran
     assert spark.read.parquet(out).select(F.countDistinct("bed_id")).first()[0] >= 4
+
+
+def test_sub_second_order_beats_event_ids(spark):
+    """Taken at .1 s with the higher event id, freed at .9 s: the later time wins."""
+    rows = [(9, T0 + dt.timedelta(milliseconds=100), "INSERT", 1, 1, None, None),
+            (3, T0 + dt.timedelta(milliseconds=900), "UPDATE", 1, 1, 1, dt.date(2024, 3, 1))]
+    got = {r.bed_id: r.bed_status for r in fold_bed_status(_beds(spark), spark.createDataFrame(rows, CHANGE_SCHEMA)).collect()}
+    assert got[1] == "Available"
+
+
+def test_stopped_stream_goes_on_in_the_same_folders(spark):
+    base = tempfile.mkdtemp(prefix="bed-resume-", dir=spark.conf.get("spark.checkpoint.dir"))
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/ckpt"
+    everything = spark.createDataFrame(CHANGES, CHANGE_SCHEMA)
+    stage_change_log(spark, spark.createDataFrame(CHANGES[:3], CHANGE_SCHEMA).coalesce(1), src)
+    store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    run_bed_status_stream(spark, src, out, ckpt)
+    first = len(os.listdir(out))
+    stage_change_log(spark, spark.createDataFrame(CHANGES[3:], CHANGE_SCHEMA).coalesce(1), src)
+    run_bed_status_stream(spark, src, out, ckpt)
+    assert len(os.listdir(out)) > first  # new batches, the old ones stay
+    got = sorted(map(tuple, current_status(spark, _beds(spark), out).collect()))
+    assert got == sorted(map(tuple, fold_bed_status(_beds(spark), everything).collect()))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == store
