@@ -1,17 +1,14 @@
-"""Literal table load (O-S1) of the workload's sample rows, with defaults and
-the generated column applied, for golden tests.
+"""Literal table load (O-S1), for tests and small reference data.
 
-``load_rows`` is the general loader: rows are dicts, absent fields take the
-DDL default (O-S6; date defaults take ``as_of``), ``remaining_balance`` is
-computed (O-S5), and SERIAL ids are numbered 1..n in insertion order.
-``sample_hospital`` loads the sample and applies the admission trigger to
-bed status, as the sample script's inserts do.
+``load_rows``: rows are dicts, absent fields take the declared default (O-S6; date
+defaults take ``as_of``), ``remaining_balance`` is computed (O-S5), and serial ids are
+numbered 1..n in insertion order.  ``hospital_from_rows`` makes a Hospital of them, with
+bed status as the admission trigger leaves it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,135 +21,6 @@ SERIAL_KEYS = {"ward": "ward_id", "bed": "bed_id", "staff": "staff_id", "patient
                "admission": "admission_id", "billingstatement": "billing_id", "invoice": "invoice_id",
                "payment": "payment_id"}
 
-D = Decimal
-d = dt.date.fromisoformat
-ts = dt.datetime.fromisoformat
-
-# The sample rows of the workload's schema script (contact
-# addresses and e-mail domains neutralised; no query result depends on them).
-SAMPLE: dict[str, list[dict]] = {
-    "department": [
-        dict(dept_name="General", operating_hours="10:00 AM - 8:00 PM", staff_headcount=0),
-        dict(dept_name="Emergency Department", operating_hours="24 Hours", staff_headcount=0),
-        dict(dept_name="Pediatrics", operating_hours="10:00 AM - 8:00 PM", staff_headcount=0),
-        dict(dept_name="Surgery", operating_hours="8:00 AM - 6:00 PM", staff_headcount=0),
-    ],
-    "ward": [
-        dict(ward_name="General Ward A", dept_name="General", ward_type="General", bed_capacity=20),
-        dict(ward_name="Pediatric ICU", dept_name="Pediatrics", ward_type="ICU", bed_capacity=10),
-        dict(ward_name="Emergency Ward", dept_name="Emergency Department", ward_type="General", bed_capacity=15),
-    ],
-    "bed": [
-        dict(ward_id=1, bed_length=D("2.00"), bed_width=D("1.00"), mattress_thickness=D("16.00"),
-             comfort_level="Standard", bed_cost=D("50.00"), bed_status="Available"),
-        dict(ward_id=1, bed_length=D("2.00"), bed_width=D("1.00"), mattress_thickness=D("16.00"),
-             comfort_level="Standard", bed_cost=D("50.00"), bed_status="Available"),
-        dict(ward_id=2, bed_length=D("2.10"), bed_width=D("1.20"), mattress_thickness=D("17.50"),
-             comfort_level="Premium", bed_cost=D("150.00"), bed_status="Available"),
-        dict(ward_id=3, bed_length=D("2.05"), bed_width=D("1.10"), mattress_thickness=D("16.50"),
-             comfort_level="Standard", bed_cost=D("75.00"), bed_status="Available"),
-    ],
-    "staff": [
-        dict(full_name="Dr. Sarah Johnson", email="sarah.johnson@staff.example", mobile="0412345678",
-             address="123 Medical St, Example City", salary=D("180000.00"), dept_name="General",
-             staff_type="Doctor"),
-        dict(full_name="Nurse Emily Chen", email="emily.chen@staff.example", mobile="0423456789",
-             address="456 Care Ave, Example City", salary=D("85000.00"), dept_name="Emergency Department",
-             staff_type="Nurse"),
-        dict(full_name="Dr. Michael Wong", email="michael.wong@staff.example", mobile="0434567890",
-             address="789 Health Rd, Example City", salary=D("195000.00"), dept_name="Pediatrics",
-             staff_type="Doctor"),
-        dict(full_name="Nurse Lisa Brown", email="lisa.brown@staff.example", mobile="0445678901",
-             address="321 Nurse Lane, Example City", salary=D("88000.00"), dept_name="Pediatrics",
-             staff_type="Nurse"),
-    ],
-    "doctor": [
-        dict(doctor_id=1, medical_license_number="MED123456", license_expiry_date=d("2027-12-31"),
-             license_state="NSW"),
-        dict(doctor_id=3, medical_license_number="MED789012", license_expiry_date=d("2028-06-30"),
-             license_state="NSW"),
-    ],
-    "specialty": [
-        dict(specialty_name="General Medicine", specialty_category="Medical", certification_required=True,
-             min_years_training=5,
-             description="Comprehensive care for adult patients with acute and chronic conditions"),
-        dict(specialty_name="Pediatrics", specialty_category="Pediatric", certification_required=True,
-             min_years_training=6, description="Medical care for infants, children, and adolescents"),
-        dict(specialty_name="Emergency Medicine", specialty_category="Emergency", certification_required=True,
-             min_years_training=5,
-             description="Acute care for patients with urgent and life-threatening conditions"),
-        dict(specialty_name="Cardiology", specialty_category="Medical", certification_required=True,
-             min_years_training=7,
-             description="Diagnosis and treatment of heart and cardiovascular system disorders"),
-        dict(specialty_name="General Surgery", specialty_category="Surgical", certification_required=True,
-             min_years_training=6, description="Surgical procedures for diseases and injuries"),
-    ],
-    "doctorspecialty": [
-        dict(doctor_id=1, specialty_name="General Medicine", training_date=d("2015-06-15"),
-             proficiency_level="Expert", is_primary_specialty=True),
-        dict(doctor_id=1, specialty_name="Cardiology", training_date=d("2018-03-20"),
-             proficiency_level="Advanced", is_primary_specialty=False),
-        dict(doctor_id=3, specialty_name="Pediatrics", training_date=d("2016-08-20"),
-             proficiency_level="Expert", is_primary_specialty=True),
-    ],
-    "nurse": [
-        dict(nurse_id=2, wwcc_clearance=False, wwcc_expiry_date=None),
-        dict(nurse_id=4, wwcc_clearance=True, wwcc_expiry_date=d("2026-12-31")),
-    ],
-    "patient": [
-        dict(full_name="John Smith", email="john.smith@email.com", address="10 Patient St, Example City",
-             date_of_birth=d("1985-03-15"), mobile="0456789012", emergency_contact_name="Jane Smith",
-             emergency_contact_phone="0467890123", insurance_number="INS123456", blood_type="O+",
-             allergies="Penicillin"),
-        dict(full_name="Emma Wilson", email="emma.wilson@email.com", address="20 Family Ave, Example City",
-             date_of_birth=d("1990-07-22"), mobile="0478901234", emergency_contact_name="Robert Wilson",
-             emergency_contact_phone="0489012345", insurance_number="INS789012", blood_type="A+",
-             allergies="None"),
-        dict(full_name="Oliver Taylor", email="oliver.taylor@email.com", address="30 Child Rd, Example City",
-             date_of_birth=d("2015-11-10"), mobile="0490123456", emergency_contact_name="Sophie Taylor",
-             emergency_contact_phone="0401234567", insurance_number="INS345678", blood_type="B+",
-             allergies="Latex, Peanuts"),
-    ],
-    "admission": [
-        dict(patient_id=1, admission_date=ts("2024-08-01 10:30:00"), admission_type="Planned", nurse_id=2,
-             doctor_id=1, bed_id=1, discharge_date=d("2024-08-05"), primary_diagnosis="Coronary artery disease"),
-        dict(patient_id=2, admission_date=ts("2024-08-15 02:45:00"), admission_type="Emergency", nurse_id=2,
-             doctor_id=1, bed_id=2, discharge_date=d("2024-08-18"), primary_diagnosis="Acute myocardial infarction"),
-        dict(patient_id=3, admission_date=ts("2024-08-20 14:00:00"), admission_type="Planned", nurse_id=4,
-             doctor_id=3, bed_id=3, discharge_date=None, primary_diagnosis="Pneumonia"),
-    ],
-    "plannedadmission": [
-        dict(admission_id=1, referring_practitioner="Dr. Peter Anderson", reference_number="REF2024001"),
-        dict(admission_id=3, referring_practitioner="Dr. Mary Thompson", reference_number="REF2024003"),
-    ],
-    "emergencyadmission": [
-        dict(admission_id=2, triage_nurse_id=2, patient_condition="Chest pain and shortness of breath",
-             severity_level="Critical"),
-    ],
-    "billingstatement": [
-        dict(admission_id=1, discharge_date=d("2024-08-05"),
-             services_description="General consultation, blood tests, 4-day hospital stay",
-             total_cost=D("3500.00"), insurance_covered_amount=D("2800.00")),
-        dict(admission_id=2, discharge_date=d("2024-08-18"),
-             services_description="Emergency care, ECG, cardiac monitoring, 3-day ICU stay",
-             total_cost=D("8500.00"), insurance_covered_amount=D("7000.00")),
-    ],
-    "invoice": [
-        dict(billing_id=1, issue_date=d("2024-08-06"), due_date=d("2024-09-06"), amount_due=D("700.00"),
-             payment_status="Paid"),
-        dict(billing_id=2, issue_date=d("2024-08-19"), due_date=d("2024-09-19"), amount_due=D("1500.00"),
-             payment_status="Paid"),
-    ],
-    "payment": [
-        dict(invoice_id=1, payment_method="Credit Card", cardholder_name="John Smith", card_last_four="9012",
-             card_type="Visa", transaction_id="TXN20240810001", payment_date=d("2024-08-10"),
-             payment_amount=D("700.00"), payment_status="Completed"),
-        dict(invoice_id=2, payment_method="Credit Card", cardholder_name="Emma Wilson", card_last_four="1234",
-             card_type="Mastercard", transaction_id="TXN20240822001", payment_date=d("2024-08-22"),
-             payment_amount=D("1500.00"), payment_status="Completed"),
-    ],
-}
-
 
 def load_rows(spark: SparkSession, table: str, rows: list[dict], as_of=None) -> DataFrame:
     """Literal rows -> typed DataFrame: SERIAL ids, DDL defaults, generated column."""
@@ -197,7 +65,3 @@ def hospital_from_rows(spark: SparkSession, tables: dict[str, list[dict]], as_of
             return raw.drop("bed_status").join(status.select("bed_id", "bed_status"), "bed_id")
         builders["bed"] = bed
     return Hospital(builders, spark)
-
-
-def sample_hospital(spark: SparkSession, as_of="2024-10-01") -> Hospital:
-    return hospital_from_rows(spark, SAMPLE, as_of)

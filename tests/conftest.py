@@ -29,5 +29,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sample(spark):
-    from carelake.sources.fixtures import sample_hospital
-    return sample_hospital(spark)
+    from carelake.sources.fixtures import hospital_from_rows
+    from sample_rows import AS_OF, SAMPLE
+    return hospital_from_rows(spark, SAMPLE, AS_OF)

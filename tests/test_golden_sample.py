@@ -1,219 +1,155 @@
-"""Golden tests on the workload's sample rows (expected values worked out by hand).
-
-as_of is 2024-10-01 unless a test says otherwise; bed status is as left by
-the admission trigger (beds 1, 2, 4 Available, bed 3 Occupied).
-"""
+"""Every query on a small hospital of our own: against its SQL over the same rows, and against
+values worked out by hand where the question leaves something to settle."""
 
+import copy
 import datetime as dt
+import json
 
-from carelake.plans import admissions, audit, facilities, finance, staffing
-from carelake.checks import rules
-from carelake.sources.fixtures import SAMPLE, hospital_from_rows
+import duckdb
+import pytest
 
-AS_OF = "2024-10-01"
+from carelake.checks import rules
+from carelake.plans import admissions, audit, facilities, finance, staffing
+from carelake.plans.registry import PLANS
+from carelake.sources.fixtures import hospital_from_rows
+from carelake.sources.roles_sql import ROLE_CTES
+from carelake.sources.schemas import SCHEMAS
+from oracle_compare import compare
+from sample_rows import AS_OF, SAMPLE
 
 
 def rows(df, *cols):
     return [tuple(r[c] for c in cols) for r in df.collect()]
 
 
-def test_sample_loader_applies_trigger_defaults_and_generated_column(sample):
+@pytest.fixture(scope="module")
+def con(sample):
+    """The sample as DuckDB tables."""
+    con = duckdb.connect()
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP"}
+    for name, schema in SCHEMAS.items():
+        cols = ", ".join(f"{f.name} {kinds.get(f.dataType.simpleString(), f.dataType.simpleString())}" for f in schema.fields)
+        con.execute(f"CREATE TABLE {name} ({cols})")
+        data = [tuple(r) for r in getattr(sample, name).collect()]
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(schema.fields))})", data)
+    return con
+
+
+def over_tables(sql: str) -> str:
+    """An oracle text without the role tables' definitions."""
+    for cte in ROLE_CTES:
+        sql = sql.replace(cte + ",\n", "").replace(cte, "")
+    head, _, rest = sql.partition("WITH ")
+    return rest if rest.lstrip().startswith("SELECT") else sql
+
+
+@pytest.mark.parametrize("name", sorted(n for n in PLANS if n != "t2_bed_status_stream"))
+def test_query_matches_its_sql(sample, con, name):
+    plan, sql = PLANS[name]
+    r = compare(plan(sample), con, over_tables(sql))
+    assert r["values_match"], r
+
+
+def test_loader_applies_trigger_defaults_and_generated_column(sample):
     assert rows(sample.bed.orderBy("bed_id"), "bed_id", "bed_status") == [
-        (1, "Available"), (2, "Available"), (3, "Occupied"), (4, "Available")]
-    assert rows(sample.billingstatement.orderBy("billing_id"), "remaining_balance") == [
-        (700,), (1500,)]
+        (1, "Available"), (2, "Occupied"), (3, "Available"), (4, "Occupied"), (5, "Available")]
+    assert [str(b) for (b,) in rows(sample.billingstatement.orderBy("billing_id"), "remaining_balance")] == [
+        "200.10", "800.00", "0.00", "1999.99", "30.00"]
+    assert rows(sample.nurse.orderBy("nurse_id"), "wwcc_clearance") == [(True,), (False,)]
     assert rows(facilities.refresh_headcount(sample).orderBy("dept_name"), "dept_name", "staff_headcount") == [
-        ("Emergency Department", 1), ("General", 1), ("Pediatrics", 2), ("Surgery", 0)]
+        ("Renal", 3), ("Sleep", 1), ("Trauma", 2)]
+
+
+def test_q01_ties_and_a_doctor_without_department(sample):
+    got = {r["doctor_name"]: r for r in staffing.salary_ranking(sample).collect()}
+    assert {n: (r["salary_rank_in_dept"], r["overall_salary_rank"]) for n, r in got.items()} == {
+        "Ada Quist": (1, 1), "Cyd Marr": (1, 1), "Bo Lindt": (2, 3), "Dov Neri": (1, 4)}
+    assert got["Bo Lindt"]["dept_avg_salary"] == 200000.25 and got["Bo Lindt"]["salary_vs_dept_avg"] == -9999.75
 
 
-def test_q01_salary_ranking(sample):
-    got = rows(staffing.salary_ranking(sample), "doctor_name", "dept_name", "salary", "salary_rank_in_dept",
-               "overall_salary_rank", "dept_avg_salary", "salary_vs_dept_avg")
-    assert got == [("Dr. Sarah Johnson", "General", 180000.0, 1, 2, 180000.0, 0.0),
-                   ("Dr. Michael Wong", "Pediatrics", 195000.0, 1, 1, 195000.0, 0.0)]
+def test_q02_months(sample):
+    assert rows(admissions.monthly_admissions(sample), "month", "admissions_this_month", "cumulative_admissions",
+                "three_month_moving_avg") == [(dt.datetime(2001, 5, 1), 2, 2, 2.0), (dt.datetime(2001, 6, 1), 3, 5, 2.5),
+                                              (dt.datetime(2001, 7, 1), 4, 9, 3.0)]
 
 
-def test_q02_monthly(sample):
-    got = rows(admissions.monthly_admissions(sample), "month", "admissions_this_month",
-               "cumulative_admissions", "three_month_moving_avg")
-    assert got == [(dt.datetime(2024, 8, 1), 3, 3, 3.0)]
+def test_q05_one_level_below_the_root(sample):
+    assert sorted(rows(facilities.department_hierarchy(sample), "dept_name", "root_dept", "level", "path")) == [
+        ("Renal", "Trauma", 1, "Trauma > Renal"), ("Sleep", "Trauma", 1, "Trauma > Sleep"), ("Trauma", "Trauma", 0, "Trauma")]
 
 
-def test_q03_daily_occupancy(sample):
-    got = rows(admissions.daily_occupancy(sample), "date", "admissions", "total_beds", "occupancy_rate",
-               "rolling_7day_avg")
-    assert got == [(dt.date(2024, 8, 20), 1, 4, 25.0, 25.0), (dt.date(2024, 8, 15), 1, 4, 25.0, 25.0),
-                   (dt.date(2024, 8, 1), 1, 4, 25.0, 25.0)]
+def test_q06_total_line(sample):
+    last = finance.revenue_rollup(sample).collect()[-1]
+    assert (last["department"], last["total_admissions"], str(last["total_revenue"])) == ("ALL DEPARTMENTS", 8, "11190.15")
 
 
-def test_q04_doctor_stats(sample):
-    got = rows(staffing.doctor_department_stats(sample), "doctor_id", "specialty_count", "total_admissions",
-               "active_patients", "dept_avg_specialties", "dept_total_admissions", "pct_of_dept_admissions")
-    assert got == [(1, 2, 2, 0, 2.0, 2, 100.0), (3, 1, 1, 1, 1.0, 1, 100.0)]
+def test_q08_only_above_average(sample):
+    # Renal: Ada 1, Bo 2 patients (mean 1.5); Trauma: Cyd 1 (mean 1)
+    assert rows(staffing.above_department_average(sample), "full_name", "patients_treated", "dept_avg_patients") == [
+        ("Bo Lindt", 2, 1.5)]
 
 
-def test_q05_hierarchy(sample):
-    got = sorted(rows(facilities.department_hierarchy(sample), "dept_name", "root_dept", "level", "path"))
-    root = "Emergency Department"
-    assert got == sorted([(root, root, 0, root)] + [
-        (d, root, 1, f"{root} > {d}") for d in ("General", "Pediatrics", "Surgery")])
+def test_q11_history_keeps_fractions_and_nulls(sample):
+    got = {r["full_name"]: r for r in finance.patient_summary(sample, AS_OF).collect()}
+    ivo = json.loads(got["Ivo Tran"]["admission_history"])
+    assert ivo[0] == {"admission_date": "2001-07-27T06:30:00.5", "type": "Emergency", "diagnosis": None, "doctor": "Cyd Marr",
+                      "length_of_stay": 5}
+    assert json.loads(got["Joy Ueda"]["admission_history"])[0]["doctor"] is None
+    assert got["Kit Vane"]["admission_history"] is None and got["Kit Vane"]["total_visits"] == 0
+    assert str(got["Hana Sato"]["lifetime_charges"]) == "2190.15" and got["Hana Sato"]["doctors_seen"] == "Ada Quist, Bo Lindt, Dov Neri"
 
 
-def test_q06_rollup(sample):
-    got = rows(finance.revenue_rollup(sample), "department", "admission_type", "total_admissions", "avg_cost",
-               "total_revenue", "dept_grouping_level", "type_grouping_level")
-    assert got == [("General", "Emergency", 1, 8500.0, 8500.0, 0, 0),
-                   ("General", "Planned", 1, 3500.0, 3500.0, 0, 0),
-                   ("Pediatrics", "Planned", 1, None, None, 0, 0),
-                   ("General", "ALL TYPES", 2, 6000.0, 12000.0, 0, 1),
-                   ("Pediatrics", "ALL TYPES", 1, None, None, 0, 1),
-                   ("ALL DEPARTMENTS", "ALL TYPES", 3, 6000.0, 12000.0, 1, 1)]
+def test_q13_boundaries(sample):
+    assert rows(admissions.readmission_cohorts(sample), "readmission_timeframe", "patient_count", "total_discharges") == [
+        ("Readmitted within 7 days", 1, 1), ("Readmitted within 14 days", 2, 2),
+        ("Readmitted within 30 days", 1, 1), ("No readmission within 30 days", 1, 2)]
 
 
-def test_q07_and_q08_empty_on_sample(sample):
-    assert admissions.patient_admission_pivot(sample).count() == 0
-    assert staffing.above_department_average(sample).count() == 0
+def test_q15_bill_counted_once_per_invoice_payment(sample):
+    got = {(r["billing_month"].month, r["dept_name"]): r for r in finance.monthly_revenue(sample).collect()}
+    may = got[(5, "Renal")]  # bill 1 once; bill 2 three times: two payments, one invoice without
+    assert (may["bills_issued"], str(may["total_billed"]), str(may["payments_received"])) == (2, "3600.10", "400.00")
+    june = got[(6, "Renal")]
+    assert str(june["previous_month_revenue"]) == "3600.10" and str(june["month_over_month_change"]) == "-3450.05"
 
 
-def test_q09_latest(sample):
-    got = rows(admissions.latest_admissions_per_doctor(sample), "doctor_name", "patient_name", "admission_type")
-    assert got == [("Dr. Michael Wong", "Oliver Taylor", "Planned"),
-                   ("Dr. Sarah Johnson", "Emma Wilson", "Emergency"),
-                   ("Dr. Sarah Johnson", "John Smith", "Planned")]
+def test_q17_counts(sample):
+    got = dict(rows(audit.data_quality_scoreboard(sample, AS_OF), "issue_type", "issue_count"))
+    assert {k for k, v in got.items() if v} == {"Missing Email", "Admission without Discharge after 30 days", "Invoice Overdue >60 days"}
+    assert set(got.values()) == {0, 1} and len(got) == 8
 
 
-def test_q10_profiles(sample):
-    import json
-    got = {r["doctor_name"]: json.loads(r["doctor_profile"]) for r in staffing.doctor_profiles(sample).collect()}
-    assert got["Dr. Michael Wong"]["specialties"] == [
-        {"name": "Pediatrics", "proficiency": "Expert", "is_primary": True}]
-    assert got["Dr. Sarah Johnson"]["specialties"] == [
-        {"name": "General Medicine", "proficiency": "Expert", "is_primary": True},
-        {"name": "Cardiology", "proficiency": "Advanced", "is_primary": False}]
-    assert (got["Dr. Michael Wong"]["active_patients"], got["Dr. Michael Wong"]["total_patients_treated"]) == (1, 1)
-    assert (got["Dr. Sarah Johnson"]["active_patients"], got["Dr. Sarah Johnson"]["total_patients_treated"]) == (0, 2)
-    assert got["Dr. Sarah Johnson"]["contact"] == {"email": "sarah.johnson@staff.example", "mobile": "0412345678"}
+def test_q18_newest_first(sample):
+    got = rows(audit.activity_feed(sample, AS_OF), "activity", "record_id", "performed_by")
+    assert got == [("Recent Discharges", 9, "Dov Neri"), ("Recent Payments", 4, "System"), ("Recent Payments", 3, "System"),
+                   ("Recent Payments", 2, "System"), ("Recent Admissions", 6, "Cyd Marr"), ("Recent Admissions", 9, "Dov Neri")]
 
 
-def test_q11_patient_summary(sample):
-    import json
-    got = {r["full_name"]: r for r in finance.patient_summary(sample, AS_OF).collect()}
-    assert [got[n]["total_visits"] for n in ("Emma Wilson", "John Smith", "Oliver Taylor")] == [1, 1, 1]
-    assert (got["Emma Wilson"]["lifetime_charges"], got["Emma Wilson"]["insurance_paid"],
-            got["Emma Wilson"]["patient_owes"]) == (8500.0, 7000.0, 1500.0)
-    assert got["Oliver Taylor"]["lifetime_charges"] == 0.0
-    stays = {n: json.loads(got[n]["admission_history"])[0]["length_of_stay"] for n in got}
-    assert stays == {"Emma Wilson": 3, "John Smith": 4, "Oliver Taylor": 42}
-    assert list(got["John Smith"]["admission_types"]) == ["Planned"]
-    assert got["John Smith"]["doctors_seen"] == "Dr. Sarah Johnson"
-
-
-def test_q12_percentiles(sample):
-    got = rows(admissions.cost_stay_percentiles(sample).orderBy("admission_type"), "admission_type",
-               "total_admissions", "avg_cost", "stddev_cost", "cost_25th_percentile", "cost_median",
-               "cost_90th_percentile", "avg_length_of_stay", "median_length_of_stay")
-    assert got == [("Emergency", 1, 8500.0, None, 8500.0, 8500.0, 8500.0, 3.0, 3.0),
-                   ("Planned", 1, 3500.0, None, 3500.0, 3500.0, 3500.0, 4.0, 4.0)]
-
-
-def test_q13_readmission(sample):
-    got = rows(admissions.readmission_cohorts(sample), "readmission_timeframe", "patient_count",
-               "total_discharges", "readmission_rate")
-    assert got == [("No readmission within 30 days", 2, 2, 100.0)]
-
-
-def test_q14_workload(sample):
-    got = rows(staffing.workload_balance(sample, AS_OF), "full_name", "current_patients", "dept_avg_patients",
-               "variance_from_avg", "workload_status", "active_patient_days", "avg_days_per_patient",
-               "specialty_count")
-    assert got == [("Dr. Michael Wong", 1, 1.0, 0.0, "NORMAL", 42, 42.0, 1),
-                   ("Dr. Sarah Johnson", 0, 0.0, 0.0, "NORMAL", 0, None, 2)]
-
-
-def test_q15_revenue(sample):
-    got = rows(finance.monthly_revenue(sample), "dept_name", "bills_issued", "total_billed",
-               "insurance_collected", "patient_owed", "payments_received", "outstanding_balance",
-               "collection_rate_pct", "avg_bill_amount", "previous_month_revenue", "mom_growth_pct")
-    assert got == [("General", 2, 12000.0, 9800.0, 2200.0, 2200.0, 0.0, 100.0, 6000.0, None, None)]
-
-
-def test_q16_ward_utilisation(sample):
-    got = {r["ward_name"]: r for r in facilities.ward_utilisation(sample).collect()}
-    icu = got["Pediatric ICU"]
-    assert (icu["total_beds"], icu["occupied_beds"], icu["occupancy_rate"], icu["staff_assigned"],
-            icu["current_admissions"], icu["patients_per_staff_member"], icu["avg_bed_cost"],
-            icu["total_bed_inventory_value"], icu["occupancy_percentile"]) == (1, 1, 100.0, 2, 1, 0.5, 150.0, 300.0, 1.0)
-    ga = got["General Ward A"]
-    assert (ga["total_beds"], ga["occupancy_rate"], ga["total_bed_inventory_value"], ga["occupancy_percentile"]) == (
-        2, 0.0, 100.0, 0.0)
-    assert got["Emergency Ward"]["total_bed_inventory_value"] == 75.0
-
-
-def test_q17_scoreboard(sample):
-    got = dict(rows(audit.data_quality_scoreboard(sample, AS_OF), "issue_type", "issue_count"))
-    assert got.pop("Admission without Discharge after 30 days") == 1
-    assert set(got.values()) == {0} and len(got) == 7
-    early = dict(rows(audit.data_quality_scoreboard(sample, "2024-09-19"), "issue_type", "issue_count"))
-    assert early["Admission without Discharge after 30 days"] == 0
-    late = dict(rows(audit.data_quality_scoreboard(sample, "2027-01-01"), "issue_type", "issue_count"))
-    assert late["Expired WWCC"] == 1
-
-
-def test_q18_feed(sample):
-    got = rows(audit.activity_feed(sample, "2024-08-22"), "activity", "record_id", "related_to", "action")
-    assert got == [("Recent Payments", 2, "Emma Wilson", "Payment Received"),
-                   ("Recent Admissions", 3, "Oliver Taylor", "Created"),
-                   ("Recent Discharges", 2, "Emma Wilson", "Discharged"),
-                   ("Recent Admissions", 2, "Emma Wilson", "Created")]
-
-
-def test_q19_forecast_single_month(sample):
-    got = rows(admissions.trend_forecast(sample, AS_OF), "month", "actual_admissions", "predicted_admissions",
-               "correlation_coefficient", "next_month_forecast")
-    assert got == [(dt.datetime(2024, 8, 1), 3, None, None, None)]
-
-
-def test_q20_dashboard(sample):
-    got = {r["dept_name"]: r for r in facilities.department_dashboard(sample).collect()}
-    cols = ("total_staff", "doctors", "nurses", "total_beds", "available_beds", "occupancy_rate",
-            "total_admissions", "active_admissions", "patients_per_doctor", "patients_per_nurse", "total_revenue",
-            "revenue_per_admission", "avg_length_of_stay", "utilization_status", "revenue_rank", "admission_rank")
-    as_tuple = lambda r: tuple(r[c] for c in cols)
-    assert as_tuple(got["General"]) == (1, 1, 0, 2, 2, 0.0, 2, 0, 0.0, None, 12000.0, 6000.0, 3.5,
-                                        "LOW UTILIZATION", 1, 1)
-    assert as_tuple(got["Pediatrics"]) == (2, 1, 1, 1, 0, 100.0, 1, 1, 1.0, 1.0, 0.0, 0.0, 0.0,
-                                           "HIGH UTILIZATION", 2, 2)
-    assert as_tuple(got["Emergency Department"]) == (1, 0, 1, 1, 1, 0.0, 0, 0, None, 0.0, 0.0, None, 0.0,
-                                                     "LOW UTILIZATION", 2, 3)
-    assert as_tuple(got["Surgery"]) == (0, 0, 0, 0, 0, None, 0, 0, None, None, 0.0, None, 0.0,
-                                        "LOW UTILIZATION", 2, 3)
-
-
-def test_rules_clean_sample_has_no_structural_violations(sample):
-    got = {r["rule_id"]: r["violations"] for r in rules.rule_counts(sample, AS_OF).collect()}
-    assert {k: v for k, v in got.items() if v} == {}
-
-
-def test_rules_find_one_negative_row_per_family(spark):
-    import copy
+def test_rules_find_planted_records(spark):
     bad = copy.deepcopy(SAMPLE)
     bad["staff"][0]["email"] = bad["staff"][1]["email"]                   # unique
-    bad["staff"][2]["staff_type"] = "Surgeon"                             # domain
+    bad["staff"][6]["staff_type"] = "Porter"                              # domain
     bad["bed"][0]["bed_length"] = __import__("decimal").Decimal("3.00")   # range
-    bad["admission"][2]["doctor_id"] = 99                                 # foreign key
-    bad["admission"][0]["discharge_date"] = dt.date(2024, 7, 1)           # cross-column
+    bad["admission"][5]["doctor_id"] = 99                                 # foreign key
+    bad["admission"][0]["discharge_date"] = dt.date(2001, 4, 30)          # cross-column
     bad["doctorspecialty"] = [r for r in bad["doctorspecialty"] if r["doctor_id"] != 3]  # cardinality
     bad["payment"][0]["card_last_four"] = "901234"                        # length
     bad["patient"][0]["full_name"] = None                                 # not null
-    bad["doctor"][0]["license_expiry_date"] = dt.date(2020, 1, 1)         # validity
-    bad["department"].append(dict(bad["department"][3]))                  # primary key
+    bad["doctor"][0]["license_expiry_date"] = dt.date(2000, 1, 1)         # validity
+    bad["department"].append(dict(bad["department"][2]))                  # primary key
     h = hospital_from_rows(spark, bad, AS_OF)
-    got = {r["rule_id"]: r["violations"] for r in rules.rule_counts(h, AS_OF).collect()}
-    fired = {k: v for k, v in got.items() if v}
-    assert fired == {"unique.staff.email": 2, "domain.staff.staff_type": 1, "range.bed.bed_length": 1,
-                     "foreign_key.admission.doctor_id": 1, "cross_column.admission.discharge_date": 1,
-                     "cardinality.doctor.specialties": 1, "length.payment.card_last_four": 1,
-                     "not_null.patient.full_name": 1, "validity.doctor.license": 1, "primary_key.department": 2}
-    found = {(r["rule_id"], r["record_key"]) for r in rules.rule_violations(h, AS_OF).collect()}
-    assert len(found) == 11 and {k for _, k in found if _ == "primary_key.department"} == {"Surgery"}
-    assert ("not_null.patient.full_name", "1") in found and ("foreign_key.admission.doctor_id", "3") in found
+    want = {("unique.staff.email", "1"), ("unique.staff.email", "2"), ("domain.staff.staff_type", "7"),
+            ("range.bed.bed_length", "1"), ("foreign_key.admission.doctor_id", "6"),
+            ("cross_column.admission.discharge_date", "1"), ("cardinality.doctor.specialties", "3"),
+            ("length.payment.card_last_four", "1"), ("not_null.patient.full_name", "1"), ("validity.doctor.license", "1"),
+            ("primary_key.department", "Sleep")}
+    found = rows(rules.rule_violations(h, AS_OF), "rule_id", "record_key")
+    assert set(found) == want and len(found) == 12  # both rows of the repeated department
+    fired = {r["rule_id"]: r["violations"] for r in rules.rule_counts(h, AS_OF).collect() if r["violations"]}
+    assert fired == {k: sum(1 for r, _ in found if r == k) for k, _ in want}
+
+
+def test_sample_breaks_no_rule(sample):
+    assert rules.rule_violations(sample, AS_OF).count() == 0
+    assert rules.rule_counts(sample, AS_OF).count() == 169
