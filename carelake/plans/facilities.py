@@ -19,7 +19,8 @@ def department_hierarchy(h: Hospital, max_depth: int = 1) -> DataFrame:
     key is the hours those keep.
     """
     hours = F.col("operating_hours")
-    out = expand_levels(h.department, "dept_name", hours, F.lit("24 Hours"), hours == "24 Hours", max_depth)
+    reports_to = F.when(F.col("dept_name").isNotNull(), F.lit("24 Hours"))
+    out = expand_levels(h.department, "dept_name", hours, reports_to, hours == "24 Hours", max_depth)
     return out.select("dept_name", F.col("root_dept_name").alias("root_dept"),
                       F.col("level").cast("int").alias("level"), "path")
 

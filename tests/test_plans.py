@@ -14,7 +14,7 @@ from audit_plans import audit  # noqa: E402
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n))  # those have tests of their own
 
 
 @pytest.mark.parametrize("name", NAMES)
