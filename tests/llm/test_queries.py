@@ -22,6 +22,8 @@ def test_query(spark, sf, name):
     got = queries.queries()[name](spark, sf)
     want = next((c for p, c in COLUMNS.items() if name.startswith(p)), [])
     assert set(want) <= set(got.columns)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     a = got.toPandas()
     source = {"op2_": "pages", "op6_": "pages"}.get(name[:4], "documents")
     if not name.startswith("op10_"):
@@ -36,3 +38,11 @@ def test_query(spark, sf, name):
         key = [c for c in cols if c.endswith("_id")] + cols
         a, b = (x[cols].sort_values(list(dict.fromkeys(key))).reset_index(drop=True) for x in (a, b))
         pd.testing.assert_frame_equal(a, b, check_dtype=False)
+
+
+def test_entry_registers_everything():
+    import __spark_entry__ as entry
+
+    names = set(entry.queries())
+    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+    assert "pipeline" in names
