@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: rows of a batch that are Python objects at one time
+SLICE = 1000
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below ``spark.checkpoint.dir``; Spark's writers create it.
 
@@ -60,21 +64,23 @@ def map_text(df: DataFrame, text_col: str, result: T.StructType,
     input can clash with them; ``restore`` gives the carried ones their names back.
     Spark bounds a batch by bytes (spark.sql.execution.arrow.maxBytesPerBatch).
     """
-    src = df.select(col(text_col).cast("string").alias("t"),
-                    *[col(c).alias(f"c{i}") for i, c in enumerate(carry)])
-    schema = T.StructType([T.StructField(f"c{i}", src.schema[f"c{i}"].dataType) for i in range(len(carry))]
+    n = len(carry)
+    at = carry.index(text_col) if text_col in carry and df.schema[text_col].dataType == T.StringType() else n
+    src = df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(carry)],
+                    *([col(text_col).cast("string").alias("t")] if at == n else []))
+    schema = T.StructType([T.StructField(f"c{i}", src.schema[f"c{i}"].dataType) for i in range(n)]
                           + [T.StructField(f"r_{f.name}", f.dataType) for f in result])
     types = [arrow_type(f.dataType) for f in result]
     names = [f.name for f in schema]
-    n = len(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = start()
         for b in batches:
-            out = f(b.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(i + 1) for i in range(n)] + [pa.array(v, t) for v, t in zip(out, types, strict=True)],
-                names=names)
+            for part in (b.slice(i, SLICE) for i in range(0, max(1, b.num_rows), SLICE)):
+                out = f(part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(i) for i in range(n)] + [pa.array(v, t) for v, t in zip(out, types, strict=True)],
+                    names=names)
 
     return src.mapInArrow(run, schema)
 

@@ -116,8 +116,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     r_contaminated (n_hit > 0 and share * n_hit >= n_words)."""
     carry = list(carry or [doc_id])
     spark = docs.sparkSession
+    shards = benchmark_shards(benchmark, item_id, item_text, max_shard_bytes)
+    kept = carry if len(shards) == 1 or text in carry else [*carry, text]  # later shards read the text again
     out = None
-    for shard in benchmark_shards(benchmark, item_id, item_text, max_shard_bytes):
+    for shard in shards:
         sent = spark.sparkContext.broadcast(shard)
 
         def start(sent=sent):
@@ -138,15 +140,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
             return scan
 
         if out is None:
-            out = map_text(docs, text, RESULT, start, [*carry, text])
+            out = map_text(docs, text, RESULT, start, kept)
         else:
-            done = [c for c in out.columns]
-            again = map_text(out, f"c{len(carry)}", RESULT, start, done)
+            done = out.columns
+            again = map_text(out, f"c{kept.index(text)}", RESULT, start, done)
             k = {c: F.col(f"c{i}") for i, c in enumerate(done)}
-            out = again.select(*[k[c].alias(c) for c in done[:len(carry) + 1]], F.col("r_n_words"),
+            out = again.select(*[k[c].alias(c) for c in done[:len(kept)]], F.col("r_n_words"),
                                F.concat(k["r_spans"], "r_spans").alias("r_spans"),
                                F.array_sort(F.array_distinct(F.concat(k["r_items"], "r_items"))).alias("r_items"))
-    out = out.drop(f"c{len(carry)}")
+    out = out.select(*[c for c in out.columns if c != f"c{len(carry)}"])
     # shards find spans apart; a word hit twice counts once
     covered = F.aggregate(
         F.array_sort("r_spans"), F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")),

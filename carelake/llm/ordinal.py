@@ -45,7 +45,7 @@ def bucket(name: str) -> int:
 class Features:
     """Hashed features of texts; what frequent words give is kept."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         self.known: dict[str, tuple[int, ...]] = {}
         self.most = most
 
