@@ -11,8 +11,9 @@ word pairs of one of its templates; an unconfirmed one is reported as ``unknown`
 
 Scoring reads every paragraph.  The weights tell which terms a paragraph must have one of
 to be classified as a licence at all (``LicenseModel.cue``); a pattern finds these
-paragraphs, and only they are cut into terms and joined with the weights (broadcast:
-``VOCABULARY`` rows at most).  The fit uses ``BACKGROUND`` paragraphs of the corpus at most.
+paragraphs, and only they are cut into terms and looked up in the weights (a literal of
+``VOCABULARY`` terms at most).  Paragraphs are scored in their own rows, without a shuffle;
+only what is found is grouped by document.  The fit uses ``BACKGROUND`` paragraphs of the corpus at most.
 
 Cases: null and empty documents have no licences; a line of any length is one paragraph;
 repeated rows are reported apiece; an empty table gives no rows (and no background is
@@ -25,6 +26,8 @@ import json
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -138,12 +141,13 @@ def similarity_to(words: Column, templates: Column, family: Column | None = None
 
 
 def template_literal() -> Column:
-    rows = []
+    out = []
     for family, notices in NOTICES.items():
         for n in notices:
             w = re.findall(r"[^\W_]+", n.lower())
-            rows.append({"family": family, "pairs": sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})})
-    return F.from_json(F.lit(json.dumps(rows)), "array<struct<family:string,pairs:array<string>>>")
+            pairs = sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})
+            out.append(F.struct(F.lit(family).alias("family"), F.array(*map(F.lit, pairs)).alias("pairs")))
+    return F.array(*out)
 
 
 def examples(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -152,9 +156,10 @@ def examples(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     lines = paragraphs(docs, doc_id, text).where("line is not null and length(trim(line)) > 0").select("line")
     lines = lines.where(F.length("line") < 2000).orderBy(F.xxhash64("line"), "line").limit(BACKGROUND)
     bare = lines.select(words_of(F.col("line")).alias("words"))
-    background = bare.where((F.size("words") > 0) & (similarity_to(F.col("words"), template_literal()) < 0.5)
+    background = staged(bare.where((F.size("words") > 0) & (similarity_to(F.col("words"), template_literal()) < 0.5)
                             & ~F.array_contains("words", "license") & ~F.array_contains("words", "licence")).select(
-        F.lit(CLASSES.index("none")).alias("label"), "words", F.pmod(F.xxhash64("words"), F.lit(4)).alias("fold"))
+        F.lit(CLASSES.index("none")).alias("label"), "words", F.pmod(F.xxhash64("words"), F.lit(4)).alias("fold")),
+        "licence-background")
     notices = rows_of(spark, [{"label": CLASSES.index(f), "notice": n} for f, ns in NOTICES.items() for n in ns],
                       "label:int,notice:string")
     forms = notices.select("label", words_of(F.col("notice")).alias("all"), F.explode(
@@ -234,36 +239,40 @@ def scan(docs: DataFrame, model: LicenseModel, least: float = 0.6, similarity: f
          text: str = "text") -> DataFrame:
     """One row per licence paragraph, and one with a null paragraph per document row:
     rid (of the row), doc_id, n_paragraphs, paragraph, license, probability, similarity, confirmed."""
-    spark, none = docs.sparkSession, len(CLASSES) - 1
+    none = len(CLASSES) - 1
     lines = paragraphs(docs, doc_id, text)
     cue = model.cue()
     hit = F.lower("line").rlike(cue) if cue else F.lit(False)
     lines = lines.where(F.col("line").isNull() | hit)
     words = lines.select("rid", "doc_id", "n_paragraphs", F.when(F.col("line").isNotNull(), F.col("paragraph")).alias(
         "paragraph"), words_of(F.coalesce("line", F.lit(""))).alias("words"))
-    weights = rows_of(spark, [{"term": t, "w": w} for t, w in zip(model.terms, model.weights, strict=True)],
-                      "term:string,w:array<double>")
-    each = words.select("*", F.explode_outer(terms_of(F.col("words"))).alias("term"))
-    scored = each.join(F.broadcast(weights), "term", "left").groupBy(
-        "rid", "doc_id", "n_paragraphs", "paragraph").agg(
-        F.first("words").alias("words"),
-        *[F.coalesce(F.sum(F.col("w")[k]), F.lit(0.0)).alias(f"s{k}") for k in range(len(CLASSES))])
-    logits = F.array(*[F.col(f"s{k}") + model.intercepts[k] for k in range(len(CLASSES))])
-    odds = scored.select("rid", "doc_id", "n_paragraphs", "paragraph", "words", F.transform(
-        logits, lambda x: F.exp(x - F.array_max(logits))).alias("odds"))
-    shares = odds.withColumn("p", F.transform("odds", lambda x: x / F.aggregate("odds", F.lit(0.0), lambda a, y: a + y)))
-    known = F.slice("p", 1, len(FAMILIES))
-    top = F.array_max(known)
-    family = F.element_at(F.array(*map(F.lit, FAMILIES)), F.array_position(known, top).cast("int"))
-    is_licence = F.col("paragraph").isNotNull() & (F.col("p")[none] < 0.5)
-    alike = similarity_to(F.col("words"), template_literal(), F.col("family"))
-    judged = shares.withColumn("family", family).withColumn("top", top).withColumn("alike", alike)
-    sure = F.col("top") >= least
-    confirmed = sure & (F.col("alike") >= similarity)
+    # The terms that have weights are few, and so are those of a paragraph among them.  The
+    # scores are written once: as expressions they would be repeated wherever they are used.
+    matched = words.withColumn("matched", F.array_intersect(
+        terms_of(F.col("words")), F.array(*map(F.lit, model.terms)).cast("array<string>")))
+
+    def score(k: int) -> Column:
+        weights = F.create_map(*[F.lit(x) for t, w in zip(model.terms, model.weights, strict=True) for x in (t, w[k])])
+        return F.aggregate("matched", F.lit(model.intercepts[k]), lambda a, t: a + F.element_at(weights, t))
+
+    n = range(len(CLASSES))
+    scored = staged(matched.select(*words.columns, *[score(k).alias(f"s{k}") for k in n]), "licence-scores")
+    scored = scored.withColumn("most", F.greatest(*[F.col(f"s{k}") for k in n]))
+    odds = scored.select(*words.columns, *[F.exp(F.col(f"s{k}") - F.col("most")).alias(f"o{k}") for k in n])
+    odds = odds.withColumn("total", reduce(add, [F.col(f"o{k}") for k in n]))
+    shares = odds.select(*words.columns, *[(F.col(f"o{k}") / F.col("total")).alias(f"p{k}") for k in n])
+    families = range(len(FAMILIES))
+    judged = shares.withColumn("top", F.greatest(*[F.col(f"p{k}") for k in families]))
+    judged = judged.withColumn("family", F.coalesce(*[F.when(F.col(f"p{k}") == F.col("top"), F.lit(FAMILIES[k]))
+                                                      for k in families]))
+    is_licence = F.col("paragraph").isNotNull() & (F.col(f"p{none}") < 0.5)
+    judged = judged.where(F.col("paragraph").isNull() | is_licence).withColumn("alike", F.when(
+        is_licence, similarity_to(F.col("words"), template_literal(), F.col("family"))))
+    confirmed = (F.col("top") >= least) & (F.col("alike") >= similarity)
     found = judged.select(
         "rid", "doc_id", "n_paragraphs", "paragraph",
         F.when(is_licence, F.when(confirmed, F.col("family")).otherwise("unknown")).alias("license"),
-        F.when(confirmed, F.col("top")).otherwise(1 - F.col("p")[none]).alias("probability"),
+        F.when(confirmed, F.col("top")).otherwise(1 - F.col(f"p{none}")).alias("probability"),
         F.col("alike").alias("similarity"), confirmed.alias("confirmed"))
     return found.where("paragraph is null or license is not null")
 
