@@ -277,9 +277,11 @@ def per_document(pieces: DataFrame, *columns: str) -> DataFrame:
 def repeats(docs: DataFrame, window: int) -> DataFrame:
     """(okey, th, pieces: array of {at, mask}): the repeated windows of each document."""
     anchors = anchored(docs, window)
-    often = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # written tables under the joins: a side that is reduced in the join's own stage keeps Spark
+    # from splitting the rows of a frequent anchor over tasks
+    often = staged(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
     shared = staged(anchors.join(often, "h", "left_semi"), "repeated-anchors")
-    earliest = shared.groupBy("h", "ph").agg(F.min(F.struct("okey", "at")).alias("own"))
+    earliest = staged(shared.groupBy("h", "ph").agg(F.min(F.struct("okey", "at")).alias("own")), "earliest")
     several = earliest.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     variants = earliest.join(several, "h").select("h", "own.*", (F.col("n") > MOST_PIECES).alias("many"))
     later = shared.join(earliest, ["h", "ph"]).where(
