@@ -7,7 +7,8 @@ without a family of their own (class ``unknown``), and on paragraphs of the corp
 resemble no notice (class ``none``).  A temperature found on held-out examples calibrates
 the probabilities; a licence paragraph whose best family stays below ``least`` is
 ``unknown``.  A family is confirmed when the paragraph holds ``similarity`` or more of the
-word pairs of one of its templates; an unconfirmed one is reported as ``unknown``.
+word pairs of one of its templates, all those among them that tell the family from its
+siblings (``MARKS``: version, lesser, sa, nd ...); an unconfirmed one is reported as ``unknown``.
 
 Scoring reads every paragraph.  The weights tell which terms a paragraph must have one of
 to be classified as a licence at all (``LicenseModel.cue``); a pattern finds these
@@ -97,8 +98,25 @@ NOTICES = {
         "Licensed under the Artistic License.",
         "Released under the Unlicense.",
         "This work is dedicated to the public domain.",
+        "Licensed under the GNU General Public License, version 2.",
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "Licensed under CC BY-SA 4.0.",
+        "Licensed under CC BY-ND 4.0.",
+        "Licensed under CC BY-NC-SA 4.0.",
+        "Licensed under CC BY-NC-ND 4.0.",
     ],
 }
+#: word pairs that name the family itself; a template that has them confirms only with all of its own
+MARKS = {
+    "MIT": {"mit license", "deal in"},
+    "Apache-2.0": {"apache license", "version 2", "license 2"},
+    "GPL-3.0": {"gnu general", "general public", "version 3", "license v3"},
+    "BSD-3-Clause": {"bsd 3", "3 clause", "bsd license", "binary forms"},
+    "CC-BY-NC-4.0": {"cc by", "by nc", "nc 4", "attribution noncommercial", "noncommercial 4"},
+    "CC-BY-4.0": {"cc by", "by 4", "commons attribution", "attribution 4"},
+    "proprietary": {"all rights", "rights reserved"},
+}
 FAMILIES = [f for f in NOTICES if f != "unknown"]
 CLASSES = [*FAMILIES, "unknown", "none"]
 
@@ -132,22 +150,32 @@ def paragraphs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.concat("lines", F.array(F.lit(None).cast("string")))).alias("paragraph", "line"))
 
 
-def similarity_to(words: Column, templates: Column, family: Column | None = None) -> Column:
-    """The largest share of a template's word pairs that ``words`` hold."""
+def similarity_to(words: Column, templates: Column, family: Column | None = None, marked: bool = False) -> Column:
+    """The largest share of a template's word pairs that ``words`` hold (``marked``: of templates
+    whose marks they all hold)."""
     pairs = pairs_of(words)
     chosen = templates if family is None else F.filter(templates, lambda t: t["family"] == family)
+    if marked:
+        chosen = F.filter(chosen, lambda t: F.size(F.array_intersect(t["marks"], pairs)) == F.size(t["marks"]))
     return F.aggregate(F.transform(chosen, lambda t: F.size(F.array_intersect(pairs, t["pairs"])) / F.size(t["pairs"])),
                        F.lit(0.0), lambda a, x: F.greatest(a, x))
 
 
-def template_literal() -> Column:
+def templates() -> list[tuple[str, list[str], list[str]]]:
+    """family, word pairs and marks of each notice."""
     out = []
     for family, notices in NOTICES.items():
         for n in notices:
             w = re.findall(r"[^\W_]+", n.lower())
             pairs = sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})
-            out.append(F.struct(F.lit(family).alias("family"), F.array(*map(F.lit, pairs)).alias("pairs")))
-    return F.array(*out)
+            out.append((family, pairs, [p for p in pairs if p in MARKS.get(family, ())]))
+    return out
+
+
+def template_literal() -> Column:
+    return F.array(*[F.struct(F.lit(family).alias("family"), F.array(*map(F.lit, pairs)).alias("pairs"),
+                              F.array(*map(F.lit, marks)).cast("array<string>").alias("marks"))
+                     for family, pairs, marks in templates()])
 
 
 def examples(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -266,9 +294,10 @@ def scan(docs: DataFrame, model: LicenseModel, least: float = 0.6, similarity: f
     judged = judged.withColumn("family", F.coalesce(*[F.when(F.col(f"p{k}") == F.col("top"), F.lit(FAMILIES[k]))
                                                       for k in families]))
     is_licence = F.col("paragraph").isNotNull() & (F.col(f"p{none}") < 0.5)
-    judged = judged.where(F.col("paragraph").isNull() | is_licence).withColumn("alike", F.when(
-        is_licence, similarity_to(F.col("words"), template_literal(), F.col("family"))))
-    confirmed = (F.col("top") >= least) & (F.col("alike") >= similarity)
+    judged = judged.where(F.col("paragraph").isNull() | is_licence).withColumns({name: F.when(
+        is_licence, similarity_to(F.col("words"), template_literal(), F.col("family"), marked))
+        for name, marked in (("alike", False), ("marked", True))})
+    confirmed = (F.col("top") >= least) & (F.col("marked") >= similarity)
     found = judged.select(
         "rid", "doc_id", "n_paragraphs", "paragraph",
         F.when(is_licence, F.when(confirmed, F.col("family")).otherwise("unknown")).alias("license"),
@@ -303,8 +332,7 @@ def brute_force(model: LicenseModel, line: str, least: float = 0.6, similarity:
         return None
     k = max(range(len(FAMILIES)), key=lambda i: p[i])
     alike = 0.0
-    for n in NOTICES[FAMILIES[k]]:
-        v = re.findall(r"[^\W_]+", n.lower())
-        pairs = {f"{a} {b}" for a, b in zip(v, v[1:], strict=False)}
-        alike = max(alike, len(pairs & terms) / len(pairs))
+    for family, pairs, marks in templates():
+        if family == FAMILIES[k] and terms.issuperset(marks):
+            alike = max(alike, len(terms.intersection(pairs)) / len(pairs))
     return FAMILIES[k] if p[k] >= least and alike >= similarity else "unknown"

@@ -46,3 +46,23 @@ def test_fit_without_background(no_docs):
 def test_no_python_in_the_plan(odd_docs, model):
     plan = licenses.per_document(licenses.scan(odd_docs, model))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_sibling_licences_are_not_confirmed(spark, model):
+    """One differing word pair is enough, however like the rest of the template is."""
+    lines = ["Under the GNU General Public License, version 2", "Under the GNU Lesser General Public License, version 3",
+             "Under the GNU Affero General Public License, version 3", "Licensed under CC BY-SA 4.0.",
+             "Licensed under CC BY-NC-ND 4.0.", "Licensed under CC BY-NC-SA 4.0.",
+             "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+             "This work is licensed under a Creative Commons Attribution 3.0 International License."]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.per_document(licenses.scan(docs, model)).collect()}
+    assert got == dict.fromkeys(range(len(lines)), "unknown")
+    assert [licenses.brute_force(model, x) for x in lines] == ["unknown"] * len(lines)
+
+
+def test_every_notice_of_a_family_is_confirmed(model):
+    for family in licenses.FAMILIES:
+        for notice in licenses.NOTICES[family]:
+            assert licenses.brute_force(model, notice) == family, notice
+    assert all(marks for family, _, marks in licenses.templates() if family != "unknown")
