@@ -1,6 +1,11 @@
 """Licence scans by a trained paragraph classifier, in DataFrame functions only.
 
-A paragraph is a line of a document; its features are the distinct words and word pairs.
+A paragraph is a line of a document, or a notice wrapped over up to ``WRAPPED`` lines without a
+blank one (no letter or digit, such as a bare comment mark) between them: the shortest runs of
+lines that together, but not without the first or the last, hold ``similarity`` or more of the
+pairs of a template and its marks are joined and are one paragraph, numbered by its first line.
+Its lines are none then, but those that are a notice by themselves.
+Features of a paragraph are its distinct words and word pairs.
 A sparse multinomial logistic regression (L1 penalty) is trained on licence notices in
 many worn forms (words dropped, cut off, set among other text), on notices of licences
 without a family of their own (class ``unknown``), and on paragraphs of the corpus that
@@ -41,6 +46,8 @@ from carelake.llm.common import col, staged
 VOCABULARY = 4096
 BACKGROUND = 3000
 WORN = 24  # worn forms of each notice
+WRAPPED = 12  # lines; the longest template takes eight at 30 characters a line
+FILLED = r"[\p{L}\p{N}]"
 
 #: fixed values: wording of common licence notices, by family
 NOTICES = {
@@ -141,13 +148,88 @@ def rows_of(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
-def paragraphs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """rid, doc_id, n_paragraphs, paragraph, line; the last line of each row is a null that stands for it."""
-    lines = F.split(F.coalesce(col(text).cast("string"), F.lit("")), "\n")
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), col(doc_id).alias("doc_id"), lines.alias("lines"))
-    filled = F.size(F.filter("lines", lambda x: x.rlike(r"\S"))).cast("long")
-    return src.select("rid", "doc_id", filled.alias("n_paragraphs"), F.posexplode(
-        F.concat("lines", F.array(F.lit(None).cast("string")))).alias("paragraph", "line"))
+def paragraphs(docs: DataFrame, doc_id: str, text: str, similarity: float | None = None) -> DataFrame:
+    """rid, doc_id, n_paragraphs (lines that are filled), paragraph, line; the last line of each row is a null
+    that stands for it.  With ``similarity``, wrapped notices are joined."""
+    t = F.coalesce(col(text).cast("string"), F.lit(""))
+    src = docs.select(F.monotonically_increasing_id().alias("rid"), col(doc_id).alias("doc_id"),
+                      F.split(t, "\n").alias("lines"), t.alias("t"))
+    filled = F.size(F.filter("lines", lambda x: x.rlike(r"\S"))).cast("long").alias("n_paragraphs")
+    if similarity is None:
+        return src.select("rid", "doc_id", filled, F.posexplode(
+            F.concat("lines", F.array(F.lit(None).cast("string")))).alias("paragraph", "line"))
+    # few documents hold the marks of a notice at all; the others' lines are taken as they are
+    keep = ["rid", "doc_id", "n_paragraphs", "lines"]
+    src = src.select("rid", "doc_id", filled, "lines", (
+        (F.size("lines") > 1) & F.lower("t").rlike(marks_pattern())).alias("marked"))
+    # lines that are a notice by themselves stay so, and leave no words to a run
+    src = src.select(*keep, F.when(F.col("marked"), F.transform("lines", lambda x: F.when(
+        F.size(families_of(x, similarity)) > 0, "x").otherwise(x))).alias("open"))
+    keep.append("open")
+    src = src.select(*keep, F.when(F.col("open").isNotNull() & F.lower(F.array_join("open", "\n")).rlike(marks_pattern()),
+                                   notices_at(F.col("open"), similarity)).alias("at"))
+    src = src.select(*keep, F.when(F.col("at").isNotNull(), shortest(F.col("at"))).alias("runs"))
+    inside = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.filter(
+        F.sequence(r["start"], r["end"] - 1), lambda i: F.get("lines", i) == F.get("open", i)))))
+    src = src.select(*keep, "runs", F.when(F.size("runs") > 0, inside).alias("inside"))
+    rest = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("inside"))
+    joined = F.concat(
+        F.transform(rest, lambda i: F.struct(i.alias("paragraph"), F.get("lines", i).alias("line"))),
+        F.transform("runs", lambda r: F.struct(r["start"].alias("paragraph"), F.array_join(
+            F.slice("open", r["start"] + 1, r["end"] - r["start"]), " ").alias("line"))))
+    alone = F.transform("lines", lambda x, i: F.struct(i.alias("paragraph"), x.alias("line")))
+    row = F.array(F.struct(F.size("lines").alias("paragraph"), F.lit(None).cast("string").alias("line")))
+    return src.select("rid", "doc_id", "n_paragraphs", F.inline(
+        F.concat(F.when(F.col("inside").isNotNull(), joined).otherwise(alone), row)))
+
+
+def marks_pattern() -> str:
+    """Of a template's marks, the longest; a text without any of them holds no notice."""
+    longest = sorted({max(marks, key=len) for _, _, marks in templates()})
+    return "|".join(rf"(?<!{FILLED})" + p.replace(" ", r"[^\p{L}\p{N}]+") + rf"(?!{FILLED})" for p in longest)
+
+
+def families_of(text: Column, similarity: float) -> Column:
+    """The families of which ``text`` holds a template."""
+    def held(pairs: Column) -> Column:
+        marked = F.filter(template_literal(), lambda t: F.forall(t["marks"], lambda m: F.array_contains(pairs, m)))
+        alike = F.filter(marked, lambda t: F.size(F.array_intersect(pairs, t["pairs"])) >= similarity * F.size(t["pairs"]))
+        return F.array_distinct(F.transform(alike, lambda t: t["family"]))
+
+    # transforms of one element, so that words and pairs are made once
+    families = F.get(F.transform(F.array(words_of(text)), lambda w: F.get(F.transform(F.array(pairs_of(w)), held), 0)), 0)
+    return F.when(F.lower(text).rlike(marks_pattern()), families).otherwise(F.array().cast("array<string>"))
+
+
+def notices_at(lines: Column, similarity: float) -> Column:
+    """For each line, the runs of lines (start, end, family) from there that hold a template."""
+    def runs(i: Column) -> Column:
+        ahead = F.slice(lines, i + 1, WRAPPED)
+        return F.when((F.size(ahead) > 1) & F.lower(F.array_join(ahead, " ")).rlike(marks_pattern()), F.flatten(
+            F.transform(F.sequence(F.lit(2), F.size(ahead)), lambda n: run(i, n)))).otherwise(none)
+
+    def run(i: Column, n: Column) -> Column:
+        part = F.slice(lines, i + 1, n)
+        return F.when(F.forall(part, lambda x: x.rlike(FILLED)), F.transform(
+            families_of(F.array_join(part, " "), similarity), lambda f: F.struct(
+                i.alias("start"), (i + n).alias("end"), f.alias("family")))).otherwise(none)
+
+    none = F.array().cast("array<struct<start:int,end:int,family:string>>")
+    return F.transform(F.sequence(F.lit(0), F.size(lines) - 1), runs)
+
+
+def shortest(at: Column) -> Column:
+    """The runs of several lines that hold no other of their family, without those that overlap an earlier one."""
+    def least(c: Column) -> Column:
+        near = F.flatten(F.slice(at, c["start"] + 1, c["end"] - c["start"]))
+        return ~F.exists(near, lambda d: (d["family"] == c["family"]) & (
+            d["end"] <= c["end"]) & ((d["start"] > c["start"]) | (d["end"] < c["end"])))
+
+    few = F.lit(len(NOTICES) * WRAPPED)
+    return F.aggregate(
+        F.filter(F.flatten(at), least), F.array().cast("array<struct<start:int,end:int,family:string>>"),
+        lambda a, c: F.when(F.exists(F.slice(a, F.greatest(F.size(a) - few, F.lit(0)) + 1, few), lambda d: (
+            d["family"] == c["family"]) & (d["end"] > c["start"])), a).otherwise(F.concat(a, F.array(c))))
 
 
 def similarity_to(words: Column, templates: Column, family: Column | None = None, marked: bool = False) -> Column:
@@ -168,7 +250,8 @@ def templates() -> list[tuple[str, list[str], list[str]]]:
         for n in notices:
             w = re.findall(r"[^\W_]+", n.lower())
             pairs = sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})
-            out.append((family, pairs, [p for p in pairs if p in MARKS.get(family, ())]))
+            named = MARKS.get(family) or {p for p in pairs if re.search(r" (un)?licen[cs]e$|^(public|cc|gnu) ", p)}
+            out.append((family, pairs, [p for p in pairs if p in named]))
     return out
 
 
@@ -268,7 +351,7 @@ def scan(docs: DataFrame, model: LicenseModel, least: float = 0.6, similarity: f
     """One row per licence paragraph, and one with a null paragraph per document row:
     rid (of the row), doc_id, n_paragraphs, paragraph, license, probability, similarity, confirmed."""
     none = len(CLASSES) - 1
-    lines = paragraphs(docs, doc_id, text)
+    lines = paragraphs(docs, doc_id, text, similarity)
     cue = model.cue()
     hit = F.lower("line").rlike(cue) if cue else F.lit(False)
     lines = lines.where(F.col("line").isNull() | hit)

@@ -66,3 +66,31 @@ def test_every_notice_of_a_family_is_confirmed(model):
         for notice in licenses.NOTICES[family]:
             assert licenses.brute_force(model, notice) == family, notice
     assert all(marks for family, _, marks in licenses.templates() if family != "unknown")
+
+
+MIT_HEADER = """\
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+ * copies of the Software, and to permit persons to whom the Software is
+ * furnished to do so, subject to the following conditions:"""
+GPL_HEADER = """\
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+
+
+def test_wrapped_notices(spark, model):
+    texts = [f"/*\n{MIT_HEADER}\n */\nint main();", f"{GPL_HEADER}\n#\nimport os", f"some words\n{GPL_HEADER}\nother words",
+             f"{GPL_HEADER.replace('General', 'Lesser General')}", f"All rights reserved.\n{GPL_HEADER}",
+             f"{GPL_HEADER}\n\n{GPL_HEADER}", "Licensed under the Apache\nLicense, Version 2.0.",
+             "Licensed under the Apache\n\nLicense, Version 2.0.", "Released under the\nMIT License.\n" * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = licenses.scan(docs, model)
+    got = {r.doc_id: (r.n_licenses, r.licenses) for r in licenses.per_document(found).collect()}
+    assert got[0] == (1, "MIT") and got[1] == (1, "GPL-3.0") and got[2] == (1, "GPL-3.0")
+    assert "GPL-3.0" not in got[3][1] and got[4] == (2, "GPL-3.0,proprietary") and got[5] == (2, "GPL-3.0")
+    assert got[6] == (1, "Apache-2.0") and "Apache-2.0" not in got[7][1] and got[8] == (40, "MIT")
+    assert [r.paragraph in (1, 2) for r in found.where("doc_id = 2 and confirmed").collect()] == [True]
