@@ -23,9 +23,9 @@ of the link table, written to the shared folder after each round.  No fingerprin
 links or components pass the driver.
 
 Cases: a null or empty text has fingerprint zero and links like any other; fewer words
-than a shingle make one shingle; repeated rows share their fingerprint; a null id keeps
-its row, and only names a component without other ids; an empty table gives no rows;
-other columns are ignored.
+than a shingle make one shingle; repeated rows share their fingerprint; a null id only
+names a component without other ids; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.llm.common import col, map_text, shared_path, staged
+from carelake.llm.common import map_text, restore, shared_path, staged
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 RESULT = T.StructType([T.StructField("fp", T.LongType())])
@@ -202,15 +202,19 @@ def components(edges: DataFrame, name: str = "links") -> DataFrame:
         seen = tuple(state)
 
 
+def with_roots(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """A staged table with fingerprints ``fp``, with the root of each one's component."""
+    roots = components(links(distinct.select("fp"), max_bits))
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        *distinct.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                     max_bits: int = 3) -> DataFrame:
     """doc_id, fp (the fingerprint's bits as a long), component_id (the smallest reachable id)."""
     prints = staged(fingerprints(docs, doc_id, text, shingle).select(
         F.col("c0").alias("doc_id"), F.col("r_fp").alias("fp")), "fingerprints")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp"), max_bits))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = with_roots(staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct"), max_bits)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.join(named, "root").select("fp", "component_id")
     return prints.join(by_fp, "fp").select("doc_id", "fp", "component_id")
@@ -220,14 +224,23 @@ def hex_fingerprint(c) -> F.Column:
     return F.lower(F.lpad(F.hex(c), 16, "0"))
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """One document of each component, that with the smallest id, with all its columns.
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
+               max_bits: int = 3) -> DataFrame:
+    """One row of each component, that with the smallest id (then text hash), with all its columns.
 
-    Rows that repeat an id are kept together; rows with a null id are kept.
+    Rows without an id are reduced among themselves: one of each component stays, also beside
+    a row that has an id.
     """
-    keep = near_duplicates(docs, doc_id, **options).where("doc_id = component_id").select(
-        F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(keep, col(doc_id) == F.col("__kept"), "left_semi").unionByName(docs.where(col(doc_id).isNull()))
+    names = docs.columns
+    # row numbers are written with the rows, so that they are the same wherever they are used
+    rows = staged(fingerprints(docs, doc_id, text, shingle, names).withColumn(
+        "row", F.monotonically_increasing_id()), "fingerprinted")
+    own = F.struct(F.col(f"c{names.index(doc_id)}").alias("id"), F.xxhash64(f"c{names.index(text)}").alias("th"), "row")
+    first = rows.groupBy(F.col("r_fp").alias("fp"), F.col(f"c{names.index(doc_id)}").isNull().alias("no_id")).agg(
+        F.min(own).alias("own"))
+    rooted = with_roots(staged(first, "first-rows"), max_bits)
+    kept = rooted.groupBy("root", "no_id").agg(F.min("own").alias("own")).select(F.col("own.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*restore(rows, names))
 
 
 def brute_force(ids: Sequence[int], prints: Sequence[int], max_bits: int = 3) -> list[int]:
