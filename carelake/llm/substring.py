@@ -24,7 +24,7 @@ corpus.  So shards are made by content, and a piece meets one shard only:
    different neighbours) is no shard of bounded size; its pieces are split into windows,
    which are reduced to their earliest by a 64-bit hash each.
 
-Hashes have 64 bits; pieces are equal if hash and anchor are.  Texts are shuffled by
+Documents are told apart by id, text hash and length.  Hashes have 64 bits; pieces are equal if hash and anchor are.  Texts are shuffled by
 document once, for both steps that read them.  No step holds more than one document, or
 one anchor's automaton, in memory.
 
@@ -49,6 +49,7 @@ from carelake.llm.common import col, restore, staged
 GRAM = 8
 MOST_PIECES = 256
 LAST_ID = (1 << 63) - 1
+DOCUMENT = ["okey", "th", "size"]
 LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -170,44 +171,41 @@ class SuffixAutomaton:
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str, carry: Sequence[str]) -> DataFrame:
-    """c0, c1, ... (carried), t, okey (the id, nulls last) and th (32 bits of the text's hash)."""
+    """c0, c1, ... (carried), t, and the document: okey (the id, nulls last), th (the text's hash) and
+    size (its characters)."""
     t = F.coalesce(col(text).cast("string"), F.lit(""))
     return docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(carry)], t.alias("t"),
                        F.coalesce(col(doc_id).cast("long"), F.lit(LAST_ID)).alias("okey"),
-                       F.xxhash64(t).bitwiseAND(F.lit(0x7FFFFFFF)).alias("th"))
+                       F.xxhash64(t).alias("th"), F.length(t).cast("long").alias("size"))
 
 
-def at_of(th, first, many=0):
-    """th, first window and number of windows in one long; sorts by th, then by window."""
-    return (th << 32) | (first << 4) | many
+def at_of(size, first, many=0):
+    """size, first window and number of windows in one long; sorts by size, then by window."""
+    return (size << 32) | (first << 4) | many
 
 
-def th_of(at):
+def size_of(at):
     return F.shiftright(at, 32)
 
 
-def first_of(at):
-    return F.shiftright(at, 4).bitwiseAND(F.lit((1 << 28) - 1))
-
-
 def anchored(docs: DataFrame, window: int) -> DataFrame:
-    """(h, ph, okey, at) of every piece of every document."""
+    """(h, ph, okey, th, at) of every piece of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Hasher()
         for b in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for t, okey, th in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            out: list[list[np.ndarray]] = [[], [], [], [], []]
+            for t, okey, th, size in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 found = tool.pieces(t, window)
                 if found:
                     h, ph, first, many = found
                     for x, v in zip(out, (h.view(np.int64), ph.view(np.int64), np.full(len(h), okey, np.int64),
-                                          at_of(th, first, many)), strict=True):
+                                          np.full(len(h), th, np.int64), at_of(size, first, many)), strict=True):
                         x.append(v)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out],
-                                                 names=["h", "ph", "okey", "at"])
+                                                 names=["h", "ph", "okey", "th", "at"])
 
-    return docs.select("t", "okey", "th").mapInArrow(run, "h long, ph long, okey long, at long")
+    return docs.select("t", *DOCUMENT).mapInArrow(run, "h long, ph long, okey long, th long, at long")
 
 
 def words_of(text: str) -> list[bytes]:
@@ -215,15 +213,17 @@ def words_of(text: str) -> list[bytes]:
 
 
 def cut_pieces(docs: DataFrame, needed: DataFrame, window: int, split: bool) -> DataFrame:
-    """The needed pieces (okey, th, pieces: array of {h, at}) with their words, or split into hashed windows."""
-    joined = docs.join(needed, ["okey", "th"]).select("t", "okey", "pieces")
-    schema = "h long, okey long, at long" + ("" if split else ", words string")
+    """The needed pieces (okey, th, size, pieces: array of {h, at}) with their words, or split into hashed windows.
+    Repeated rows of a document are one."""
+    once = docs.select("t", *DOCUMENT).dropDuplicates(DOCUMENT)
+    joined = once.join(needed, DOCUMENT).select("t", "okey", "th", "pieces")
+    schema = "h long, okey long, th long, at long" + ("" if split else ", words string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Hasher()
         for b in batches:
             rows = []
-            for t, okey, pieces in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for t, okey, th, pieces in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 words = [] if split else words_of(t)
                 upto = tool.upto(tool.words(t), tool.WORD) if split else None
                 for p in pieces:
@@ -233,66 +233,67 @@ def cut_pieces(docs: DataFrame, needed: DataFrame, window: int, split: bool) ->
                         s = np.arange(first, first + many)
                         for k, h in zip(s.tolist(), tool.runs(upto, tool.WORD, s, s + window).view(np.int64).tolist(),
                                         strict=True):
-                            rows.append((h, okey, at_of(at >> 32, k, 1)))
+                            rows.append((h, okey, th, at_of(at >> 32, k, 1)))
                     else:
-                        rows.append((p["h"], okey, at, b" ".join(words[first:first + many + window - 1]).decode(
+                        rows.append((p["h"], okey, th, at, b" ".join(words[first:first + many + window - 1]).decode(
                             "utf-8", "surrogatepass")))
             if rows:
-                types = [pa.int64()] * 3 + ([] if split else [pa.string()])
+                types = [pa.int64()] * 4 + ([] if split else [pa.string()])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, a) for v, a in zip(zip(*rows, strict=True), types, strict=True)],
-                    names=["h", "okey", "at", "words"][:len(types)])
+                    names=["h", "okey", "th", "at", "words"][:len(types)])
 
     return joined.mapInArrow(run, schema)
 
 
 def matched(pieces: DataFrame, window: int) -> DataFrame:
-    """(okey, at, mask): the repeats among each anchor's pieces; bit k stands for window first + k."""
+    """(okey, th, at, mask): the repeats among each anchor's pieces; bit k stands for window first + k."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, known = None, SuffixAutomaton()
         for b in batches:
             rows = []
-            for h, okey, at, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for h, okey, th, at, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if h != anchor:
                     anchor, known = h, SuffixAutomaton()
                 words = text.split(" ")
                 reach = known.statistics(words)[window - 1:]
                 mask = sum(1 << k for k, n in enumerate(reach) if n >= window)
                 if mask:
-                    rows.append((okey, at, mask))
+                    rows.append((okey, th, at, mask))
                 known.add(words)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*rows, strict=True)],
-                                                 names=["okey", "at", "mask"])
+                                                 names=["okey", "th", "at", "mask"])
 
-    shard = pieces.repartition("h").sortWithinPartitions("h", "okey", "at")
-    return shard.mapInArrow(run, "okey long, at long, mask long")
+    shard = pieces.repartition("h").sortWithinPartitions("h", "okey", "th", "at")
+    return shard.mapInArrow(run, "okey long, th long, at long, mask long")
 
 
 def per_document(pieces: DataFrame, *columns: str) -> DataFrame:
-    return pieces.select("okey", th_of(F.col("at")).alias("th"), F.struct(*columns).alias("p")).groupBy(
-        "okey", "th").agg(F.collect_list("p").alias("pieces"))
+    # a set: repeated rows of a document have equal pieces
+    return pieces.select("okey", "th", size_of(F.col("at")).alias("size"), F.struct(*columns).alias("p")).groupBy(
+        *DOCUMENT).agg(F.collect_set("p").alias("pieces"))
 
 
 def repeats(docs: DataFrame, window: int) -> DataFrame:
-    """(okey, th, pieces: array of {at, mask}): the repeated windows of each document."""
+    """(okey, th, size, pieces: array of {at, mask}): the repeated windows of each document."""
     anchors = anchored(docs, window)
     # written tables under the joins: a side that is reduced in the join's own stage keeps Spark
     # from splitting the rows of a frequent anchor over tasks
     often = staged(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
     shared = staged(anchors.join(often, "h", "left_semi"), "repeated-anchors")
-    earliest = staged(shared.groupBy("h", "ph").agg(F.min(F.struct("okey", "at")).alias("own")), "earliest")
+    earliest = staged(shared.groupBy("h", "ph").agg(F.min(F.struct("okey", "th", "at")).alias("own")), "earliest")
     several = earliest.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     variants = earliest.join(several, "h").select("h", "own.*", (F.col("n") > MOST_PIECES).alias("many"))
     later = shared.join(earliest, ["h", "ph"]).where(
-        (F.col("okey") != F.col("own.okey")) | (F.col("at") != F.col("own.at"))).select(
-        "okey", "at", F.lit((1 << 15) - 1).cast("long").alias("mask"))
+        F.struct("okey", "th", "at") != F.col("own")).select(
+        "okey", "th", "at", F.lit((1 << 15) - 1).cast("long").alias("mask"))
     by_automaton = matched(cut_pieces(docs, per_document(variants.where("not many"), "h", "at"), window, False), window)
     windows = cut_pieces(docs, per_document(variants.where("many"), "h", "at"), window, True)
-    first = windows.groupBy("h").agg(F.min(F.struct("okey", "at")).alias("own"))
+    first = windows.groupBy("h").agg(F.min(F.struct("okey", "th", "at")).alias("own"))
     by_window = windows.join(first, "h").where(
-        (F.col("okey") != F.col("own.okey")) | (F.col("at") != F.col("own.at"))).select(
-        "okey", "at", F.lit(1).cast("long").alias("mask"))
+        F.struct("okey", "th", "at") != F.col("own")).select(
+        "okey", "th", "at", F.lit(1).cast("long").alias("mask"))
     return per_document(later.unionByName(by_automaton).unionByName(by_window), "at", "mask")
 
 
@@ -302,7 +303,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", te
     r_spans (removed word spans), r_kept (the other words, joined by one space)."""
     carry = list(carry or [doc_id])
     source = keyed(docs, doc_id, text, carry)
-    joined = source.join(repeats(source, window), ["okey", "th"], "left").select(
+    joined = source.join(repeats(source, window), DOCUMENT, "left").select(
         *[f"c{i}" for i in range(len(carry))], "t", "pieces")
     n = len(carry)
     schema = T.StructType([joined.schema[f"c{i}"] for i in range(n)]

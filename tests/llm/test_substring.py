@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import xxhash
 
 from carelake.llm import substring
 
@@ -68,3 +69,32 @@ def test_odd_rows(odd_docs, no_docs):
     assert done.where("doc_id = 9").first().text == "é ü ñ 漢字 text"  # it repeats itself
     assert done.where("doc_id = 6").first().text == odd_docs.where("doc_id = 6").first().text
     assert substring.rewrite(no_docs).count() == 0
+
+
+def kept(spark, rows):
+    got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return sorted(((r.c0, r.r_n_words, r.r_n_removed) for r in got), key=str)
+
+
+@pytest.mark.parametrize("most", [256, 1])
+def test_repeated_rows_do_not_repeat_themselves(spark, monkeypatch, most):
+    monkeypatch.setattr(substring, "MOST_PIECES", most)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(1, "one " + passage + " end")] * 3 + [(2, "another " + passage + " stop")] * 2
+    assert kept(spark, rows) == [(1, 42, 0)] * 3 + [(2, 42, 40)] * 2
+
+
+def test_null_ids_with_like_hashes(spark):
+    """Two texts without an id that agree in the hash's low bits are two documents."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    seen = {}
+    for i in range(1_000_000):
+        t = f"{passage} {i} " + "x " * (i % 2 * 60)
+        other = seen.setdefault(xxhash.xxh64_intdigest(t, 42) & 0x7FFFFFFF, t)
+        if len(other) != len(t) and abs(len(other) - len(t)) > 50:
+            break
+    n = {x: len(x.split()) for x in (t, other)}
+    alone = {x: kept(spark, [(None, x)])[0][2] for x in n}
+    total = sum(r[2] for r in kept(spark, [(1, passage), (None, t), (None, other)]))
+    longest = max(n, key=n.get)
+    assert sorted(n.values()) == [41, 101] and total == 80 + alone[longest]
