@@ -48,6 +48,7 @@ from carelake.llm.common import col, restore, staged
 
 GRAM = 8
 MOST_PIECES = 256
+MOST_WINDOWS = 15  # of a piece
 LAST_ID = (1 << 63) - 1
 DOCUMENT = ["okey", "th", "size"]
 LOW = np.uint64(0xFFFFFFFF)
@@ -112,6 +113,12 @@ class Hasher:
             key = np.minimum(key[:step - w], key[w - step:])
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         many = np.diff(np.append(first, len(key)))
+        # longer pieces (of windows above 22) are cut, so that their number of windows has its bits in at_of
+        cut = (many + MOST_WINDOWS - 1) // MOST_WINDOWS
+        if cut.max() > 1:
+            part = np.arange(cut.sum()) - np.repeat(np.cumsum(cut) - cut, cut)
+            first, many = np.repeat(first, cut) + part * MOST_WINDOWS, np.repeat(many, cut) - part * MOST_WINDOWS
+            many = np.minimum(many, MOST_WINDOWS)
         anchor = (LOW - (key[first] & LOW)).astype(np.int64)
         return grams[anchor], self.runs(upto, self.WORD, first, first + many + window - 1), first, many
 
@@ -287,7 +294,7 @@ def repeats(docs: DataFrame, window: int) -> DataFrame:
     variants = earliest.join(several, "h").select("h", "own.*", (F.col("n") > MOST_PIECES).alias("many"))
     later = shared.join(earliest, ["h", "ph"]).where(
         F.struct("okey", "th", "at") != F.col("own")).select(
-        "okey", "th", "at", F.lit((1 << 15) - 1).cast("long").alias("mask"))
+        "okey", "th", "at", F.lit((1 << MOST_WINDOWS) - 1).cast("long").alias("mask"))
     by_automaton = matched(cut_pieces(docs, per_document(variants.where("not many"), "h", "at"), window, False), window)
     windows = cut_pieces(docs, per_document(variants.where("many"), "h", "at"), window, True)
     first = windows.groupBy("h").agg(F.min(F.struct("okey", "th", "at")).alias("own"))

@@ -98,3 +98,13 @@ def test_null_ids_with_like_hashes(spark):
     total = sum(r[2] for r in kept(spark, [(1, passage), (None, t), (None, other)]))
     longest = max(n, key=n.get)
     assert sorted(n.values()) == [41, 101] and total == 80 + alone[longest]
+
+
+@pytest.mark.parametrize("window", [5, 23, 50])
+def test_other_windows_match_brute_force(spark, window):
+    rows = corpus(window, 40)
+    rnd = random.Random(window)
+    long = [f"v{rnd.randrange(300)}" for _ in range(400)]
+    rows += [(1000 + i, " ".join(long[i * 9:i * 9 + 200])) for i in range(12)]
+    got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=window).collect()
+    assert {r.c0: r.r_kept for r in got} == {i: " ".join(w) for i, w in substring.brute_force(rows, window).items()}
