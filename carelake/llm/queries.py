@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import arc, chat, decontam, extract, licenses, ordinal, packing, simhash, sql, substring, winnow
+from carelake.llm import arc, chat, decontam, divergence, extract, licenses, ordinal, packing, simhash, sql, substring, winnow
 from carelake.llm.common import staged, table
 
 
@@ -62,9 +62,15 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(staged(chat.prefix_target_examples(rows.unionByName(extra)), "chat"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op7_substring, op8_pack, op9_licenses, op10_chat)}
+    return {f.__name__: f for f in (
+        op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op7_substring, op8_pack,
+        op9_licenses, op10_chat, op11_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": sql.DECONTAMINATE, "op10_chat": sql.CHAT}
+    return {"op4_decontaminate": sql.DECONTAMINATE, "op10_chat": sql.CHAT, "op11_divergence": sql.DIVERGENCE}

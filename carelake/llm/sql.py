@@ -51,3 +51,38 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        CAST(sum(upto) FILTER (role = 'assistant' OR k = of) AS BIGINT) AS formatted_chars
 FROM placed GROUP BY conv_id
 """
+
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n, count(DISTINCT rid) AS df
+  FROM (SELECT rid, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS lang_n FROM t GROUP BY ALL HAVING sum(df) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+g AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT t.* FROM t JOIN k USING (lang, term)) USING (lang, source)
+  GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(t.n, 0) AS n,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(t.n, 0) + 2)) // (total + 2 * v) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (lang_n + 2)) // (lang_total + 2 * v) AS q
+  FROM g JOIN v ON v.lang = g.lang JOIN k ON k.lang = g.lang
+  LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term),
+s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 10
+"""
