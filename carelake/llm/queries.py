@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import arc, chat, decontam, divergence, extract, licenses, ordinal, packing, simhash, sql, substring, winnow
+from carelake.llm import arc, chat, decontam, divergence, extract, licenses, negatives, ordinal, packing, simhash, sql, substring, winnow
 from carelake.llm.common import staged, table
 
 
@@ -66,11 +66,19 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), n_positives=5, n_negatives=10, low=30, high=90, every=100,
+                          scale=256, label=shifted)
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op7_substring, op8_pack,
-        op9_licenses, op10_chat, op11_divergence)}
+        op9_licenses, op10_chat, op11_divergence, op12_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": sql.DECONTAMINATE, "op10_chat": sql.CHAT, "op11_divergence": sql.DIVERGENCE}
+    return {"op4_decontaminate": sql.DECONTAMINATE, "op10_chat": sql.CHAT, "op11_divergence": sql.DIVERGENCE,
+            "op12_negatives": sql.NEGATIVES}

@@ -86,3 +86,29 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
 WHERE part = 'pair' OR rank <= 10
 """
+
+NEGATIVES = r"""
+WITH e AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid, b.vec_id, b.label, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1), lambda i: a.q[i] * b.q[i])), 0) AS BIGINT)
+         AS score
+  FROM e a JOIN e b ON a.rid <> b.rid WHERE a.vec_id % 100 = 0),
+pos AS (
+  SELECT anchor, anchor_id, rid AS positive, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, label, rid) AS k
+  FROM s WHERE same),
+neg AS (
+  SELECT pos.anchor_id, pos.positive_id, s.vec_id AS negative_id, pos.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY pos.anchor, pos.k ORDER BY s.score DESC, s.vec_id, s.label, s.rid) AS rank
+  FROM pos JOIN s ON s.anchor = pos.anchor AND NOT s.same
+  WHERE pos.k <= 5 AND 30 * pos.positive_score <= 100 * s.score AND 100 * s.score <= 90 * pos.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= 10
+"""
