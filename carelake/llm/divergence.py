@@ -280,7 +280,9 @@ def pair_values(postings: DataFrame, groups: DataFrame, size: int = BLOCK) -> Da
     """(lang, a, b, value): the divergence of each ordered pair of groups of a language, by number."""
     tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_blocks = F.ceil(F.col("many") / size).cast("int")
-    buckets = F.greatest(F.lit(1), F.floor(2 * tasks / (n_blocks * (n_blocks + 1)))).cast("int")
+    # a unit for each task: more buckets would only make more accumulators to be summed
+    tiles = groups.where("no = 0").agg(F.sum(n_blocks * (n_blocks + 1) / 2)).first()[0] or 1
+    buckets = F.lit(max(1, -(-tasks // int(tiles))))
     block = F.floor(F.col("no") / size).cast("int")
     tile = (F.least("block", "other").alias("rows"), F.greatest("block", "other").alias("peers"))
 
