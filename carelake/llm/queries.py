@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import arc, chat, decontam, divergence, extract, licenses, negatives, ordinal, packing, simhash, sql, substring, winnow
+from carelake.llm import (arc, chat, collisions, decontam, divergence, extract, licenses, negatives, ordinal, packing, simhash,
+                          sql, substring, winnow)
 from carelake.llm.common import staged, table
 
 
@@ -73,12 +74,17 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                           scale=256, label=shifted)
 
 
+def op13_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98, recall=0.99)
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_winnow, op2_arc_to_warc, op3_quality, op4_decontaminate, op5_simhash, op6_extract, op7_substring, op8_pack,
-        op9_licenses, op10_chat, op11_divergence, op12_negatives)}
+        op9_licenses, op10_chat, op11_divergence, op12_negatives,
+        op13_collisions)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_decontaminate": sql.DECONTAMINATE, "op10_chat": sql.CHAT, "op11_divergence": sql.DIVERGENCE,
-            "op12_negatives": sql.NEGATIVES}
+            "op12_negatives": sql.NEGATIVES, "op13_collisions": sql.COLLISIONS}

@@ -112,3 +112,21 @@ neg AS (
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
 FROM neg WHERE rank <= 10
 """
+
+COLLISIONS = r"""
+WITH RECURSIVE e AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+         coalesce(label IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+                  AND len(list_filter(embedding, lambda v: v <> 0)) > 0, false) AS fits
+  FROM embeddings),
+links AS (
+  SELECT a.rid AS a, b.rid AS b
+  FROM e a JOIN e b ON a.label = b.label AND a.rid <> b.rid AND len(a.x) = len(b.x)
+  WHERE a.fits AND b.fits AND list_cosine_similarity(a.x, b.x) >= 0.98),
+reach AS (SELECT rid AS a, rid AS b FROM e UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS rid, min(e.vec_id) AS component_id FROM reach JOIN e ON e.rid = reach.b GROUP BY reach.a),
+many AS (SELECT a AS rid, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+       vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM e JOIN least USING (rid) LEFT JOIN many USING (rid)
+"""
