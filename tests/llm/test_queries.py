@@ -13,6 +13,9 @@ COLUMNS = {
     "op6_": ["page_id", "url", "text", "n_chars"],
     "op7_": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op8_": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op11_": ["lang", "source", "part", "item", "value", "rank"],
+    "op12_": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op13_": ["vec_id", "n_links", "component_id", "kept"],
     "op10_": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
 }
 
@@ -25,12 +28,12 @@ def test_query(spark, sf, name):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     a = got.toPandas()
-    source = {"op2_": "pages", "op6_": "pages"}.get(name[:4], "documents")
-    if not name.startswith("op10_"):
+    source = {"op2_": "pages", "op6_": "pages", "op13": "embeddings"}.get(name[:4], "documents")
+    if not name.startswith(("op10_", "op11_", "op12_")):  # those have rows of other things
         assert len(a) >= spark.read.parquet(f"{sf}/{source}.parquet").count()
     if name in queries.oracle_sql():
         con = duckdb.connect()
-        for t in ("documents", "benchmark", "pages", "conversations"):
+        for t in ("documents", "benchmark", "pages", "conversations", "embeddings"):
             con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
         b = con.sql(queries.oracle_sql()[name]).df()
         cols = sorted(a.columns)
@@ -44,5 +47,5 @@ def test_entry_registers_everything():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")}
     assert "pipeline" in names
