@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.checks import rules, rules_sql
-from carelake.plans import admissions, audit, facilities, finance, oracle, staffing
+from carelake.plans import admissions, audit, facilities, finance, networks, oracle, staffing
 from carelake.streaming import bed_status
 from carelake.sources.roles import DRIVER_AS_OF, Hospital, from_driver_tables
 
@@ -45,6 +45,10 @@ PLANS: dict[str, tuple[Plan, str | None]] = {
     "a08_bed_census": (lambda h: admissions.bed_census(h, DRIVER_AS_OF), oracle.CENSUS),
     "a20_revenue_cube": (finance.revenue_cube, oracle.Q6_CUBE),
     "a20_revenue_grouping_sets": (finance.revenue_grouping_sets, oracle.Q6_SETS),
+    "u03_referral_network": (networks.referral_network, oracle.REFERRALS),
+    "j05_readmission_pairs": (networks.readmission_pairs, oracle.READMISSION_PAIRS),
+    "w09_payment_frames": (networks.payment_frames, oracle.PAYMENT_FRAMES),
+    "a27_history_chunks": (networks.history_chunks, oracle.HISTORY_CHUNKS),
     "s07_headcount_refresh": (facilities.refresh_headcount, oracle.HEADCOUNT),
     "t1_bed_status_batch": (bed_status.bed_status_batch, oracle.BED_STATUS),
     "t2_bed_status_stream": (bed_status.bed_status_stream, oracle.BED_STATUS),
