@@ -38,7 +38,11 @@ def ordered_chunks(df: DataFrame, key: str, order: Sequence[str], item: Column,
 
 def assembled(chunks: DataFrame, key: str, chunk: str = "chunk", items: str = "items", descending: bool = False) -> DataFrame:
     """``(key, items)``: the JSON arrays of a key's chunks as one array, in the order of ``chunk``."""
+    return chunks.groupBy(key).agg(joined_arrays(chunk, items, descending).alias(items))
+
+
+def joined_arrays(order: str, items: str, descending: bool = False) -> Column:
+    """Aggregate: JSON arrays (texts) joined to one array, in the order of a column."""
     inside = F.substring(F.col(items), F.lit(2), F.length(items) - 2)
-    parts = F.sort_array(F.collect_list(F.struct(F.col(chunk).alias("c"), inside.alias("t"))), asc=not descending)
-    return chunks.groupBy(key).agg(F.concat(F.lit("["), F.array_join(F.transform(parts, lambda p: p["t"]), ","),
-                                            F.lit("]")).alias(items))
+    parts = F.sort_array(F.collect_list(F.struct(F.col(order).alias("c"), inside.alias("t"))), asc=not descending)
+    return F.concat(F.lit("["), F.array_join(F.transform(parts, lambda p: p["t"]), ","), F.lit("]"))

@@ -30,9 +30,9 @@ def first_after(anchors: DataFrame, events: DataFrame, key: str, anchor_t: str,
     width = int(horizon_seconds) * 1_000_000
     a_us = F.unix_micros(F.col(anchor_t).cast("timestamp"))
     e_us = F.unix_micros(F.col(event_t).cast("timestamp"))
-    # A NULL key never equals anything: such anchors get no next event and
-    # such events are never anyone's next event.
-    a = anchors.select(
+    # A NULL key never equals anything: such anchors get no next event (and stay out of the
+    # windows, where they would be one group) and such events are never anyone's next event.
+    a = anchors.filter(F.col(key).isNotNull()).select(
         F.struct(*[F.col(c) for c in anchors.columns]).alias("_anchor"),
         F.col(key).alias("_key"), a_us.alias("_t"), F.lit(0).alias("_kind"),
         F.floor(a_us / width).alias("_block"))
@@ -47,8 +47,10 @@ def first_after(anchors: DataFrame, events: DataFrame, key: str, anchor_t: str,
          .rowsBetween(Window.unboundedPreceding, -1))
     nxt = F.min(F.when(F.col("_kind") == 1, F.col("_t"))).over(w)
     stream = a.unionByName(e).select("_anchor", "_kind", "_t", nxt.alias("_next"))
-    within: Column = F.col("_anchor." + key).isNotNull() & (F.col("_next") <= F.col("_t") + F.lit(width))
-    return (stream.filter(F.col("_kind") == 0)
+    within: Column = F.col("_next") <= F.col("_t") + F.lit(width)
+    found = (stream.filter(F.col("_kind") == 0)
             .select("_anchor.*",
                     F.when(within, F.timestamp_micros(F.col("_next")).cast("timestamp_ntz"))
                     .alias("next_t")))
+    alone = anchors.filter(F.col(key).isNull()).withColumn("next_t", F.lit(None).cast("timestamp_ntz"))
+    return found.unionByName(alone)

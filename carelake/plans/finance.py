@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carelake.functions.dates import as_of_lit, day_of, days_between, month_start
 from carelake.functions.json import iso_timestamp, json_object, to_json_text
 from carelake.functions.numeric import money, pct, round_half, safe_div
+from carelake.operators.chunks import joined_arrays
 from carelake.operators.joins import left_join_salted_nulls
 from carelake.plans.common import attended_admissions, bills, doctors_with_staff
 from carelake.sources.roles import Hospital
@@ -70,7 +71,8 @@ def patient_summary(h: Hospital, as_of) -> DataFrame:
 
     Admissions with no doctor are spread over shuffle partitions by a salt
     (``left_join_salted_nulls``) rather than piling into one, in a single
-    pass.  Lists are per patient and bounded by that patient's history.  A patient without admissions has NULL
+    pass.  Histories are put together by month and then by patient, whose text is the one
+    thing that must fit a task (``networks.history_chunks`` gives histories in pieces).  A patient without admissions has NULL
     types, doctors and history (aggregates over no rows), 0 visits and charges.
     """
     names = doctors_with_staff(h, "full_name").withColumnRenamed("full_name", "doctor")
@@ -84,13 +86,19 @@ def patient_summary(h: Hospital, as_of) -> DataFrame:
         json_object(admission_date=iso_timestamp(F.col("admission_date")),
                     type=F.col("admission_type"), diagnosis=F.col("primary_diagnosis"),
                     doctor=F.col("doctor"), length_of_stay=stay).alias("_v"))
-    per = a.groupBy("patient_id").agg(
-        F.sort_array(F.collect_set("admission_type")).alias("admission_types"),
-        F.sort_array(F.collect_set("doctor")).alias("_docs"),
-        F.count("admission_id").alias("total_visits"),
-        F.sum("total_cost").alias("_tc"), F.sum("insurance_covered_amount").alias("_ic"),
-        F.sum("remaining_balance").alias("_rb"),
-        F.sort_array(F.collect_list(item), asc=False).alias("_hist"))
+    # a patient's rows meet by month first: a long history is spread over as many groups, and what
+    # comes together for a patient are sums, short lists and the texts of months
+    newest_first = F.transform(F.sort_array(F.collect_list(item), asc=False), lambda x: x["_v"])
+    months = a.groupBy("patient_id", month_start(F.col("admission_date")).alias("_month")).agg(
+        F.collect_set("admission_type").alias("_types"), F.collect_set("doctor").alias("_names"),
+        F.count("admission_id").alias("_n"), F.sum("total_cost").alias("_c"),
+        F.sum("insurance_covered_amount").alias("_i"), F.sum("remaining_balance").alias("_b"),
+        to_json_text(newest_first).alias("_text"))
+    every = lambda c: F.sort_array(F.array_distinct(F.flatten(F.collect_list(c))))
+    per = months.groupBy("patient_id").agg(
+        every("_types").alias("admission_types"), every("_names").alias("_docs"), F.sum("_n").alias("total_visits"),
+        F.sum("_c").alias("_tc"), F.sum("_i").alias("_ic"), F.sum("_b").alias("_rb"),
+        joined_arrays("_month", "_text", descending=True).alias("_hist"))
     p = h.patient.select("patient_id", "full_name", "blood_type", "allergies").join(per, "patient_id", "left")
     out = p.select(
         "patient_id", "full_name", "blood_type", "allergies",
@@ -100,8 +108,7 @@ def patient_summary(h: Hospital, as_of) -> DataFrame:
         money(F.coalesce(F.col("_tc"), F.lit(0))).alias("lifetime_charges"),
         money(F.coalesce(F.col("_ic"), F.lit(0))).alias("insurance_paid"),
         money(F.coalesce(F.col("_rb"), F.lit(0))).alias("patient_owes"),
-        F.when(F.size("_hist") > 0, to_json_text(F.transform("_hist", lambda x: x["_v"])))
-        .alias("admission_history"))
+        F.col("_hist").alias("admission_history"))
     return out.orderBy(F.col("total_visits").desc(), "full_name")
 
 

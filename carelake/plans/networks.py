@@ -1,5 +1,5 @@
 """Queries that the workload only sketches: recursion without a depth, all readmission pairs, row frames
-over all payments, histories in chunks."""
+over all payments, histories in chunks, distinct counts and regressions from mergeable parts."""
 
 from __future__ import annotations
 
@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from carelake.functions.dates import day_of, days_between, midnight
 from carelake.functions.json import iso_timestamp, json_object
-from carelake.functions.numeric import money, safe_div
+from carelake.functions.numeric import money, round_half, safe_div
+from carelake.operators import moments as mm
 from carelake.operators.band_join import following
+from carelake.operators.bitmaps import distinct_counts, distinct_sets, rollup_levels
 from carelake.operators.chunks import ordered_chunks
 from carelake.operators.frames import Frames, numbered
 from carelake.operators.recursion import walk
+from carelake.plans.common import attended_admissions, bills, doctors_with_staff
 from carelake.sources.roles import Hospital
 
 #: patients below it were referred by nobody; every other one by a patient of a third of its number
@@ -85,3 +88,33 @@ def history_chunks(h: Hospital, size: int = 4) -> DataFrame:
     return ordered_chunks(a, "patient_id", ["admission_date", "admission_id"], item, size, [
         F.min("admission_date").alias("first_admission"), F.max("admission_date").alias("last_admission"),
         F.count("discharge_date").alias("discharges")]).withColumnRenamed("items", "history")
+
+
+def distinct_patients(h: Hospital) -> DataFrame:
+    """O-A5, O-A6 at every level of ROLLUP(department, type): different patients, and those not discharged, in one pass."""
+    a = attended_admissions(h, "patient_id", "admission_type", "discharge_date").join(
+        doctors_with_staff(h, "dept_name"), "doctor_id")
+    by = ["dept_name", "admission_type"]
+    sets = distinct_sets(a, "patient_id", by, {"patients": None, "patients_in_house": F.col("discharge_date").isNull()})
+    return distinct_counts(sets, rollup_levels(by), by, ["patients", "patients_in_house"])
+
+
+def stay_moments(h: Hospital) -> DataFrame:
+    """Moments of (length of stay, cost) per admission type and day: what O-A22 to O-A24 need for any range."""
+    a = h.admission.select("admission_id", "admission_type", "admission_date", "discharge_date").join(
+        bills(h, "total_cost"), "admission_id")
+    stay = days_between(F.col("discharge_date"), day_of(F.col("admission_date")))
+    return mm.moments(a, stay, F.col("total_cost"), ["admission_type", day_of(F.col("admission_date")).alias("day")])
+
+
+def cost_by_stay(h: Hospital) -> DataFrame:
+    """O-A22, O-A23 from stored moments: cost on length of stay per admission type and quarter, and for all of each type."""
+    stored = stay_moments(h)
+    quarter = F.date_trunc("quarter", F.col("day").cast("timestamp_ntz")).cast("timestamp_ntz")
+    per_quarter = mm.merged(stored, ["admission_type", quarter.alias("quarter")])
+    whole = mm.merged(per_quarter, ["admission_type"]).withColumn("quarter", F.lit(None).cast("timestamp_ntz"))
+    r = mm.regression()
+    return per_quarter.unionByName(whole).select(
+        "admission_type", "quarter", F.col("n").cast("bigint").alias("stays"), round_half(r["slope"], 6).alias("cost_per_day"),
+        round_half(r["intercept"], 4).alias("base_cost"), round_half(r["r"], 8).alias("correlation"),
+        round_half(r["mean_x"], 6).alias("mean_stay"), round_half(r["mean_y"], 4).alias("mean_cost"))

@@ -49,6 +49,8 @@ PLANS: dict[str, tuple[Plan, str | None]] = {
     "j05_readmission_pairs": (networks.readmission_pairs, oracle.READMISSION_PAIRS),
     "w09_payment_frames": (networks.payment_frames, oracle.PAYMENT_FRAMES),
     "a27_history_chunks": (networks.history_chunks, oracle.HISTORY_CHUNKS),
+    "a05_distinct_patients_rollup": (networks.distinct_patients, oracle.DISTINCT_PATIENTS),
+    "a22_cost_by_stay_moments": (networks.cost_by_stay, oracle.COST_BY_STAY),
     "s07_headcount_refresh": (facilities.refresh_headcount, oracle.HEADCOUNT),
     "t1_bed_status_batch": (bed_status.bed_status_batch, oracle.BED_STATUS),
     "t2_bed_status_stream": (bed_status.bed_status_stream, oracle.BED_STATUS),
