@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from carelake.checks import rules, rules_sql
 from carelake.plans import admissions, audit, facilities, finance, networks, oracle, staffing
-from carelake.streaming import bed_status
+from carelake.streaming import bed_status, headcount, specialty_rule
 from carelake.sources.roles import DRIVER_AS_OF, Hospital, from_driver_tables
 
 Plan = Callable[[Hospital], DataFrame]
@@ -52,6 +52,8 @@ PLANS: dict[str, tuple[Plan, str | None]] = {
     "a05_distinct_patients_rollup": (networks.distinct_patients, oracle.DISTINCT_PATIENTS),
     "a22_cost_by_stay_moments": (networks.cost_by_stay, oracle.COST_BY_STAY),
     "s07_headcount_refresh": (facilities.refresh_headcount, oracle.HEADCOUNT),
+    "s07_headcount_stream": (headcount.headcount_stream, oracle.HEADCOUNT),
+    "d08_specialty_rule_stream": (specialty_rule.specialty_rule_stream, rules_sql.SPECIALTY_COUNTS),
     "t1_bed_status_batch": (bed_status.bed_status_batch, oracle.BED_STATUS),
     "t2_bed_status_stream": (bed_status.bed_status_stream, oracle.BED_STATUS),
     "d01_d09_rule_counts": (lambda h: rules.rule_counts(h, DRIVER_AS_OF), rules_sql.COUNTS),
