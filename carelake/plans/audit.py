@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.dates import as_of_lit, midnight
 from carelake.plans.common import attended_admissions, doctors_with_staff
+from carelake.sources.catalog import since
 from carelake.sources.roles import Hospital
 
 
@@ -57,26 +58,26 @@ def activity_feed(h: Hospital, as_of, limit: int = 50) -> DataFrame:
     """Q18: admissions, discharges and payments of the last 7 days, newest 50.
 
     Date filters sit on the scans (pushed to Parquet), so only the recent
-    slice reaches the joins; ORDER BY + LIMIT is a per-partition top-k then a
+    slice reaches the joins (and, on tables landed by week, only its partitions are read); ORDER BY + LIMIT is a per-partition top-k then a
     merge.  Ties break by activity and record id.
     """
-    since = F.date_sub(as_of_lit(as_of), 7)
+    week_ago = F.date_sub(as_of_lit(as_of), 7)
     names = doctors_with_staff(h, "full_name").withColumnRenamed("full_name", "performed_by")
     patients = h.patient.select("patient_id", F.col("full_name").alias("related_to"))
-    adm = attended_admissions(h, "admission_id", "patient_id", "admission_date", "discharge_date")
-    recent_adm = (adm.filter(F.col("admission_date") >= midnight(since))
-                  .join(patients, "patient_id").join(names, "doctor_id")
+    adm = attended_admissions(h, "admission_id", "patient_id", "discharge_date")
+    recent_adm = (since(h, "admission", week_ago).filter(F.col("doctor_id").isNotNull())
+                  .select("doctor_id", "admission_id", "patient_id", "admission_date").join(patients, "patient_id").join(names, "doctor_id")
                   .select(F.lit("Recent Admissions").alias("activity"),
                           F.col("admission_id").alias("record_id"), "related_to",
                           F.col("admission_date").alias("activity_date"),
                           F.lit("Created").alias("action"), "performed_by"))
-    recent_dis = (adm.filter(F.col("discharge_date") >= since)
+    recent_dis = (adm.filter(F.col("discharge_date") >= week_ago)
                   .join(patients, "patient_id").join(names, "doctor_id")
                   .select(F.lit("Recent Discharges").alias("activity"),
                           F.col("admission_id").alias("record_id"), "related_to",
                           midnight(F.col("discharge_date")).alias("activity_date"),
                           F.lit("Discharged").alias("action"), "performed_by"))
-    recent_pay = (h.payment.filter(F.col("payment_date") >= since).select("payment_id", "invoice_id", "payment_date")
+    recent_pay = (since(h, "payment", week_ago).select("payment_id", "invoice_id", "payment_date")
                   .join(h.invoice.select("invoice_id", "billing_id"), "invoice_id")
                   .join(h.billingstatement.select("billing_id", "admission_id"), "billing_id")
                   .join(h.admission.select("admission_id", "patient_id"), "admission_id")

@@ -8,6 +8,9 @@ plan's filters on real columns, so they reach the Parquet scan
 * ``admission`` is range-partitioned and sorted by ``admission_date``, so a
   time window (activity feed, recent admissions) reads only the files and
   row groups that overlap it;
+* with ``weekly``, admissions, bills and payments are also cut into one folder a week of their date
+  (column ``WEEK``).  A time filter that names the week too (``since``) reads the folders of its
+  weeks and no others, and a join on the week with a filtered calendar prunes them at run time;
 * with ``buckets=n``, Admission and BillingStatement are also bucketed on
   ``admission_id`` into the same n buckets (and sorted by date inside each
   bucket), so their join, the largest in the workload, runs without a
@@ -22,25 +25,37 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions.dates import as_of_lit
 
 from carelake.session import staging_path
 from carelake.sources.roles import Hospital
-from carelake.sources.schemas import DATE_DEFAULTS, DEFAULTS, SCHEMAS
+from carelake.sources.schemas import DATE_DEFAULTS, DEFAULTS, SCHEMAS, WEEK
 
 CLUSTER_BY = {"admission": "admission_date", "billingstatement": "discharge_date",
               "payment": "payment_date"}
 BUCKET_BY = {"admission": "admission_id", "billingstatement": "admission_id"}
 
+def week_of(c: Column) -> Column:
+    """The Monday of a date's week, the value of ``WEEK``."""
+    return F.to_date(F.date_trunc("week", c.cast("timestamp_ntz")))
+
+
+def since(h: Hospital, table: str, day: Column) -> DataFrame:
+    """Rows of ``table`` whose CLUSTER_BY date is at or after ``day``'s midnight; partitions of earlier weeks aren't read."""
+    df, key = getattr(h, table), CLUSTER_BY[table]
+    found = df.filter(F.col(key) >= day.cast(df.schema[key].dataType))
+    return found.filter(F.col(WEEK) >= week_of(day)).drop(WEEK) if WEEK in df.columns else found
+
 
 def land(h: Hospital, path: str | None = None, files_per_table: int | None = None,
-         buckets: int | None = None, database: str | None = None) -> str:
+         buckets: int | None = None, database: str | None = None, weekly: bool = False) -> str:
     """Write all fifteen tables under ``path`` (a fresh folder in the shared dir by default).
 
-    With ``buckets``, the join-key tables are written as bucketed tables of
+    With ``weekly``, the tables of CLUSTER_BY are partitioned by the week of their date.  With
+    ``buckets``, the join-key tables are written as bucketed tables of
     ``database`` (created if missing) whose files live under ``path``.
     """
     path = path or staging_path(h.spark, "hospital-tables")
@@ -55,6 +70,9 @@ def land(h: Hospital, path: str | None = None, files_per_table: int | None = Non
         if key:
             n = files_per_table or h.spark.conf.get("spark.sql.shuffle.partitions")
             df = df.repartitionByRange(int(n), key).sortWithinPartitions(key)
+            if weekly:
+                df.withColumn(WEEK, week_of(F.col(key))).write.mode("overwrite").partitionBy(WEEK).parquet(f"{path}/{name}")
+                continue
         elif files_per_table:
             df = df.repartition(files_per_table)
         df.write.mode("overwrite").parquet(f"{path}/{name}")

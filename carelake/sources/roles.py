@@ -28,7 +28,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.sources.schemas import SCHEMAS
+from carelake.sources.schemas import SCHEMAS, WEEK
 
 # The date the driver tables are evaluated at (their last order date).
 DRIVER_AS_OF = "2001-08-01"
@@ -63,8 +63,9 @@ class Hospital:
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select and cast the columns of ``table`` in schema order."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields])
+    """Select and cast the columns of ``table`` in schema order; the week of a partitioned table comes last."""
+    week = [F.col(WEEK)] if WEEK in df.columns else []
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table].fields] + week)
 
 
 def _pick(key: Column, values: tuple[str, ...]) -> Column:

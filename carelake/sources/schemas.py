@@ -13,6 +13,9 @@ S, L, I = T.StringType(), T.LongType(), T.IntegerType()
 D, B, TS = T.DateType(), T.BooleanType(), T.TimestampNTZType()
 DEC52, DEC102 = T.DecimalType(5, 2), T.DecimalType(10, 2)
 
+#: partition column of tables landed by week; not part of a schema, kept where a file has it
+WEEK = "_week"
+
 
 def _schema(*fields) -> T.StructType:
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])

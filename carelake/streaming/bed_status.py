@@ -38,11 +38,14 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.operators.recursion import whole
 from carelake.session import staging_path
 from carelake.sources.roles import Hospital
+from carelake.streaming.folders import counted
 
 CHANGE_SCHEMA = ("event_id long, event_ts timestamp_ntz, op string, admission_id long, "
                  "bed_id long, old_bed_id long, discharge_date date")
+UPDATE_SCHEMA = "bed_id long, ts long, event_id long, step int, status string"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -129,17 +132,24 @@ def rocksdb_state(spark: SparkSession):
 
 
 def run_bed_status_stream(spark: SparkSession, source_path: str, out: str | None = None,
-                          checkpoint: str | None = None, files_per_trigger: int = 2) -> str:
+                          checkpoint: str | None = None, files_per_trigger: int | None = None,
+                          bytes_per_trigger: int = 64 << 30, replay_delay: str = "7 days") -> str:
     """O-T2: run the stateful stream over ``source_path`` until caught up.
 
     Returns the folder of emitted status updates (one sub-folder per micro-batch).  With the
     ``out`` and ``checkpoint`` of an earlier run it resumes from that run's last committed
     micro-batch; by default both are fresh folders below the shared folder.
+
+    A micro-batch takes ``bytes_per_trigger`` of files (or a number of files, if given).  Records whose
+    ``event_id`` arrives again within ``replay_delay`` are dropped before they reach the
+    beds, so replays emit nothing; arrival is the time of the file, so no record is too late to count.
     """
     out = out or staging_path(spark, "bed-status-updates")
     checkpoint = checkpoint or staging_path(spark, "bed-status-ckpt")
-    changes = (spark.readStream.schema(CHANGE_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-               .parquet(source_path))
+    limit = ("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else ("maxBytesPerTrigger", bytes_per_trigger)
+    changes = (spark.readStream.schema(CHANGE_SCHEMA).option(*limit).parquet(source_path)
+               .withColumn("arrived", F.col("_metadata.file_modification_time"))
+               .withWatermark("arrived", replay_delay).dropDuplicatesWithinWatermark(["event_id"]))
     latest = (change_effects(changes).groupBy("bed_id")
               .agg(F.max(F.struct("ts", "event_id", "step", "status")).alias("s"))
               .select("bed_id", "s.ts", "s.event_id", "s.step", "s.status"))
@@ -155,11 +165,35 @@ def run_bed_status_stream(spark: SparkSession, source_path: str, out: str | None
     return out
 
 
+def latest_updates(spark: SparkSession, updates_path: str) -> tuple[DataFrame | None, int]:
+    """The newest emitted update of each bed that has one, and the last batch among them (None, -1: no batch yet)."""
+    paths, last = counted(spark, updates_path, updates_path.rstrip("/") + "-snapshots")
+    if not paths:
+        return None, last
+    upd = spark.read.schema(UPDATE_SCHEMA).parquet(*paths)
+    newest = F.max(F.struct("ts", "event_id", "step", "status")).alias("s")
+    return upd.groupBy("bed_id").agg(newest).select("bed_id", "s.*"), last
+
+
+def compact_updates(spark: SparkSession, updates_path: str) -> int:
+    """Fold the update folders into one snapshot with a row a bed; returns the last batch it counts.
+
+    ``folders.drop_counted`` deletes the folders that it replaces.
+    """
+    latest, last = latest_updates(spark, updates_path)
+    target = f"{updates_path.rstrip('/')}-snapshots/upto={last}"
+    if latest is not None and not whole(spark, target):
+        latest.write.mode("overwrite").parquet(target)
+    return last
+
+
 def current_status(spark: SparkSession, bed: DataFrame, updates_path: str) -> DataFrame:
     """Beds joined with the newest emitted update (stored status when none)."""
-    upd = spark.read.parquet(updates_path)
-    latest = upd.groupBy("bed_id").agg(F.max_by("status", F.struct("ts", "event_id", "step")).alias("_status"))
-    return (bed.select("bed_id", "ward_id", "bed_status").join(latest, "bed_id", "left")
+    latest, _ = latest_updates(spark, updates_path)
+    if latest is None:
+        return bed.select("bed_id", "ward_id", "bed_status")
+    return (bed.select("bed_id", "ward_id", "bed_status").join(
+                latest.select("bed_id", F.col("status").alias("_status")), "bed_id", "left")
             .select("bed_id", "ward_id", F.coalesce("_status", "bed_status").alias("bed_status")))
 
 

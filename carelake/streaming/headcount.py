@@ -22,6 +22,7 @@ from carelake.operators.recursion import whole
 from carelake.session import staging_path
 from carelake.sources.roles import Hospital
 from carelake.streaming.bed_status import rocksdb_state, stage_change_log
+from carelake.streaming.folders import counted
 
 CHANGE_SCHEMA = "change_id long, change_ts timestamp, staff_id long, old_dept string, new_dept string"
 SUMS = "dept_name string, delta long"
@@ -40,26 +41,12 @@ def apply_batch(changes: DataFrame, store: str, batch_id: int) -> None:
     deltas(changes).coalesce(1).write.mode("overwrite").parquet(f"{store}/batches/batch_id={batch_id}")
 
 
-def _folders(spark: SparkSession, path: str, name: str) -> list[int]:
-    """The numbers in the names ``name=<number>`` of the whole folders below ``path``."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(at):
-        return []
-    found = [s.getPath().getName() for s in fs.listStatus(at)]
-    numbers = [int(f.split("=", 1)[1]) for f in found if f.startswith(name + "=")]
-    return sorted(n for n in numbers if whole(spark, f"{path}/{name}={n}"))
-
-
 def stored_sums(spark: SparkSession, store: str) -> tuple[DataFrame, int]:
     """The newest snapshot and the batches after it as one table of sums, and the last batch id in it (-1: none)."""
-    snapshots = _folders(spark, f"{store}/snapshots", "upto")
-    upto = snapshots[-1] if snapshots else -1
-    later = [b for b in _folders(spark, f"{store}/batches", "batch_id") if b > upto]
-    paths = [f"{store}/snapshots/upto={upto}"] * bool(snapshots) + [f"{store}/batches/batch_id={b}" for b in later]
+    paths, last = counted(spark, f"{store}/batches", f"{store}/snapshots")
     if not paths:
         return spark.createDataFrame([], SUMS), -1
-    return spark.read.schema(SUMS).parquet(*paths), later[-1] if later else upto
+    return spark.read.schema(SUMS).parquet(*paths), last
 
 
 def compact(spark: SparkSession, store: str) -> int:

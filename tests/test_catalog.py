@@ -1,11 +1,14 @@
 """Landed tables give the same answers, and time filters reach the Parquet scan."""
 
 import os
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from carelake.functions.dates import as_of_lit
 from carelake.plans import audit, finance
-from carelake.sources.catalog import from_parquet_tables, land
+from carelake.sources.catalog import WEEK, from_parquet_tables, land, since
 from carelake.sources.roles import DRIVER_AS_OF, from_driver_tables
 from oracle_compare import _rows
 
@@ -37,6 +40,38 @@ def test_time_filter_is_pushed_to_the_scan(landed):
     assert "GreaterThanOrEqual(payment_date" in plan
 
 
+@pytest.fixture(scope="module")
+def by_week(spark):
+    derived = from_driver_tables(spark, SF)
+    return derived, from_parquet_tables(spark, land(derived, files_per_table=4, weekly=True))
+
+
+def test_only_the_partitions_of_the_week_are_read(by_week):
+    derived, stored = by_week
+    feed = audit.activity_feed(stored, DRIVER_AS_OF)
+    a = audit.activity_feed(derived, DRIVER_AS_OF)
+    assert _rows(a.columns, [tuple(r) for r in a.collect()]) == _rows(feed.columns, [tuple(r) for r in feed.collect()])
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert sum("_week" in f and ">=" in f for f in filters) >= 2  # admissions and payments
+    recent = since(stored, "admission", as_of_lit(DRIVER_AS_OF) - F.expr("INTERVAL 7 DAYS"))
+    folders = {f.split("_week=")[1].split("/")[0] for f in
+               [r[0] for r in recent.select(F.input_file_name()).distinct().collect()]}
+    everything = {r[0] for r in stored.admission.select(WEEK).distinct().collect()}
+    assert len(folders) <= 2 < len(everything)
+
+
+def test_a_calendar_prunes_partitions_at_run_time(by_week, spark):
+    _, stored = by_week
+    calendar = stored.admission.select(F.col(WEEK).alias("week")).distinct().withColumn("day", F.dayofyear("week"))
+    calendar.write.mode("overwrite").parquet(os.path.join(spark.conf.get("spark.checkpoint.dir"), "calendar"))
+    calendar = spark.read.parquet(os.path.join(spark.conf.get("spark.checkpoint.dir"), "calendar"))
+    quiet = stored.admission.join(calendar.where("day < 30"), F.col(WEEK) == F.col("week"))
+    assert "dynamicpruning" in quiet._jdf.queryExecution().executedPlan().toString()
+    want = stored.admission.where(F.dayofyear(WEEK) < 30).count()
+    assert quiet.count() == want > 0
+
+
 def test_bucketed_admission_bill_join_needs_no_shuffle(spark):
     from carelake.plans import admissions
     derived = from_driver_tables(spark, SF)

@@ -6,8 +6,9 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from carelake.streaming.bed_status import (CHANGE_SCHEMA, current_status, fold_bed_status,
+from carelake.streaming.bed_status import (CHANGE_SCHEMA, compact_updates, current_status, fold_bed_status,
                                            run_bed_status_stream, stage_change_log)
+from carelake.streaming.folders import drop_counted
 
 T0 = dt.datetime(2024, 3, 1, 8, 0)
 
@@ -77,3 +78,30 @@ def test_stopped_stream_goes_on_in_the_same_folders(spark):
     got = sorted(map(tuple, current_status(spark, _beds(spark), out).collect()))
     assert got == sorted(map(tuple, fold_bed_status(_beds(spark), everything).collect()))
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == store
+
+
+def test_replayed_records_emit_nothing_and_snapshots_agree(spark):
+    base = tempfile.mkdtemp(prefix="bed-replay-", dir=spark.conf.get("spark.checkpoint.dir"))
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/ckpt"
+    everything = spark.createDataFrame(CHANGES, CHANGE_SCHEMA)
+    want = sorted(map(tuple, fold_bed_status(_beds(spark), everything).collect()))
+
+    def status():
+        return sorted(map(tuple, current_status(spark, _beds(spark), out).collect()))
+
+    assert compact_updates(spark, out) == -1
+    assert status() == sorted(map(tuple, _beds(spark).collect()))
+    stage_change_log(spark, everything.coalesce(1), src)
+    run_bed_status_stream(spark, src, out, ckpt)
+    assert status() == want
+    emitted = spark.read.parquet(out).count()
+    stage_change_log(spark, everything.coalesce(1), src)  # the same records in another file
+    run_bed_status_stream(spark, src, out, ckpt)
+    assert spark.read.parquet(out).count() == emitted
+    last = compact_updates(spark, out)
+    assert last == compact_updates(spark, out) and status() == want
+    assert drop_counted(spark, out, out + "-snapshots") > 0 and status() == want
+    stage_change_log(spark, spark.createDataFrame([LATE], CHANGE_SCHEMA).coalesce(1), src)
+    run_bed_status_stream(spark, src, out, ckpt)
+    assert status() == sorted(map(tuple, fold_bed_status(
+        _beds(spark), spark.createDataFrame([*CHANGES, LATE], CHANGE_SCHEMA)).collect()))
