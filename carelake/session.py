@@ -61,9 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        path = tempfile.mkdtemp(prefix="carelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+        # the setting itself can't be changed in a running session; the context remembers the folder
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="carelake-ckpt-"))
+        path = spark.sparkContext.getCheckpointDir()
     return path
 
 
