@@ -31,8 +31,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        base = "file://" + tempfile.mkdtemp(prefix="carelake-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        # the setting itself can't be changed in a running session; the context remembers the folder
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="carelake-llm-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
