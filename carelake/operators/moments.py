@@ -35,13 +35,18 @@ def merged(stored: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:
 def regression() -> dict[str, Column]:
     """slope, intercept, r, r2 and the means from the moment columns; NULL where SQL's functions are NULL.
 
-    Centred sums are ``sum x*y - sum x * mean y`` in decimals, with 14 places of the mean, so that
-    little cancels and nothing outgrows 32 digits.
+    Centred sums are ``(n * sum x*y - sum x * sum y) / n``, exact in decimals; where those products outgrow
+    32 digits (NULL from the try functions) ``sum x*y - sum x * mean y`` with 14 places of the mean, which loses
+    nothing that matters beside sums of that size.
     """
     n = F.nullif(F.col("n"), F.lit(0)).cast("decimal(18,0)")
     total = lambda c: F.col(c).cast("decimal(28,4)")
     mean = lambda c: total(c) / n
-    centred = lambda ab, a, b: (F.col(ab) - total(a) * mean(b)).cast("double")
+
+    def centred(ab: str, a: str, b: str) -> Column:
+        exact = F.try_subtract(F.try_multiply(n, F.col(ab)), F.try_multiply(total(a), total(b))).cast("double")
+        return F.coalesce(exact / n.cast("double"), (F.col(ab) - total(a) * mean(b)).cast("double"))
+
     ssx, ssy, sxy = centred("sxx", "sx", "sx"), centred("syy", "sy", "sy"), centred("sxy", "sx", "sy")
     nz = lambda c: F.nullif(c, F.lit(0.0))
     slope = F.try_divide(sxy, nz(ssx))

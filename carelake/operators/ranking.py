@@ -34,12 +34,15 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
     return cond
 
 
-def _bucket_of(bounds: Column, o: Column) -> Column:
-    """Number of distinct bounds strictly below ``o`` (monotone in ``o``).
+def bucket_of(bounds: str, o: str, n_bounds: int) -> Column:
+    """Number of bounds strictly below ``o`` (columns; monotone in ``o``), by binary search in the sorted array.
 
-    Written without a lambda so ``bounds`` may be a scalar subquery.
+    Each step of the literal list, a power of two, is taken if the bound there is still below.
     """
-    return F.array_position(F.sort_array(F.array_union(bounds, F.array(o))), o) - 1
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, n_bounds).bit_length()))])
+    # past the end there is no bound, and nothing is below it
+    below = lambda at, step: F.coalesce(F.get(F.col(bounds), at + step - 1) < F.col(o), F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(below(at, step), step).otherwise(F.lit(0)))
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -80,9 +83,10 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
     elif by:
         bounds = small(keyed.groupBy(*by).agg(sketch.alias("_bounds")))
         keyed = keyed.join(bounds, _null_safe_on(keyed, bounds, by), "inner").select(keyed["*"], bounds["_bounds"])
-        bucketed = keyed.withColumn("_bucket", _bucket_of(F.col("_bounds"), F.col("_o"))).drop("_bounds")
+        bucketed = keyed.withColumn("_bucket", bucket_of("_bounds", "_o", len(fractions))).drop("_bounds")
     else:
-        bucketed = keyed.withColumn("_bucket", _bucket_of(keyed.select(sketch).scalar(), F.col("_o")))
+        bucketed = keyed.withColumn("_bounds", keyed.select(sketch).scalar()).withColumn(
+            "_bucket", bucket_of("_bounds", "_o", len(fractions))).drop("_bounds")
 
     totals = bucketed.groupBy(*by, "_bucket").agg(
         F.sum("_n").alias("_bn"), F.count(F.lit(1)).alias("_bd"))

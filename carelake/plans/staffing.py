@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from carelake.functions.dates import as_of_lit, day_of, days_between
 from carelake.functions.json import json_object, to_json_text
 from carelake.functions.numeric import pct, round_half, safe_div
-from carelake.operators.ranking import default_buckets
+from carelake.operators.ranking import bucket_of, default_buckets
 from carelake.plans.common import attended_admissions, doctors_with_staff, per_department, specialty_counts
 from carelake.sources.roles import Hospital
 
@@ -36,11 +36,11 @@ def salary_ranking(h: Hospital) -> DataFrame:
     if parts > 1:
         cuts = values.select(F.percentile_approx(
             F.col("salary").cast("double"), [i / parts for i in range(1, parts)], 20 * parts)).scalar()
-        pay = F.col("salary").cast("double")
-        part = F.array_position(F.sort_array(F.array_union(cuts, F.array(pay))), pay)
+        values = values.withColumns({"_cuts": cuts, "_pay": F.col("salary").cast("double")})
+        part = bucket_of("_cuts", "_pay", parts - 1)
     else:
-        part = F.lit(1).cast("bigint")
-    dealt = values.withColumn("part", part).repartition("part")
+        part = F.lit(0)
+    dealt = values.withColumn("part", part).drop("_cuts", "_pay").repartition("part")
     totals = dealt.groupBy("part", "dept_name").agg(
         F.count(F.lit(1)).alias("d"), F.sum("n").alias("n"), F.sum(F.col("salary") * F.col("n")).alias("s"))
     above = Window.partitionBy("dept_name").orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
