@@ -228,18 +228,17 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
                max_bits: int = 3) -> DataFrame:
     """One row of each component, that with the smallest id (then text hash), with all its columns.
 
-    Rows without an id are reduced among themselves: one of each component stays, also beside
-    a row that has an id.
+    A row without an id stays only where no row of its component has one.
     """
     names = docs.columns
     # row numbers are written with the rows, so that they are the same wherever they are used
     rows = staged(fingerprints(docs, doc_id, text, shingle, names).withColumn(
         "row", F.monotonically_increasing_id()), "fingerprinted")
-    own = F.struct(F.col(f"c{names.index(doc_id)}").alias("id"), F.xxhash64(f"c{names.index(text)}").alias("th"), "row")
-    first = rows.groupBy(F.col("r_fp").alias("fp"), F.col(f"c{names.index(doc_id)}").isNull().alias("no_id")).agg(
-        F.min(own).alias("own"))
+    key = F.col(f"c{names.index(doc_id)}")
+    own = F.struct(key.isNull().alias("no_id"), key.alias("id"), F.xxhash64(f"c{names.index(text)}").alias("th"), "row")
+    first = rows.groupBy(F.col("r_fp").alias("fp")).agg(F.min(own).alias("own"))
     rooted = with_roots(staged(first, "first-rows"), max_bits)
-    kept = rooted.groupBy("root", "no_id").agg(F.min("own").alias("own")).select(F.col("own.row").alias("row"))
+    kept = rooted.groupBy("root").agg(F.min("own").alias("own")).select(F.col("own.row").alias("row"))
     return rows.join(kept, "row", "left_semi").select(*restore(rows, names))
 
 
