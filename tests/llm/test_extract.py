@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 from carelake.llm import extract
 
@@ -45,3 +47,92 @@ def test_odd_rows(spark):
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
     assert sorted(r.n_chars for r in extract.extract_main_text(pages).collect()) == [0, 0, len(LONG), len(LONG)]
     assert extract.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_names_of_a_wrapper_do_not_empty_the_page():
+    body = f"<h1>Title here</h1><p>{LONG}</p><p>Short.</p><p>{LONG}</p>"
+    for name in ("layout-sidebar-right", "page-with-sidebar", "col related", "widget-text", "post-header-image",
+                 "content search-results", "overflow-hidden", "sidebar", "promo"):
+        for page in (f"<body><div class='{name}'>{body}</div></body>", f"<article><div class='{name}'>{body}</div></article>"):
+            assert extract.main_text(page) == f"Title here {LONG} Short. {LONG}", (name, page)
+    inner = f"<div class='layout widget'>{body}<div class='sidebar'><p>{LONG}</p></div></div>"
+    assert extract.main_text(inner) == f"Title here {LONG} Short. {LONG}"
+
+
+def test_comments_stay_out_however_long():
+    page = f"<div><p>{LONG}</p><div id='comments'>" + f"<article class='comment'><p>{LONG}</p></article>" * 9 + "</div></div>"
+    assert extract.main_text(page) == LONG
+    assert extract.main_text(f"<article><p>{LONG}</p></article><article class='comment-body'><p>{LONG}</p></article>") == LONG
+
+
+def test_text_beside_an_article_does_not_outweigh_it():
+    assert extract.main_text(f"<article><p>{LONG}</p></article><div class='related'>" + f"<p>{LONG}</p>" * 9 + "</div>") == LONG
+
+
+def test_other_languages():
+    polish = ("Wczoraj wieczorem dzieci poszły nad rzekę, żeby zobaczyć statki, które wracały z dalekiej podróży. "
+              "Nikt nie wiedział, kiedy przypłyną następne.")
+    chinese = "昨天晚上孩子们到河边去看从远方回来的船。没有人知道下一艘船什么时候会到，所以他们在那里等了很久。"
+    for text in (polish, chinese):
+        page = f"<body><div class='menu'><a href=x>{text}</a></div><div><p>{text}</p><p>Ok.</p><p>{text}</p></div></body>"
+        assert extract.main_text(page) == f"{text} Ok. {text}"
+
+
+def walked(blocks):
+    """The second pass by walking to the neighbours."""
+    first = [b.label for b in blocks]
+
+    def neighbour(i, step):
+        k = i + step
+        while 0 <= k < len(blocks):
+            inside = blocks[i].region > 0
+            if first[k] in ("good", "bad") and (not inside or blocks[k].region == blocks[i].region and not blocks[k].bad):
+                return first[k], abs(k - i)
+            k += step
+        return None, 0
+
+    out = []
+    for i, b in enumerate(blocks):
+        (before, d1), (after, d2) = neighbour(i, -1), neighbour(i, 1)
+        if first[i] in ("good", "bad"):
+            out.append(first[i])
+        elif first[i] == "near":
+            out.append("bad" if b.region <= 0 and before == "bad" and after == "bad" else "good")
+        elif b.region > 0:
+            out.append("bad" if {before, after} in ({"bad"}, {"bad", None}) else "good")
+        elif b.heading and after:
+            out.append(after)
+        elif before is None or after is None:
+            out.append("bad")
+        elif before == after:
+            out.append(before)
+        else:
+            out.append(after if d2 < d1 else before if d1 < d2 else "bad")
+    return out
+
+
+def test_second_pass_against_walking():
+    rnd = random.Random(5)
+    for _ in range(3000):
+        blocks = []
+        for _ in range(rnd.randint(1, 14)):
+            b = extract.Block(rnd.random() < 0.2, rnd.choice((0, 0, 1, 2)), 0, rnd.random() < 0.2)
+            b.label = "bad" if b.bad else rnd.choice(("good", "bad", "near", "short", "short"))
+            blocks.append(b)
+        want = walked(blocks)
+        extract.second_pass(blocks)
+        assert [b.label for b in blocks] == want
+
+
+def test_many_blocks_take_linear_time():
+    for page in ("<p>few words</p>" * 100_000, "<div class=nav>" * 50_000 + "x" + "</div>" * 50_000,
+                 "<b><i>" * 50_000 + "</p></u>" * 50_000, "<article>" + "<p>few words</p>" * 100_000):
+        start = time.process_time()
+        extract.main_text(page)
+        assert time.process_time() - start < 8
+
+
+def test_clashing_names(spark):
+    pages = spark.createDataFrame([(1, "u", f"<p>{LONG}</p>", "a", "b", 3)],
+                                  "page_id long, url string, html string, c0 string, r_text string, n_chars long")
+    assert [tuple(r) for r in extract.extract_main_text(pages).collect()] == [(1, "u", LONG, len(LONG))]
