@@ -18,7 +18,8 @@ and refer to it.
 Files are written by Spark's text writer, gzipped, with the record separator as line
 separator, into the shared folder, one file a task.  They are read as a stream of lines in
 Spark's tasks, so that a task holds a batch of lines and one record, however large the
-file.  Payloads are bytes; they need not be UTF-8.
+file.  Spark never splits a gzipped file.  It does split plain ones, at any byte: their lines are brought
+together by file and sorted by split and place first.  Payloads are bytes; they need not be UTF-8.
 
 Cases: a null page is an empty payload, a null URL becomes ``http://page.invalid/``,
 blanks in URLs are escaped, equal largest ids are settled by the record id, null ids
@@ -125,8 +126,14 @@ class Lines:
 
 def read_files(spark: SparkSession, path: str, parse, schema: str) -> DataFrame:
     """``parse(name, Lines)`` gives the rows of each archive below ``path``."""
-    src = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_name").alias("name"), F.col("value").cast("binary").alias("line"))
+    lines = spark.read.option("lineSep", "\n").text(path)
+    name, line = F.col("_metadata.file_path").alias("name"), F.col("value").cast("binary").alias("line")
+    zipped = F.col("_metadata.file_path").endswith(".gz")
+    # ids rise inside a split, also where a task reads several
+    plain = lines.where(~zipped).select(name, line, F.col("_metadata.file_block_start").alias("split"),
+                                        F.monotonically_increasing_id().alias("place"))
+    plain = plain.repartition("name").sortWithinPartitions("name", "split", "place").select("name", "line")
+    src = lines.where(zipped).select(name, line)
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +163,7 @@ def read_files(spark: SparkSession, path: str, parse, schema: str) -> DataFrame:
 
     simple = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
     run.types = [simple[f.split()[1]] for f in schema.split(", ")]
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).unionAll(plain.mapInArrow(run, schema))
 
 
 def batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:

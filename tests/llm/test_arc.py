@@ -73,3 +73,23 @@ def test_warc_files_are_whole(spark, sf):
     assert back.where("type in ('response', 'revisit')").count() == pages.count()
     assert back.where("type = 'warcinfo'").count() >= 1
     assert spark.read.text(w, wholetext=True).first()[0].startswith("WARC/1.1\r\nWARC-Type: ")
+
+
+def test_plain_files_are_read_whole_however_they_are_split(spark, tmp_path):
+    said = b"2 0 org\n" + arc.ARC_FIELDS[2].encode() + b"\n"
+    want = set()
+    for f in range(3):
+        data = b"filedesc://a 0.0.0.0 20010203040506 text/plain 200 - - 0 a.arc %d\n%s\n" % (len(said), said)
+        for i in range(300):
+            body = b"HTTP/1.0 200 OK\r\n\r\n" + b"line %d of %d\n" % (i, f) * (i % 50)
+            data += b"http://x/%d/%d 1.2.3.4 20010203040506 text/html 200 s - 77 a.arc %d\n%s\n" % (f, i, len(body), body)
+            want.add((f"http://x/{f}/{i}", body[19:], False))
+        (tmp_path / f"{f}.arc").write_bytes(data)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        rows = arc.read_arc(spark, f"file://{tmp_path}").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert {(r.uri, bytes(r.payload), r.truncated) for r in rows if r.type == "response"} == want
+    assert len(rows) == 903 and {r.arc_version for r in rows} == {2}
