@@ -1,10 +1,11 @@
 """Licence scans by a trained paragraph classifier, in DataFrame functions only.
 
-A paragraph is a line of a document, or a notice wrapped over up to ``WRAPPED`` lines without a
-blank one (no letter or digit, such as a bare comment mark) between them: the shortest runs of
-lines that together, but not without the first or the last, hold ``similarity`` or more of the
-pairs of a template and its marks are joined and are one paragraph, numbered by its first line.
-Its lines are none then, but those that are a notice by themselves.
+A paragraph is a line of a document, or a notice wrapped over several lines without a blank one
+(no letter or digit, such as a bare comment mark) between them, wherever its lines break: from each
+line on, the words up to ``STRETCH`` times those of a template are compared with it; if they hold
+``similarity`` or more of its word pairs and all its marks, the lines up to the last of these pairs
+are a run.  Of runs of a family that overlap, the one with most pairs stands, the shortest of equals;
+its lines are joined and are one paragraph, numbered by its first line.  Its lines are none then.
 Features of a paragraph are its distinct words and word pairs.
 A sparse multinomial logistic regression (L1 penalty) is trained on licence notices in
 many worn forms (words dropped, cut off, set among other text), on notices of licences
@@ -19,7 +20,8 @@ Scoring reads every paragraph.  The weights tell which terms a paragraph must ha
 to be classified as a licence at all (``LicenseModel.cue``); a pattern finds these
 paragraphs, and only they are cut into terms and looked up in the weights (a literal of
 ``VOCABULARY`` terms at most).  Paragraphs are scored in their own rows, without a shuffle;
-only what is found is grouped by document.  The fit uses ``BACKGROUND`` paragraphs of the corpus at most.
+only what is found is grouped by document.  The fit uses ``BACKGROUND`` paragraphs of the corpus at
+most, lines of 2000 characters or more not among them.
 
 Cases: null and empty documents have no licences; a line of any length is one paragraph;
 repeated rows are reported apiece; an empty table gives no rows (and no background is
@@ -33,7 +35,7 @@ import math
 import re
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
+from operator import add, or_
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
@@ -46,7 +48,7 @@ from carelake.llm.common import col, staged
 VOCABULARY = 4096
 BACKGROUND = 3000
 WORN = 24  # worn forms of each notice
-WRAPPED = 12  # lines; the longest template takes eight at 30 characters a line
+STRETCH = 1.5  # words of a wrapped notice, as a multiple of its template's
 FILLED = r"[\p{L}\p{N}]"
 
 #: fixed values: wording of common licence notices, by family
@@ -58,6 +60,7 @@ NOTICES = {
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction.",
+        "SPDX-License-Identifier: MIT",
     ],
     "Apache-2.0": [
         "Under the Apache License, Version 2.0.",
@@ -65,6 +68,7 @@ NOTICES = {
         "Released under the Apache License 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance "
         "with the License.",
+        "SPDX-License-Identifier: Apache-2.0",
     ],
     "GPL-3.0": [
         "Under the GNU General Public License, version 3.",
@@ -72,20 +76,25 @@ NOTICES = {
         "Released under the GNU General Public License v3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License.",
+        "SPDX-License-Identifier: GPL-3.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "BSD-3-Clause": [
         "Under the BSD 3-Clause License.",
         "Licensed under the BSD 3-Clause License.",
         "Released under the BSD license.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+        "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "CC-BY-NC-4.0": [
         "Licensed under CC BY-NC 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
+        "SPDX-License-Identifier: CC-BY-4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ],
     "proprietary": [
@@ -108,6 +117,13 @@ NOTICES = {
         "Licensed under the GNU General Public License, version 2.",
         "Licensed under the GNU Lesser General Public License, version 3.",
         "Licensed under the GNU Affero General Public License, version 3.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met.",  # of BSD licences with two, three and four clauses
+        "SPDX-License-Identifier: ISC",
+        "SPDX-License-Identifier: MPL-2.0",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "SPDX-License-Identifier: BSD-2-Clause",
         "Licensed under CC BY-SA 4.0.",
         "Licensed under CC BY-ND 4.0.",
         "Licensed under CC BY-NC-SA 4.0.",
@@ -116,10 +132,10 @@ NOTICES = {
 }
 #: word pairs that name the family itself; a template that has them confirms only with all of its own
 MARKS = {
-    "MIT": {"mit license", "deal in"},
-    "Apache-2.0": {"apache license", "version 2", "license 2"},
-    "GPL-3.0": {"gnu general", "general public", "version 3", "license v3"},
-    "BSD-3-Clause": {"bsd 3", "3 clause", "bsd license", "binary forms"},
+    "MIT": {"mit license", "deal in", "identifier mit"},
+    "Apache-2.0": {"apache license", "version 2", "license 2", "identifier apache", "apache 2"},
+    "GPL-3.0": {"gnu general", "general public", "version 3", "license v3", "identifier gpl", "gpl 3"},
+    "BSD-3-Clause": {"bsd 3", "3 clause", "bsd license", "its contributors", "endorse or"},
     "CC-BY-NC-4.0": {"cc by", "by nc", "nc 4", "attribution noncommercial", "noncommercial 4"},
     "CC-BY-4.0": {"cc by", "by 4", "commons attribution", "attribution 4"},
     "proprietary": {"all rights", "rights reserved"},
@@ -161,73 +177,108 @@ def paragraphs(docs: DataFrame, doc_id: str, text: str, similarity: float | None
     # few documents hold the marks of a notice at all; the others' lines are taken as they are
     keep = ["rid", "doc_id", "n_paragraphs", "lines"]
     src = src.select("rid", "doc_id", filled, "lines", (
-        (F.size("lines") > 1) & F.lower("t").rlike(marks_pattern())).alias("marked"))
-    # lines that are a notice by themselves stay so, and leave no words to a run
-    src = src.select(*keep, F.when(F.col("marked"), F.transform("lines", lambda x: F.when(
-        F.size(families_of(x, similarity)) > 0, "x").otherwise(x))).alias("open"))
-    keep.append("open")
-    src = src.select(*keep, F.when(F.col("open").isNotNull() & F.lower(F.array_join("open", "\n")).rlike(marks_pattern()),
-                                   notices_at(F.col("open"), similarity)).alias("at"))
-    src = src.select(*keep, F.when(F.col("at").isNotNull(), shortest(F.col("at"))).alias("runs"))
-    inside = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.filter(
-        F.sequence(r["start"], r["end"] - 1), lambda i: F.get("lines", i) == F.get("open", i)))))
+        (F.size("lines") > 1) & hinted(F.lower("t")) & F.lower("t").rlike(marks_pattern())).alias("marked"))
+    src = src.select(*keep, F.when(F.col("marked"), notices_at(F.col("lines"), similarity)).alias("at"))
+    src = src.select(*keep, F.when(F.col("at").isNotNull(), F.filter(
+        fullest(F.col("at")), lambda r: r["end"] - r["start"] > 1)).alias("runs"))
+    inside = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["start"], r["end"] - 1))))
     src = src.select(*keep, "runs", F.when(F.size("runs") > 0, inside).alias("inside"))
     rest = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("inside"))
     joined = F.concat(
         F.transform(rest, lambda i: F.struct(i.alias("paragraph"), F.get("lines", i).alias("line"))),
         F.transform("runs", lambda r: F.struct(r["start"].alias("paragraph"), F.array_join(
-            F.slice("open", r["start"] + 1, r["end"] - r["start"]), " ").alias("line"))))
+            F.slice("lines", r["start"] + 1, r["end"] - r["start"]), " ").alias("line"))))
     alone = F.transform("lines", lambda x, i: F.struct(i.alias("paragraph"), x.alias("line")))
     row = F.array(F.struct(F.size("lines").alias("paragraph"), F.lit(None).cast("string").alias("line")))
     return src.select("rid", "doc_id", "n_paragraphs", F.inline(
         F.concat(F.when(F.col("inside").isNotNull(), joined).otherwise(alone), row)))
 
 
+def longest_marks() -> list[str]:
+    """Of each template's marks, the longest; a text without any of them holds no notice."""
+    return sorted({max(marks, key=lambda m: (len(m), m)) for _, _, marks, _ in templates()})
+
+
 def marks_pattern() -> str:
-    """Of a template's marks, the longest; a text without any of them holds no notice."""
-    longest = sorted({max(marks, key=len) for _, _, marks in templates()})
-    return "|".join(rf"(?<!{FILLED})" + p.replace(" ", r"[^\p{L}\p{N}]+") + rf"(?!{FILLED})" for p in longest)
+    return "|".join(rf"(?<!{FILLED})" + p.replace(" ", r"[^\p{L}\p{N}]+") + rf"(?!{FILLED})" for p in longest_marks())
+
 
+def hinted(lower: Column) -> Column:
+    """True where ``marks_pattern`` can match at all, by plain searches for the longest word of each mark."""
+    words = {max(m.split(" "), key=len) for m in longest_marks()}
+    plain = [lower.contains(w) for w in sorted(words) if len(w) > 3 and not any(v in w for v in words if v != w)]
+    short = [m for m in longest_marks() if len(max(m.split(" "), key=len)) <= 3]
+    return reduce(or_, plain + [lower.rlike(m.replace(" ", r"[^\p{L}\p{N}]+")) for m in short])
 
-def families_of(text: Column, similarity: float) -> Column:
-    """The families of which ``text`` holds a template."""
-    def held(pairs: Column) -> Column:
-        marked = F.filter(template_literal(), lambda t: F.forall(t["marks"], lambda m: F.array_contains(pairs, m)))
-        alike = F.filter(marked, lambda t: F.size(F.array_intersect(pairs, t["pairs"])) >= similarity * F.size(t["pairs"]))
-        return F.array_distinct(F.transform(alike, lambda t: t["family"]))
 
-    # transforms of one element, so that words and pairs are made once
-    families = F.get(F.transform(F.array(words_of(text)), lambda w: F.get(F.transform(F.array(pairs_of(w)), held), 0)), 0)
-    return F.when(F.lower(text).rlike(marks_pattern()), families).otherwise(F.array().cast("array<string>"))
+def span() -> int:
+    """The most words that a wrapped notice can take, and so the most lines."""
+    return max(words for *_, words in templates())
 
 
 def notices_at(lines: Column, similarity: float) -> Column:
-    """For each line, the runs of lines (start, end, family) from there that hold a template."""
-    def runs(i: Column) -> Column:
-        ahead = F.slice(lines, i + 1, WRAPPED)
-        return F.when((F.size(ahead) > 1) & F.lower(F.array_join(ahead, " ")).rlike(marks_pattern()), F.flatten(
-            F.transform(F.sequence(F.lit(2), F.size(ahead)), lambda n: run(i, n)))).otherwise(none)
-
-    def run(i: Column, n: Column) -> Column:
-        part = F.slice(lines, i + 1, n)
-        return F.when(F.forall(part, lambda x: x.rlike(FILLED)), F.transform(
-            families_of(F.array_join(part, " "), similarity), lambda f: F.struct(
-                i.alias("start"), (i + n).alias("end"), f.alias("family")))).otherwise(none)
-
-    none = F.array().cast("array<struct<start:int,end:int,family:string>>")
-    return F.transform(F.sequence(F.lit(0), F.size(lines) - 1), runs)
-
-
-def shortest(at: Column) -> Column:
-    """The runs of several lines that hold no other of their family, without those that overlap an earlier one."""
-    def least(c: Column) -> Column:
-        near = F.flatten(F.slice(at, c["start"] + 1, c["end"] - c["start"]))
-        return ~F.exists(near, lambda d: (d["family"] == c["family"]) & (
-            d["end"] <= c["end"]) & ((d["start"] > c["start"]) | (d["end"] < c["end"])))
-
-    few = F.lit(len(NOTICES) * WRAPPED)
+    """For each line, the runs of lines (start, end, family, held) from there that hold a template."""
+    def tokens(x: Column, i: Column) -> Column:
+        found = F.transform(words_of(x), lambda w: F.struct(w.alias("word"), i.alias("line")))
+        return F.when(F.size(found) > 0, found).otherwise(F.array(F.struct(F.lit("").alias("word"), i.alias("line"))))
+
+    def from_here(ahead: Column) -> Column:
+        """The runs from the first word of ``ahead``, which ends before a blank line."""
+        pairs = F.transform(F.sequence(F.lit(0), F.size(ahead) - 2), lambda i: F.struct(
+            F.concat_ws(" ", F.get(ahead, i)["word"], F.get(ahead, i + 1)["word"]).alias("pair"), i.alias("at"),
+            F.get(ahead, i + 1)["line"].alias("line")))
+        text = F.array_join(F.transform(ahead, lambda w: w["word"]), " ")
+        start = F.get(ahead, 0)["line"]
+        return F.when((F.size(ahead) > 1) & text.rlike(marks_pattern()), F.get(F.transform(F.array(pairs), lambda p: F.filter(
+            F.transform(template_literal(), lambda t: run(p, t, start)), lambda r: (
+                r["held"] >= similarity * r["size"]) & r["marked"])), 0)).otherwise(none)
+
+    def run(pairs: Column, t: Column, start: Column) -> Column:
+        own = F.filter(F.slice(pairs, F.lit(1), t["words"] - 1), lambda p: F.array_contains(t["pairs"], p["pair"]))
+        return F.get(F.transform(F.array(own), lambda o: F.get(F.transform(F.array(F.transform(
+            o, lambda p: p["pair"])), lambda names: held(o, names, t, start)), 0)), 0)
+
+    def held(own: Column, names: Column, t: Column, start: Column) -> Column:
+        distinct = F.array_distinct(names)
+        # the last pair that was not there before, and one that follows it at once
+        last = F.array_max(F.transform(distinct, lambda x: F.get(own, (F.array_position(names, x) - 1).cast("int"))["at"]))
+        end = F.array_max(F.transform(F.filter(own, lambda p: p["at"] <= last + 1), lambda p: p["line"])) + 1
+        return F.struct(start.alias("start"), end.alias("end"), t["family"].alias("family"), F.size(distinct).alias("held"),
+                        F.size(t["pairs"]).alias("size"),
+                        F.forall(t["marks"], lambda m: F.array_contains(distinct, m)).alias("marked"))
+
+    none = F.array().cast("array<struct<start:int,end:int,family:string,held:int,size:int,marked:boolean>>")
+    blank = F.array(F.struct(F.lit("").alias("word"), F.lit(-1).alias("line")))
+
+    def first_words(found: Column) -> Column:
+        """The runs of each line, from the words of the whole text."""
+        own = F.transform(found, lambda ws: F.size(ws))
+        words = F.flatten(found)
+        starts = F.aggregate(own, F.array(F.lit(1)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+        return F.get(F.transform(F.array(F.struct(words.alias("words"), starts.alias("starts"))), lambda d: F.transform(
+            F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.get(F.transform(F.array(F.concat(F.slice(
+                d["words"], F.get(d["starts"], i), span()), blank)), lambda x: from_here(F.slice(x, F.lit(1), (
+                    F.array_position(F.transform(x, lambda w: w["word"]), "") - 1).cast("int")))), 0))), 0)
+
+    return F.get(F.transform(F.array(F.transform(lines, tokens)), first_words), 0)
+
+
+def fullest(at: Column) -> Column:
+    """Of runs of a family that overlap, the one that holds most pairs (the shortest, then the first of
+    equals), without those that overlap an earlier one still; a run of class unknown gives way to any
+    that holds as many pairs."""
+    def stands(c: Column) -> Column:
+        back = F.greatest(c["start"] - span(), F.lit(0))
+        near = F.flatten(F.slice(at, back + 1, c["end"] - back))
+        return ~F.exists(near, lambda d: ((d["family"] == c["family"]) | (c["family"] == "unknown")) & (
+            d["end"] > c["start"]) & (
+            F.struct(-d["held"], d["family"] == "unknown", d["end"] - d["start"], d["start"]) < F.struct(
+                -c["held"], c["family"] == "unknown", c["end"] - c["start"], c["start"])))
+
+    few = F.lit(len(NOTICES) * span())
     return F.aggregate(
-        F.filter(F.flatten(at), least), F.array().cast("array<struct<start:int,end:int,family:string>>"),
+        F.filter(F.flatten(at), stands),
+        F.array().cast("array<struct<start:int,end:int,family:string,held:int,size:int,marked:boolean>>"),
         lambda a, c: F.when(F.exists(F.slice(a, F.greatest(F.size(a) - few, F.lit(0)) + 1, few), lambda d: (
             d["family"] == c["family"]) & (d["end"] > c["start"])), a).otherwise(F.concat(a, F.array(c))))
 
@@ -243,22 +294,22 @@ def similarity_to(words: Column, templates: Column, family: Column | None = None
                        F.lit(0.0), lambda a, x: F.greatest(a, x))
 
 
-def templates() -> list[tuple[str, list[str], list[str]]]:
-    """family, word pairs and marks of each notice."""
+def templates() -> list[tuple[str, list[str], list[str], int]]:
+    """family, word pairs and marks of each notice, and the words that it may be spread over."""
     out = []
     for family, notices in NOTICES.items():
         for n in notices:
             w = re.findall(r"[^\W_]+", n.lower())
             pairs = sorted({f"{a} {b}" for a, b in zip(w, w[1:], strict=False)})
-            named = MARKS.get(family) or {p for p in pairs if re.search(r" (un)?licen[cs]e$|^(public|cc|gnu) ", p)}
-            out.append((family, pairs, [p for p in pairs if p in named]))
+            named = MARKS.get(family) or {p for p in pairs if re.search(r" (un)?licen[cs]e$|^(public|cc|gnu|identifier|binary) ", p)}
+            out.append((family, pairs, [p for p in pairs if p in named], math.ceil(STRETCH * len(w))))
     return out
 
 
 def template_literal() -> Column:
     return F.array(*[F.struct(F.lit(family).alias("family"), F.array(*map(F.lit, pairs)).alias("pairs"),
-                              F.array(*map(F.lit, marks)).cast("array<string>").alias("marks"))
-                     for family, pairs, marks in templates()])
+                              F.array(*map(F.lit, marks)).cast("array<string>").alias("marks"), F.lit(words).alias("words"))
+                     for family, pairs, marks, words in templates()])
 
 
 def examples(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -415,7 +466,7 @@ def brute_force(model: LicenseModel, line: str, least: float = 0.6, similarity:
         return None
     k = max(range(len(FAMILIES)), key=lambda i: p[i])
     alike = 0.0
-    for family, pairs, marks in templates():
+    for family, pairs, marks, _ in templates():
         if family == FAMILIES[k] and terms.issuperset(marks):
             alike = max(alike, len(terms.intersection(pairs)) / len(pairs))
     return FAMILIES[k] if p[k] >= least and alike >= similarity else "unknown"

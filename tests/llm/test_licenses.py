@@ -65,7 +65,7 @@ def test_every_notice_of_a_family_is_confirmed(model):
     for family in licenses.FAMILIES:
         for notice in licenses.NOTICES[family]:
             assert licenses.brute_force(model, notice) == family, notice
-    assert all(marks for family, _, marks in licenses.templates() if family != "unknown")
+    assert all(marks for family, _, marks, _ in licenses.templates() if family != "unknown")
 
 
 MIT_HEADER = """\
@@ -94,3 +94,30 @@ def test_wrapped_notices(spark, model):
     assert "GPL-3.0" not in got[3][1] and got[4] == (2, "GPL-3.0,proprietary") and got[5] == (2, "GPL-3.0")
     assert got[6] == (1, "Apache-2.0") and "Apache-2.0" not in got[7][1] and got[8] == (40, "MIT")
     assert [r.paragraph in (1, 2) for r in found.where("doc_id = 2 and confirmed").collect()] == [True]
+
+
+def test_notices_are_found_wherever_their_lines_break(spark, model):
+    texts, want = [], []
+    for family in licenses.FAMILIES:
+        for notice in licenses.NOTICES[family]:
+            words = notice.split(" ")
+            if len(words) > 3:
+                for width in (1, *range(3, len(words) + 1)):
+                    texts.append("\n".join("# " + " ".join(words[i:i + width]) for i in range(0, len(words), width)))
+                    want.append(family)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_licenses, r.licenses) for r in licenses.per_document(licenses.scan(docs, model)).collect()}
+    assert {t: got[i] for i, t in enumerate(texts) if got[i] != (1, want[i])} == {}
+
+
+def test_clauses_and_identifiers(spark, model):
+    two = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that "
+           "the following conditions\nare met:")
+    three = ("Neither the name of the copyright holder nor the names of its\ncontributors may be used to endorse or promote "
+             "products derived from\nthis software without specific prior written permission.")
+    texts = [two, f"{two}\n\n{three}", "// SPDX-License-Identifier: MIT\nint x;", "# SPDX-License-Identifier: Apache-2.0",
+             "SPDX-License-Identifier: GPL-3.0-or-later", "SPDX-License-Identifier: ISC", "SPDX-License-Identifier: GPL-2.0-only"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.per_document(licenses.scan(docs, model)).collect()}
+    assert "BSD-3-Clause" not in got[0] and "BSD-3-Clause" in got[1]
+    assert [got[i] for i in range(2, 7)] == ["MIT", "Apache-2.0", "GPL-3.0", "unknown", "unknown"]
