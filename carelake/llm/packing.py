@@ -24,6 +24,7 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 import zlib
@@ -50,15 +51,18 @@ class WordCache:
 
     The tokenizer never joins what white space separates, nor letters and a closing mark,
     and lower-cases: the ids of a text are those of its space- and newline-separated words
-    in order, and ``Word,`` has those of ``word`` and ``,``.  What words give is kept.
-    New words are encoded together, with a special token between them.
+    in order, and ``Word,`` has those of ``word`` and ``,``.  What words give is kept, in two
+    generations: a full one becomes the older one, and words that are met again move to the
+    younger, so that frequent words are never encoded anew.  New words are encoded together,
+    with a special token between them.
     """
 
-    MARKS = frozenset(".,;:!?")
+    #: letters whose lower case is one letter, and a closing mark
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)").fullmatch
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok, self.most, self.known = Tokenizer.from_file(path), most, {"": b""}
+        self.tok, self.most, self.known, self.older = Tokenizer.from_file(path), most, {"": b""}, {}
         self.special = next((t.content for t in self.tok.get_added_tokens_decoder().values() if t.special), None)
         self.mark = self.tok.token_to_id(self.special) if self.special else None
 
@@ -70,31 +74,43 @@ class WordCache:
             kept.__dict__[path] = cls(path)
         return kept.__dict__[path]
 
+    def ids_of(self, text: str) -> np.ndarray:
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
     def encode(self, words: list[str]) -> None:
         plain = [w for w in words if self.special and "<" not in w]
-        for i in range(0, len(plain), 2000):
-            part = plain[i:i + 2000]
-            ids = np.asarray(self.tok.encode(self.special.join(part), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.mark)
+        for i in range(0, len(plain), 250):
+            part = plain[i:i + 250]
+            ids = self.ids_of(self.special.join(part))
+            cuts = (4 * np.flatnonzero(ids == self.mark)).tolist()
             data = ids.tobytes()
-            for w, start, end in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-                self.known[w] = data[4 * start:4 * end]
-        for w in words:
-            if w not in self.known:
-                self.known[w] = np.asarray(self.tok.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            for w, start, end in zip(part, [0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True):
+                self.known[w] = data[start:end]
+        if len(plain) < len(words):
+            for w in words:
+                if w not in self.known:
+                    self.known[w] = self.ids_of(w).tobytes()
 
     def learn(self, words: list[str]) -> None:
-        known, forms, new = self.known, {}, {}
+        """Put ``words`` into the younger generation."""
+        known, older, plain = self.known, self.older, self.PLAIN
+        forms, new = [], {}
         for w in words:
-            core, tail = (w[:-1], w[-1]) if w[-1] in self.MARKS else (w, "")
-            if core.isalpha() and max(core) <= "\u00ff":  # where lower case is one letter for one
-                core = core.lower()
-            else:
-                core, tail = w, ""
-            forms[w] = core, tail
-            new.update((x, None) for x in (core, tail) if x not in known)
+            if (ids := older.get(w)) is not None:
+                known[w] = ids
+                continue
+            m = plain(w)
+            core, tail = (m[1].lower(), m[2]) if m else (w, "")
+            if core != w:
+                forms.append((w, core, tail))
+            for x in (core, tail):
+                if x not in known:
+                    if (ids := older.get(x)) is not None:
+                        known[x] = ids
+                    else:
+                        new[x] = None
         self.encode(list(new))
-        for w, (core, tail) in forms.items():
+        for w, core, tail in forms:
             known[w] = known[core] + known[tail]
 
     def ids(self, text: str) -> bytes:
@@ -103,7 +119,7 @@ class WordCache:
         new = [w for w in dict.fromkeys(words) if w not in self.known]
         if new:
             if len(self.known) + len(new) > self.most:
-                self.known = {"": b""}
+                self.known, self.older = {"": b""}, self.known
                 new = [w for w in dict.fromkeys(words) if w]
             self.learn(new)
         return b"".join(map(self.known.__getitem__, words))
