@@ -12,7 +12,8 @@ from carelake.llm.common import staged, table
 
 
 def op1_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return winnow.fingerprint_neighbours(table(spark, sf_dir, "documents"), k=32, window=64)
+    return winnow.fingerprint_neighbours(table(spark, sf_dir, "documents"), k=16, window=64, short=512,
+                                         short_window=16)
 
 
 def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
