@@ -17,6 +17,12 @@ coordinate of a first random pivot splits every key further into cells of
 Within a cell the table of the remaining pivots discards pairs by their maximum
 coordinate difference, and the survivors are verified by their differing bits.
 
+Crowded cells.  In a cell of more than ``CROWD`` rows the bits outside its two blocks are
+cut into ``max_bits + 2`` blocks again, and each pair of these is a key: a linked pair agrees
+in one of them at least.  What is still crowded is dealt to parts of ``CROWD / 2`` rows by
+hash, and each pair of parts is one unit.  So no unit is much above ``CROWD`` rows, and no
+link is lost.
+
 Scale.  Only distinct fingerprints are searched.  A cell gives links that span its
 linked fingerprints, not all pairs; components come from alternating star contractions
 of the link table, written to the shared folder after each round.  No fingerprints,
@@ -46,6 +52,7 @@ LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 RESULT = T.StructType([T.StructField("fp", T.LongType())])
 LINKS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 PIVOTS = 16
+CROWD = 2048  # rows of a cell that one task compares
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -88,16 +95,21 @@ def pivots() -> np.ndarray:
     return np.random.default_rng(64).integers(0, 1 << 64, PIVOTS, dtype=np.uint64)
 
 
-def blocks(max_bits: int) -> list[int]:
-    """Bit masks of ``max_bits + 2`` blocks."""
-    edges = [64 * i // (max_bits + 2) for i in range(max_bits + 3)]
-    return [(1 << b) - (1 << a) for a, b in itertools.pairwise(edges)]
+def signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def block_pairs(max_bits: int, left: int = (1 << 64) - 1) -> list[int]:
+    """Bit masks of the pairs of ``max_bits + 2`` blocks of the bits that ``left`` has set."""
+    bits = [1 << b for b in range(64) if left >> b & 1]
+    edges = [len(bits) * i // (max_bits + 2) for i in range(max_bits + 3)]
+    return [sum(bits[a:b]) | sum(bits[c:d])
+            for (a, b), (c, d) in itertools.combinations(itertools.pairwise(edges), 2)]
 
 
 def cells(distinct: DataFrame, max_bits: int) -> DataFrame:
-    """(key, cell, fp, home): every fingerprint under each pair of blocks, at home and as a guest."""
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    masks = [a | b for a, b in itertools.combinations(blocks(max_bits), 2)]
+    """(band, bits, cell, home, fp): every fingerprint under each pair of blocks, at home and as a guest."""
+    masks = block_pairs(max_bits)
     keys = F.array(*[F.struct(F.lit(i).alias("band"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits"))
                      for i, m in enumerate(masks)])
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(int(pivots()[0])))))
@@ -140,10 +152,31 @@ def linked_within(group: np.ndarray, home: np.ndarray, fp: np.ndarray, max_bits:
     return out
 
 
+def units(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """(k, home, fp): what is compared under one key ``k``; crowded cells are cut into several."""
+    every = (1 << 64) - 1
+    finer = F.array(*[F.array(*[F.lit(signed(m)) for m in block_pairs(max_bits, every ^ mask)])
+                      for mask in block_pairs(max_bits)])
+    placed = cells(distinct, max_bits).select(F.xxhash64("band", "bits", "cell").alias("k"), "band", "home", "fp")
+    crowded = lambda df: df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD)
+
+    counted = placed.join(crowded(placed), "k", "left")
+    cut = counted.where("n is not null").select(
+        "k", "home", "fp", F.posexplode(F.element_at(finer, F.col("band") + 1)).alias("part", "mask")).select(
+        F.xxhash64("k", "part", F.col("fp").bitwiseAND(F.col("mask"))).alias("k"), "home", "fp")
+    recounted = cut.join(crowded(cut), "k", "left")
+    parts = F.ceil(F.col("n") * 2 / CROWD).cast("long")
+    dealt = recounted.where("n is not null").select(
+        "k", "home", "fp", F.pmod(F.xxhash64("k", "fp"), parts).alias("own"),
+        F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other")).select(
+        F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other")).alias("k"), "home", "fp")
+    return counted.where("n is null").select("k", "home", "fp").unionByName(
+        recounted.where("n is null").select("k", "home", "fp")).unionByName(dealt)
+
+
 def links(distinct: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b): links between distinct fingerprints that span every linked group of each cell."""
-    placed = cells(distinct, max_bits)
-    keyed = placed.select(F.xxhash64("band", "bits", "cell").alias("k"), "home", "fp")
+    """(a, b): links between distinct fingerprints that span every linked group of each unit."""
+    keyed = units(distinct, max_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None

@@ -39,6 +39,32 @@ def test_links_keep_every_component():
         assert len(found) == len(fp) - len(set(want))
 
 
+def test_crowded_cells_are_cut_and_keep_every_component(spark, monkeypatch):
+    rnd = random.Random(9)
+    base = rnd.getrandbits(64)
+    prints = {base ^ sum(1 << b for b in rnd.sample(range(26), rnd.randint(0, 9))) for _ in range(500)}
+    for _ in range(150):
+        f = rnd.choice(sorted(prints))
+        prints.add(f ^ 1 << rnd.randrange(64) ^ 1 << rnd.randrange(64) ^ 1 << rnd.randrange(64))
+    prints |= {rnd.getrandbits(64) for _ in range(200)}
+    prints = sorted(prints)
+    table = spark.createDataFrame([(simhash.signed(p),) for p in prints], "fp long")
+    whole = simhash.units(table, 3).groupBy("k").count().agg({"count": "max"}).first()[0]
+    monkeypatch.setattr(simhash, "CROWD", 24)
+    largest = simhash.units(table, 3).groupBy("k").count().agg({"count": "max"}).first()[0]
+    assert whole > 300 and largest <= 60
+    found = [(prints.index(r.a & (1 << 64) - 1), prints.index(r.b & (1 << 64) - 1))
+             for r in simhash.links(table, 3).collect()]
+    assert all((prints[a] ^ prints[b]).bit_count() <= 3 for a, b in found)
+    root = list(range(len(prints)))
+    for a, b in found:
+        old, new = root[b], root[a]
+        root = [new if r == old else r for r in root]
+    want = simhash.brute_force(list(range(len(prints))), prints)
+    assert len(set(root)) == len(set(want))
+    assert all((root[i] == root[j]) == (want[i] == want[j]) for i in range(len(root)) for j in range(i))
+
+
 def test_near_duplicates_match_brute_force(spark):
     rnd = random.Random(6)
     words = [f"w{i}" for i in range(400)]
