@@ -158,7 +158,9 @@ def units(distinct: DataFrame, max_bits: int) -> DataFrame:
     finer = F.array(*[F.array(*[F.lit(signed(m)) for m in block_pairs(max_bits, every ^ mask)])
                       for mask in block_pairs(max_bits)])
     placed = cells(distinct, max_bits).select(F.xxhash64("band", "bits", "cell").alias("k"), "band", "home", "fp")
-    crowded = lambda df: df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD)
+
+    def crowded(df: DataFrame) -> DataFrame:  # written, so that the planner knows its size before it joins
+        return staged(df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD), "crowded")
 
     counted = placed.join(crowded(placed), "k", "left")
     cut = counted.where("n is not null").select(
