@@ -10,11 +10,17 @@ write.  Over data already landed they become a validation job:
   row rules of a table are evaluated in **one** pass over it.  A NULL
   predicate passes, as a CHECK does.
 * unique / primary key: rows whose non-NULL key occurs more than once.
-  Keys are counted with map-side partial aggregation; only repeated ones
-  are joined back to their rows.
+  Keys are counted with map-side partial aggregation.  A repeated primary
+  key is the record key already and comes once per counted row; other
+  repeated keys are joined back to their rows.
 * foreign key: non-NULL references with no target, one anti join each on
   the native key type.
 * specialty cardinality: doctors with 0 or more than 5 specialties.
+
+What a key count or an anti join finds is rebalanced before the union.
+Each of them so is a stage of its own, which AQE deals over all cores by
+its own size.  In the union's stage the cores would be shared out among
+all of them, with tasks of the largest advised size.
 """
 
 from __future__ import annotations
@@ -88,6 +94,7 @@ CROSS_CHECKS = (
     ("invoice", "due_date", "due_date IS NULL OR due_date >= issue_date"),
 )
 MAX_SPECIALTIES = 5
+COPIES_AT_ONCE = 4096  # rows that one array holds while a repeated key is written out
 
 
 def _lit_date(as_of) -> str:
@@ -164,25 +171,41 @@ def _found(df: DataFrame, r: Rule) -> DataFrame:
     return df.select(F.lit(r.rule_id).alias("rule_id"), _record_key(r.table).alias("record_key"))
 
 
+def _rebalanced(found: DataFrame) -> DataFrame:
+    """What a join found, so that the join is a stage of its own (see above)."""
+    return found.hint("rebalance", "record_key")
+
+
 def _row_violations(h: Hospital, table: str, rs: list[Rule]) -> DataFrame:
     """All row rules of one table in one pass."""
     hits = F.filter(F.array(*[F.when(_violated(r.violation), F.lit(r.rule_id)) for r in rs]), lambda x: x.isNotNull())
     return getattr(h, table).select(F.explode(hits).alias("rule_id"), _record_key(table).alias("record_key"))
 
 
+def _copies(df: DataFrame) -> DataFrame:
+    """Every row ``_n`` times, by arrays of a bounded length."""
+    last = F.col("_n") - 1
+    return (df.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(COPIES_AT_ONCE).cast("bigint"))))
+            .withColumn("_copy", F.explode(F.sequence("_from", F.least(F.col("_from") + (COPIES_AT_ONCE - 1), last)))))
+
+
 def _unique_violations(h: Hospital, r: Rule) -> DataFrame:
     df = getattr(h, r.table)
     keys = list(r.key)
     filled = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    again = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
-    return _found(filled.join(again, keys, "left_semi"), r)
+    again = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    if r.key == PRIMARY_KEYS[r.table]:  # the record key itself: no rows to look up
+        return _found(_copies(again.hint("rebalance", *keys)), r)
+    # a stage of its own, so that AQE sees how few keys there are before it sorts all rows for them
+    again = again.select(*keys).repartition(*keys)
+    return _rebalanced(_found(filled.join(again, keys, "left_semi"), r))
 
 
 def _foreign_key_violations(h: Hospital, r: Rule) -> DataFrame:
     ref_table, ref_col = r.ref
     target = getattr(h, ref_table).select(F.col(ref_col).alias("_target"))
     child = getattr(h, r.table).filter(F.col(r.column).isNotNull())
-    return _found(child.join(target, F.col(r.column) == F.col("_target"), "left_anti"), r)
+    return _rebalanced(_found(child.join(target, F.col(r.column) == F.col("_target"), "left_anti"), r))
 
 
 def _violations(h: Hospital, rs: list[Rule]) -> DataFrame:
@@ -198,7 +221,7 @@ def _violations(h: Hospital, rs: list[Rule]) -> DataFrame:
         elif r.family == "foreign_key":
             parts.append(_foreign_key_violations(h, r))
         elif r.family == "cardinality":
-            parts.append(_found(specialty_count_violations(h), r))
+            parts.append(_rebalanced(_found(specialty_count_violations(h), r)))
     return _union_all(parts)
 
 

@@ -46,3 +46,26 @@ def test_doctors_are_not_shuffled_on_department_names(spark, name):
     plan = _final_plan(spark, name)
     joins = [ln for ln in plan.split("\n") if re.search(r"Exchange hashpartitioning\(dept_name#\d+, \d+\), ENSURE", ln)]
     assert len(joins) <= 1  # the aggregate of the department table itself
+
+
+@pytest.mark.parametrize("name", ["d01_d09_rule_counts", "d10_rule_violations"])
+def test_rules_with_a_shuffle_are_stages_of_their_own(spark, name):
+    """No sort-merge join and no key count shares the union's stage, where AQE would give it the largest tasks."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as over large tables
+    try:
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    # each line with its depth, as the operator's name starts further right
+    nodes = [(len(m.group(0)), ln[len(m.group(0)):]) for ln in plan if (m := re.match(r"[ :|+*()\d-]*", ln))]
+    top = next(i for i, (_, what) in enumerate(nodes) if what.startswith("Union"))
+    joins, inside = 0, []
+    for depth, what in nodes[top:]:
+        while inside and inside[-1][0] >= depth:
+            inside.pop()
+        if re.match(r"SortMergeJoin.*Left(Anti|Semi)|HashAggregate\(keys=\[\w.*functions=\[count\(1\)", what):
+            joins += 1
+            assert any(op.startswith("Exchange") for _, op in inside), what
+        inside.append((depth, what))
+    assert joins >= 17 + 20  # every foreign key and every unique rule
