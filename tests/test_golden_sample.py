@@ -153,3 +153,21 @@ def test_rules_find_planted_records(spark):
 def test_sample_breaks_no_rule(sample):
     assert rules.rule_violations(sample, AS_OF).count() == 0
     assert rules.rule_counts(sample, AS_OF).count() == 169
+
+
+def test_repeated_keys_come_once_per_record(spark, monkeypatch):
+    """A primary key's copies are counted, not looked up; other repeated keys name their records."""
+    monkeypatch.setattr(rules, "COPIES_AT_ONCE", 3)  # several arrays for the seven copies
+    bad = copy.deepcopy(SAMPLE)
+    bad["department"] += [dict(bad["department"][2]) for _ in range(6)]
+    pair = bad["doctorspecialty"][0]
+    bad["doctorspecialty"] += [dict(pair), dict(pair)]
+    bad["staff"][0]["email"] = bad["staff"][1]["email"]
+    h = hospital_from_rows(spark, bad, AS_OF)
+    found = sorted(r for r in rows(rules.rule_violations(h, AS_OF), "rule_id", "record_key") if ".doctor.specialties" not in r[0])
+    both = f"{pair['doctor_id']}|{pair['specialty_name']}"
+    assert found == sorted([("primary_key.department", "Sleep")] * 7 + [("primary_key.doctorspecialty", both)] * 3
+                           + [("unique.staff.email", "1"), ("unique.staff.email", "2")])
+    fired = {r["rule_id"]: r["violations"] for r in rules.rule_counts(h, AS_OF).collect()}
+    assert (fired["primary_key.department"], fired["primary_key.doctorspecialty"], fired["unique.staff.email"]) == (7, 3, 2)
+    assert len(fired) == 169
