@@ -10,9 +10,9 @@ write.  Over data already landed they become a validation job:
   row rules of a table are evaluated in **one** pass over it.  A NULL
   predicate passes, as a CHECK does.
 * unique / primary key: rows whose non-NULL key occurs more than once.
-  Keys are counted with map-side partial aggregation.  A repeated primary
-  key is the record key already and comes once per counted row; other
-  repeated keys are joined back to their rows.
+  Keys are dealt by their hash before they are counted in part and then
+  added up.  A repeated primary key is the record key already and comes
+  once per counted row; other repeated keys are joined back to their rows.
 * foreign key: non-NULL references with no target, one anti join each on
   the native key type.
 * specialty cardinality: doctors with 0 or more than 5 specialties.
@@ -21,6 +21,10 @@ What a key count or an anti join finds is rebalanced before the union.
 Each of them so is a stage of its own, which AQE deals over all cores by
 its own size.  In the union's stage the cores would be shared out among
 all of them, with tasks of the largest advised size.
+
+Nearly every key is another one, so a count in part where the table is
+read would hold every key of a file's row group, however large that is.
+Dealt by hash, AQE sizes these counts too, and parts a hot key's rows.
 """
 
 from __future__ import annotations
@@ -94,6 +98,7 @@ CROSS_CHECKS = (
     ("invoice", "due_date", "due_date IS NULL OR due_date >= issue_date"),
 )
 MAX_SPECIALTIES = 5
+HASH_VALUES = 1 << 16  # by which keys are dealt before they are counted, far more than there are shuffle partitions
 COPIES_AT_ONCE = 4096  # rows that one array holds while a repeated key is written out
 
 
@@ -189,11 +194,17 @@ def _copies(df: DataFrame) -> DataFrame:
             .withColumn("_copy", F.explode(F.sequence("_from", F.least(F.col("_from") + (COPIES_AT_ONCE - 1), last)))))
 
 
+def _key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and the number ``_n`` of their rows, counted in tasks that AQE has sized (see above)."""
+    dealt = df.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(HASH_VALUES)).alias("_hash")).hint("rebalance", "_hash")
+    return dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def _unique_violations(h: Hospital, r: Rule) -> DataFrame:
     df = getattr(h, r.table)
     keys = list(r.key)
     filled = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    again = filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    again = _key_counts(filled, keys).filter(F.col("_n") > 1)
     if r.key == PRIMARY_KEYS[r.table]:  # the record key itself: no rows to look up
         return _found(_copies(again.hint("rebalance", *keys)), r)
     # a stage of its own, so that AQE sees how few keys there are before it sorts all rows for them

@@ -69,3 +69,18 @@ def test_rules_with_a_shuffle_are_stages_of_their_own(spark, name):
             assert any(op.startswith("Exchange") for _, op in inside), what
         inside.append((depth, what))
     assert joins >= 17 + 20  # every foreign key and every unique rule
+
+
+@pytest.mark.parametrize("name", ["d01_d09_rule_counts", "d10_rule_violations"])
+def test_no_key_is_counted_in_the_stage_that_reads_its_table(spark, name):
+    """There one task would hold every key of a file's row group; dealt before, AQE sizes the tasks."""
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString().split("\n")
+    nodes = [(len(m.group(0)), ln[len(m.group(0)):]) for ln in plan if (m := re.match(r"[ :|+*()\d-]*", ln))]
+    dealt = 0
+    for i, (depth, what) in enumerate(nodes):
+        if re.match(r"HashAggregate\(keys=\[(?!rule_id#)\w.*functions=\[partial_count\(1\)", what):
+            below = [op for d, op in nodes[i + 1:] if d > depth]
+            first = next(op for op in below if re.match(r"Exchange|AQEShuffleRead|FileScan|Scan", op))
+            assert first.startswith("Exchange"), what
+            dealt += "REBALANCE_PARTITIONS_BY_COL" in first
+    assert dealt == 20  # every unique rule
